@@ -38,29 +38,35 @@ def request_parse(df: DataFrame, features: Sequence[str], body: str = "body",
     Per field: absent -> 0.0; JSON null -> 500; text that is not a number
     -> 400; else the number. A body that is not a JSON object -> 500.
     """
-    keys = F.json_object_keys(F.col(body))
-    raw = F.from_json(F.col(body), _raw_schema(features))
-    cols, codes = {}, []
-    for c in features:
+    # Parse once; the per-field rules below only read the parsed columns.
+    base = df.select(*keep, F.json_object_keys(F.col(body)).alias("_tr_keys"),
+                     F.from_json(F.col(body), _raw_schema(features)).alias("_tr_raw"))
+    keys = F.col("_tr_keys")
+    cols, codes = {}, {}
+    for i, c in enumerate(features):
         present = F.array_contains(keys, F.lit(c))
-        text = raw[c]
-        num = F.try_cast(text, "double") if hasattr(F, "try_cast") else text.try_cast("double")
+        text = F.col("_tr_raw")[c]
+        num = text.try_cast("double")
         cols[c] = F.when(~present, F.lit(0.0)).otherwise(num)
-        codes.append(
+        codes[f"_tr_code{i}"] = (
             F.when(~present, F.lit(OK))
             .when(text.isNull(), F.lit(JSON_NULL))
             .when(num.isNull(), F.lit(BAD_TEXT))
             .otherwise(F.lit(OK))
         )
-    first_bad = F.coalesce(*[F.when(c != OK, c) for c in codes], F.lit(OK))
-    status = F.when(keys.isNull(), F.lit(NOT_OBJECT)).otherwise(first_bad)
+    # Stage the per-field codes as columns: the status and reason below read
+    # them several times, and plain columns keep the generated code small.
+    staged = base.select(*keep, "_tr_keys", *[v.alias(c) for c, v in cols.items()],
+                         *[v.alias(n) for n, v in codes.items()])
+    first_bad = F.coalesce(*[F.when(F.col(n) != OK, F.col(n)) for n in codes], F.lit(OK))
+    with_status = staged.withColumn(
+        "status", F.when(keys.isNull(), F.lit(NOT_OBJECT)).otherwise(first_bad))
     reason = (
         F.when(keys.isNull(), F.lit("body is not a JSON object"))
-        .when(status == JSON_NULL, F.lit("null value in a numeric field"))
-        .when(status == BAD_TEXT, F.lit("invalid input: not a number"))
+        .when(F.col("status") == JSON_NULL, F.lit("null value in a numeric field"))
+        .when(F.col("status") == BAD_TEXT, F.lit("invalid input: not a number"))
     )
-    return df.select(*keep, *[v.alias(c) for c, v in cols.items()],
-                     status.alias("status"), reason.alias("reason"))
+    return with_status.select(*keep, *features, "status", reason.alias("reason"))
 
 
 def any_zero(features: Sequence[str]) -> Column:
