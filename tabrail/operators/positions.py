@@ -4,8 +4,8 @@ single-partition window.
 ``with_position`` is the DataFrame form of ``zipWithIndex`` after a sort:
 range-partition on the order, sort inside each partition, number rows
 locally, then add the row count of all earlier partitions. The numbered
-partitions are checkpointed (one write to the shared checkpoint folder) so
-that counting and numbering read identical partitions. The per-partition
+rows are written once (Parquet, shared work folder) so that counting and
+numbering read the same stored ids. The per-partition
 count table has one row per partition, so broadcasting it is bounded by the
 partition count, not by the data.
 
@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabrail.config import _ensure_checkpoint_dir
+from tabrail.config import work_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row
 
@@ -36,6 +36,7 @@ def with_position(
     name: str = "pos",
     partitions: int | None = None,
     total: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Add ``name`` = zero-based position of the row in ``order``.
 
@@ -47,11 +48,12 @@ def with_position(
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _cols(order)
     ranged = df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
-    # Freeze partition contents and ids in the shared checkpoint folder: the
-    # count branch and the numbering branch must see the same partitions,
-    # and a lost executor must not re-draw the range bounds.
-    _ensure_checkpoint_dir(spark)
-    tagged = ranged.withColumn("_tr_mid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    # Store each row with its (range partition, row in partition) id in the
+    # shared work folder: counting and numbering then read fixed values, and
+    # a lost executor cannot re-draw the range bounds under them.
+    stored = path or work_dir(spark, "positions")
+    ranged.withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
+    tagged = spark.read.parquet(stored)
     tagged = tagged.withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
     counts = tagged.groupBy("_tr_part").agg(F.count(F.lit(1)).alias("_tr_n"))
     # One row per partition: a window without a partition key is bounded here.

@@ -53,27 +53,92 @@ def random_split_compat(df: DataFrame, weights=(0.8, 0.2), seed: int = 42):
     return df.randomSplit(list(weights), seed=seed)
 
 
+# Buckets of this many rows or fewer are finished with a top-k; larger
+# ones are narrowed by the next 4 hex digits of the hash.
+CUTOFF_TOP_K = 100_000
+
+
+def _histogram(df: DataFrame, prefix: str, width: int) -> list[tuple[str, int]]:
+    cur = df.where(F.col("_tr_h").startswith(prefix)) if prefix else df
+    return sorted(
+        (r[0], r[1]) for r in
+        cur.groupBy(F.substring("_tr_h", 1, width).alias("b")).agg(F.count(F.lit(1))).collect()
+    )
+
+
+def _kth_hash(df: DataFrame, key: Sequence[str], k: int,
+              first: list[tuple[str, int]] | None = None) -> tuple[str, tuple] | None:
+    """(hash, key) of the k-th smallest row (1-based) in (hash, key) order,
+    without sorting the data: count rows per 4-hex-digit hash prefix (at
+    most 65,536 groups reach the driver), step into the bucket holding rank
+    k, and repeat on the next 4 digits until the bucket is small enough for
+    a top-k. md5 is uniform, so each level divides the rows by 65,536."""
+    if k <= 0:
+        return None
+    prefix, rank = "", k
+    while True:
+        width = len(prefix) + 4
+        hist = first if (first is not None and not prefix) else _histogram(df, prefix, width)
+        seen = 0
+        for bucket, n in hist:
+            if seen + n >= rank:
+                prefix, rank = bucket, rank - seen
+                size = n
+                break
+            seen += n
+        else:
+            raise ValueError("rank beyond the row count")
+        if size <= CUTOFF_TOP_K or width >= 32:
+            row = (
+                df.where(F.col("_tr_h").startswith(prefix))
+                .orderBy("_tr_h", *key).limit(rank)
+                .orderBy(*[F.col(c).desc() for c in ["_tr_h", *key]]).limit(1).collect()[0]
+            )
+            return row["_tr_h"], tuple(row[c] for c in key)
+
+
+def _at_or_before(h: str, keyvals: tuple, key: Sequence[str]) -> Column:
+    """(hash, key) <= (h, keyvals) in lexicographic order."""
+    cond = F.lit(True)
+    cols = ["_tr_h", *key]
+    vals = [h, *keyvals]
+    # Build from the last column backwards: c0 < v0 or (c0 = v0 and (...)).
+    cond = F.col(cols[-1]) <= F.lit(vals[-1])
+    for c, v in zip(reversed(cols[:-1]), reversed(vals[:-1])):
+        cond = (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & cond)
+    return cond
+
+
 def exact_split(
     df: DataFrame,
     key: Sequence[str],
     test_fraction: float = 0.2,
     seed: int = 42,
     part: str = "part",
-    position: str = "id",
+    position: str | None = "id",
 ) -> DataFrame:
-    """Exact-count split: the first ceil(test_fraction * n) rows in hash
-    order are 'test', the rest 'train' (20640 -> 16512 + 4128).
-
-    Adds ``position`` = zero-based rank in hash order, so the test rows are
-    numbered 0..k-1 and the position doubles as the replay id.
+    """Exact-count split: the first ceil(test_fraction * n) rows in
+    (hash, key) order are 'test', the rest 'train' (20640 -> 16512 + 4128).
+
+    The cutoff row is found by hash-prefix histograms (``_kth_hash``): a few
+    aggregations over the key columns and no sort of the data; the parts
+    are then a filter. With ``position`` set, the test rows are numbered
+    0..k-1 in hash order (the replay ids); train rows get null. ``key`` must
+    identify a row.
     """
-    h = split_hash(key, seed, "exact")
-    hashed = df.withColumn("_tr_h", h)
-    ranked = with_position(hashed, ["_tr_h", *key], name=position, total="_tr_n")
-    k = F.ceil(F.col("_tr_n") * F.lit(float(test_fraction)))
-    return ranked.withColumn(
-        part, F.when(F.col(position) < k, F.lit("test")).otherwise(F.lit("train"))
-    ).drop("_tr_h", "_tr_n")
+    hashed = df.withColumn("_tr_h", split_hash(key, seed, "exact"))
+    keys_only = hashed.select("_tr_h", *key)
+    first = _histogram(keys_only, "", 4)  # also gives the row count
+    n = sum(c for _, c in first)
+    k = int(math.ceil(n * float(test_fraction)))
+    cut = _kth_hash(keys_only, key, k, first)
+    is_test = _at_or_before(cut[0], cut[1], key) if cut else F.lit(False)
+    out = hashed.withColumn(part, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+    if position:
+        test = with_position(out.where(F.col(part) == "test"), ["_tr_h", *key], name=position)
+        train = out.where(F.col(part) == "train").withColumn(position, F.lit(None).cast("long"))
+        out = test.unionByName(train)
+    return out.drop("_tr_h")
 
 
 # --- limits -----------------------------------------------------------------

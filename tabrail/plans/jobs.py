@@ -43,14 +43,12 @@ def dataset_report(spark: SparkSession, features: Sequence[str], label: str,
 
 def prepare_job(spark: SparkSession, data: DataFrame, settings: Settings, out_root: str) -> dict:
     """Profile (F2), exact split (S1), write both parts as CSV (B1),
-    report (F8). The split is materialised once and both parts and the
-    counts are read back from it, so the hashing and ranking run once."""
+    report (F8). The ranked rows are stored once by ``exact_split``, so both
+    parts and the counts read them back instead of hashing and sorting
+    again."""
     cols = [*settings.key, *settings.features, settings.label]
     profile = describe(data, [*settings.features, settings.label])
     split = exact_split(data.select(*cols), list(settings.key), settings.test_fraction, settings.seed)
-    split_path = f"{out_root}/split"
-    split.write.mode("overwrite").parquet(split_path)
-    split = spark.read.parquet(split_path)
     train = split.where(F.col("part") == "train").drop("part", "id")
     stream = split.where(F.col("part") == "test").drop("part")
     paths = {

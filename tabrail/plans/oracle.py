@@ -42,13 +42,15 @@ BERNOULLI = f"""bern AS (
 train AS (SELECT * EXCLUDE (part) FROM bern WHERE part = 'train'),
 test AS (SELECT * EXCLUDE (part) FROM bern WHERE part = 'test')"""
 
-# S1 on charge: first ceil(0.2 n) rows in (md5, key) order are the test part.
+# S1 on charge: first ceil(0.2 n) rows in (md5, key) order are the test part,
+# numbered 0..k-1 (the replay ids); train rows have no id.
 EXACT = f"""ranked AS (
   SELECT *, row_number() OVER (ORDER BY md5('{SEED}:exact:' || row_key), row_key) - 1 AS id,
          count(*) OVER () AS n_all
   FROM charge),
 exact AS (
-  SELECT * EXCLUDE (n_all),
+  SELECT * EXCLUDE (n_all, id),
+         CASE WHEN id < ceil(n_all * CAST(0.2 AS DOUBLE)) THEN id END AS id,
          CASE WHEN id < ceil(n_all * CAST(0.2 AS DOUBLE)) THEN 'test' ELSE 'train' END AS part
   FROM ranked),
 stream_part AS (SELECT * EXCLUDE (part) FROM exact WHERE part = 'test'),
