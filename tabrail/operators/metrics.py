@@ -47,43 +47,40 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     Quartiles are exact without gathering a column in one task: the long
     form (column, value) is range-sorted once, every value gets its global
     position, and only the 2 neighbours of each quantile are joined back.
-    Nulls are ignored, as pandas does.
+    The per-column statistics (one row per column) are computed once and
+    collected. Nulls are ignored, as pandas does.
     """
     cols = list(cols or [f.name for f in df.schema.fields
                          if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "decimal")])
+    spark = df.sparkSession
     long = _long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    stats = long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    # One row per column reaches the driver.
+    stats = {
+        r["column"]: r
+        for r in long.groupBy("column").agg(
+            F.count(F.lit(1)).alias("count"),
+            F.avg("value").alias("mean"),
+            F.stddev_samp("value").alias("std"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        ).collect()
+    }
     ranked = with_position(long, ["column", "value", "_tr_uid"], name="_tr_pos")
-    start = ranked.groupBy("column").agg(F.min("_tr_pos").alias("_tr_start"))
-    # Wanted positions: floor and ceil of (count-1)*q for each quantile,
-    # a table of 2 * len(QUANTILES) rows per column.
-    wants = []
-    for q in QUANTILES:
-        h = (F.col("count") - F.lit(1)) * F.lit(q)
-        for side, fn in (("lo", F.floor), ("hi", F.ceil)):
-            wants.append(
-                stats.select(
-                    "column",
-                    F.lit(q).alias("q"),
-                    F.lit(side).alias("side"),
-                    (h - F.floor(h)).alias("frac"),
-                    fn(h).cast("long").alias("rank"),
-                )
-            )
-    want = wants[0]
-    for w in wants[1:]:
-        want = want.unionByName(w)
-    want = want.join(start, "column").select(
-        "column", "q", "side", "frac", (F.col("_tr_start") + F.col("rank")).alias("_tr_pos")
-    )
-    # ``want`` has 6 rows per column: a broadcast bounded by the column count.
-    picked = ranked.join(F.broadcast(want), ["column", "_tr_pos"])
+    # Positions run over columns in name order, so a column starts after the
+    # counts of the columns that sort before it. Wanted positions: floor and
+    # ceil of (count-1)*q, 6 rows per column.
+    want, start = [], 0
+    for c in sorted(stats):
+        n = stats[c]["count"]
+        for q in QUANTILES:
+            h = (n - 1) * q
+            lo, hi = math.floor(h), math.ceil(h)
+            want.append((c, q, "lo", h - lo, start + lo))
+            want.append((c, q, "hi", h - lo, start + hi))
+        start += n
+    want_df = spark.createDataFrame(
+        want, "column string, q double, side string, frac double, _tr_pos long")
+    picked = ranked.join(F.broadcast(want_df), ["column", "_tr_pos"])
     quant = picked.groupBy("column", "q").agg(
         F.first(F.when(F.col("side") == "lo", F.col("value")), ignorenulls=True).alias("lo"),
         F.first(F.when(F.col("side") == "hi", F.col("value")), ignorenulls=True).alias("hi"),
@@ -94,14 +91,13 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         *[F.first(F.when(F.col("q") == q, value), ignorenulls=True).alias(name)
           for q, name in zip(QUANTILES, ("p25", "p50", "p75"))]
     )
-    order = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])
-    return (
-        stats.join(wide, "column", "left")
-        .select(
-            order[F.col("column")].alias("position"),
-            "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max",
-        )
+    base = spark.createDataFrame(
+        [(i, c, *(stats[c][k] if c in stats else None for k in ("count", "mean", "std", "min", "max")))
+         for i, c in enumerate(cols)],
+        "position int, column string, count long, mean double, std double, min double, max double",
     )
+    return base.join(wide, "column", "left").select(
+        "position", "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 # --- F3-F6 ------------------------------------------------------------------

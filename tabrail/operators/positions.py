@@ -55,14 +55,15 @@ def with_position(
     ranged.withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
     tagged = spark.read.parquet(stored)
     tagged = tagged.withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
-    counts = tagged.groupBy("_tr_part").agg(F.count(F.lit(1)).alias("_tr_n"))
-    # One row per partition: a window without a partition key is bounded here.
-    before = Window.orderBy("_tr_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_tr_part",
-        F.coalesce(F.sum("_tr_n").over(before), F.lit(0)).alias("_tr_offset"),
-        F.sum("_tr_n").over(Window.partitionBy()).alias("_tr_total"),
-    )
+    # One row per range partition reaches the driver: the bound is the
+    # partition count, not the data.
+    counts = sorted(tuple(r) for r in tagged.groupBy("_tr_part").agg(F.count(F.lit(1))).collect())
+    rows, seen = [], 0
+    for part_id, n in counts:
+        rows.append((part_id, seen))
+        seen += n
+    offsets = spark.createDataFrame(rows, "_tr_part long, _tr_offset long").withColumn(
+        "_tr_total", F.lit(seen).cast("long"))
     out = tagged.join(F.broadcast(offsets), "_tr_part")
     local = F.col("_tr_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
     out = out.withColumn(name, F.col("_tr_offset") + local)

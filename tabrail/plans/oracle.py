@@ -239,6 +239,8 @@ def oracle_sql() -> dict[str, str]:
         "SELECT id, CAST(to_json({'id': id, 'actual_price': actual_price, 'predicted_price': predicted_price, "
         "'error': error, 'error_percentage': error_percentage}) AS VARCHAR) AS value FROM results")
     q["replay_record"] = q["replay_publish"]
+    q["stream_source"] = q["replay_publish"]
+    q["data_loss_tolerance"] = q["replay_publish"]
     q["prediction_error"] = results
     q["unit_convert"] = r6(with_(TICKS) + "SELECT id, actual_price * 100 AS actual_k, predicted_price * 100 AS "
                            "predicted_k, abs(error) * 100 AS abs_error_k FROM results",

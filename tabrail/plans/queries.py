@@ -141,7 +141,7 @@ def stream_source(spark, sf):
     raw = ST.stream_source(spark, "text", f"{root}/input")
     name = f"src_{root.rsplit('-', 1)[-1]}"
     ST.start_sink(raw, None, f"{root}/ckpt", fmt="memory", name=name).awaitTermination()
-    return spark.table(name)
+    return _r6(C.json_decode(spark.table(name), C.stream_record_schema(FEATS)))
 
 
 def replay_scan(spark, sf):
@@ -494,7 +494,7 @@ def data_loss_tolerance(spark, sf):
     raw = ST.stream_source(spark, "text", f"{root}/input", max_per_trigger=2)
     name = f"loss_{root.rsplit('-', 1)[-1]}"
     ST.start_sink(raw, None, f"{root}/ckpt", fmt="memory", name=name).awaitTermination()
-    return spark.table(name)
+    return _r6(C.json_decode(spark.table(name), C.stream_record_schema(FEATS)))
 
 
 # --- P: jobs -----------------------------------------------------------------------------
