@@ -114,3 +114,14 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared root for one run's outputs."""
     root = shared_root(spark)
     return f"{root}/tabrail/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as Parquet under the shared work folder and read it
+    back: later passes read pruned columns instead of recomputing joins, and
+    the lineage is cut (a lost executor re-reads files, it does not re-run
+    the upstream plan)."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabrail.config import MONITOR_UNIT_FACTOR
+from tabrail.config import MONITOR_UNIT_FACTOR, materialize
 from tabrail.operators.positions import rolling_last_n, with_position
 from tabrail.operators.split import last_n
 
@@ -40,7 +40,7 @@ def _long_form(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return tagged.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, value)", "_tr_uid")
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = True) -> DataFrame:
     """per numeric column count, mean, sample std, min, quartiles with
     linear interpolation (as pandas ``describe``), max.
 
@@ -53,6 +53,9 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     cols = list(cols or [f.name for f in df.schema.fields
                          if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "decimal")])
     spark = df.sparkSession
+    if stage:
+        # The statistics and the ranking both read the input: read it once.
+        df = materialize(df.select(*cols), "describe-input")
     long = _long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     # One row per column reaches the driver.
     stats = {

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabrail.config import materialize
 from tabrail.operators.positions import with_position
 
 
@@ -116,6 +117,7 @@ def exact_split(
     seed: int = 42,
     part: str = "part",
     position: str | None = "id",
+    stage: bool = True,
 ) -> DataFrame:
     """Exact-count split: the first ceil(test_fraction * n) rows in
     (hash, key) order are 'test', the rest 'train' (20640 -> 16512 + 4128).
@@ -124,9 +126,12 @@ def exact_split(
     aggregations over the key columns and no sort of the data; the parts
     are then a filter. With ``position`` set, the test rows are numbered
     0..k-1 in hash order (the replay ids); train rows get null. ``key`` must
-    identify a row.
+    identify a row. With ``stage`` the hashed input is written once (shared
+    work folder) and every pass reads it back.
     """
     hashed = df.withColumn("_tr_h", split_hash(key, seed, "exact"))
+    if stage:
+        hashed = materialize(hashed, "exact-split-input")
     keys_only = hashed.select("_tr_h", *key)
     first = _histogram(keys_only, "", 4)  # also gives the row count
     n = sum(c for _, c in first)
