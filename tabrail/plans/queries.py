@@ -139,9 +139,8 @@ def stream_source(spark, sf):
     root = work_dir(spark, "source")
     ST.replay_publish(_replay(spark, sf), f"{root}/input", files=4)
     raw = ST.stream_source(spark, "text", f"{root}/input")
-    name = f"src_{root.rsplit('-', 1)[-1]}"
-    ST.start_sink(raw, None, f"{root}/ckpt", fmt="memory", name=name).awaitTermination()
-    return _r6(C.json_decode(spark.table(name), C.stream_record_schema(FEATS)))
+    ST.start_sink(raw, f"{root}/landed", f"{root}/ckpt", fmt="parquet").awaitTermination()
+    return _r6(C.json_decode(spark.read.parquet(f"{root}/landed"), C.stream_record_schema(FEATS)))
 
 
 def replay_scan(spark, sf):
@@ -157,8 +156,11 @@ def rows_to_frame(spark, sf):
 
 
 def results_reader(spark, sf):
-    _, out = _run_stream(spark, sf, _stump(spark, sf), _replay(spark, sf), "results")
-    return _scored_results(spark, out)
+    root, out = _run_stream(spark, sf, _stump(spark, sf), _replay(spark, sf), "results")
+    # The monitor side: read the result sink as a stream into a table.
+    ST.start_sink(ST.stream_results(spark, out), f"{root}/monitor", f"{root}/ckpt-reader",
+                  fmt="parquet").awaitTermination()
+    return _r6(spark.read.parquet(f"{root}/monitor"))
 
 
 def model_load(spark, sf):
@@ -216,9 +218,10 @@ def stream_debug_tap(spark, sf):
     ST.replay_publish(fx.ticks(spark, sf).select("id", "actual_price", "prediction"), f"{root}/input")
     decoded = C.json_decode(ST.stream_source(spark, "text", f"{root}/input"),
                             T._parse_datatype_string("id bigint, actual_price double, prediction double"))
-    name = f"tap_{root.rsplit('-', 1)[-1]}"
-    ST.start_sink(C.prediction_error(decoded), None, f"{root}/ckpt", fmt="memory", name=name).awaitTermination()
-    return _r6(spark.table(name))
+    # The tap's console/memory forms gather rows in the driver; over whole
+    # tables the tap lands in a Parquet table instead (same append query).
+    ST.start_sink(C.prediction_error(decoded), f"{root}/tap", f"{root}/ckpt", fmt="parquet").awaitTermination()
+    return _r6(spark.read.parquet(f"{root}/tap"))
 
 
 def model_save(spark, sf):
@@ -451,10 +454,9 @@ def stream_fan_out(spark, sf):
     root = work_dir(spark, "fan-out")
     ST.replay_publish(_replay(spark, sf), f"{root}/input", files=4)
     results, _ = ST.score_stream(ST.stream_source(spark, "text", f"{root}/input"), _stump(spark, sf), FEATS)
-    name = f"fan_{root.rsplit('-', 1)[-1]}"
-    main, tap = ST.fan_out(results, f"{root}/output", root, spark, tap_name=name)
+    main, tap = ST.fan_out(results, f"{root}/output", root, spark, tap_path=f"{root}/tap")
     tap.awaitTermination()
-    return _r6(spark.table(name))
+    return _r6(spark.read.parquet(f"{root}/tap"))
 
 
 def bounded_run(spark, sf):
@@ -492,9 +494,8 @@ def data_loss_tolerance(spark, sf):
     root = work_dir(spark, "data-loss")
     ST.replay_publish(_replay(spark, sf), f"{root}/input", files=4)
     raw = ST.stream_source(spark, "text", f"{root}/input", max_per_trigger=2)
-    name = f"loss_{root.rsplit('-', 1)[-1]}"
-    ST.start_sink(raw, None, f"{root}/ckpt", fmt="memory", name=name).awaitTermination()
-    return _r6(C.json_decode(spark.table(name), C.stream_record_schema(FEATS)))
+    ST.start_sink(raw, f"{root}/landed", f"{root}/ckpt", fmt="parquet").awaitTermination()
+    return _r6(C.json_decode(spark.read.parquet(f"{root}/landed"), C.stream_record_schema(FEATS)))
 
 
 # --- P: jobs -----------------------------------------------------------------------------

@@ -144,44 +144,60 @@ def start_sink(
 def bounded_run(queries: Sequence[StreamingQuery], timeout_s: float = RUN_SECONDS,
                 poll_s: float = POLL_SECONDS) -> dict:
     """Wait up to ``timeout_s``, polling every ``poll_s``; stop early
-    when any query ends (or fails), and always stop all of them. Returns
-    how it ended; a query failure is re-raised after the stop."""
+    when any query has died (failed) or when all have finished, and always
+    stop all of them. A query failure is re-raised after the stop."""
     start = time.monotonic()
     error = None
+    reason = "timeout"
     try:
         while time.monotonic() - start < timeout_s:
-            if any(not q.isActive for q in queries):
+            ended = [q for q in queries if not q.isActive]
+            failed = [q.exception() for q in ended if q.exception() is not None]
+            if failed:
+                error, reason = failed[0], "failed"
                 break
-            time.sleep(min(poll_s, max(0.0, timeout_s - (time.monotonic() - start))))
-        for q in queries:
-            if q.isActive:
-                remaining = max(0.0, timeout_s - (time.monotonic() - start))
-                q.awaitTermination(remaining) if remaining else None
+            if len(ended) == len(queries):
+                reason = "finished"
+                break
+            time.sleep(max(0.0, min(poll_s, timeout_s - (time.monotonic() - start))))
     finally:
         for q in queries:
-            try:
-                error = error or q.exception()
-            except Exception:  # noqa: BLE001
-                pass
             q.stop()
     if error is not None:
         raise RuntimeError(f"stream failed: {error}")
-    return {"seconds": round(time.monotonic() - start, 3)}
+    return {"seconds": round(time.monotonic() - start, 3), "ended": reason}
+
+
+def stream_results(spark: SparkSession, path: str | None = None, fmt: str = "text",
+                   topic: str = OUTPUT_TOPIC, servers: str | None = None,
+                   schema=None) -> DataFrame:
+    """A6 (stream form): read the result sink from its start as a stream and
+    decode it; a query on it with a checkpoint resumes from its committed
+    position, as the reference's consumer group does."""
+    from tabrail.sources.tables import result_schema
+
+    if fmt == "kafka":
+        raw = stream_source(spark, "kafka", topic=topic, servers=servers)
+    else:
+        raw = spark.readStream.format(fmt).load(path).select(F.col("value").cast("string").alias("value"))
+    return raw.select(F.from_json("value", schema or result_schema()).alias("r")).select("r.*")
 
 
 def fan_out(results: DataFrame, sink_path: str, checkpoint_root: str, spark: SparkSession,
-            tap_name: str = "tap", trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+            tap_name: str = "tap", trigger: dict | None = None,
+            tap_path: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """The scored stream feeds the JSON sink; the debug tap reads that
     sink's output instead of scoring again. Each query has its own
-    checkpoint."""
+    checkpoint. The tap is a Parquet table at ``tap_path``, or an in-memory
+    table named ``tap_name`` (debugging only: it keeps rows in the driver)."""
     main = start_sink(results, sink_path, f"{checkpoint_root}/sink", trigger=trigger)
     main.awaitTermination() if (trigger or {"availableNow": True}).get("availableNow") else None
-    tapped = (
-        spark.readStream.format("text").load(sink_path)
-        .select(F.from_json("value", results.schema).alias("r")).select("r.*")
-    )
-    tap = start_sink(tapped, None, f"{checkpoint_root}/tap", fmt="memory", name=tap_name,
-                     trigger=trigger)
+    tapped = stream_results(spark, sink_path, schema=results.schema)
+    if tap_path:
+        tap = start_sink(tapped, tap_path, f"{checkpoint_root}/tap", fmt="parquet", trigger=trigger)
+    else:
+        tap = start_sink(tapped, None, f"{checkpoint_root}/tap", fmt="memory", name=tap_name,
+                         trigger=trigger)
     return main, tap
 
 

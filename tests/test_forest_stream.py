@@ -103,3 +103,31 @@ def test_strict_stream_fails_on_bad_record(spark, train):
     q = ST.start_sink(results, f"{root}/out", f"{root}/ck")
     with pytest.raises(Exception):
         q.awaitTermination()
+
+
+def test_bounded_run_stops_all_when_one_fails(spark, train):
+    model = M.fit(M.stump_estimator(fx.STUMP_FEATURES), train, ["row_key"])
+    root = work_dir(spark, "test-bounded")
+    spark.createDataFrame([("garbage",)], "value string").write.text(f"{root}/in")
+    src = ST.stream_source(spark, "text", f"{root}/in")
+    bad, _ = ST.score_stream(src, model, fx.CHARGE_FEATURES, strict=True)
+    q1 = ST.start_sink(bad, f"{root}/out", f"{root}/ck1")
+    q2 = ST.start_sink(src, f"{root}/raw", f"{root}/ck2", trigger={"processingTime": "1 second"})
+    with pytest.raises(RuntimeError):
+        ST.bounded_run([q1, q2], timeout_s=120, poll_s=0.5)
+    assert not q1.isActive and not q2.isActive
+
+
+def test_stream_results_reader_resumes(spark, train):
+    model = M.fit(M.stump_estimator(fx.STUMP_FEATURES), train, ["row_key"])
+    recs = C.replay_record(fx.charge(spark, SF).withColumn("id", F.monotonically_increasing_id()),
+                           fx.CHARGE_FEATURES)
+    root = work_dir(spark, "test-reader")
+    ST.replay_publish(recs, f"{root}/in", files=2)
+    res, _ = ST.score_stream(ST.stream_source(spark, "text", f"{root}/in"), model, fx.CHARGE_FEATURES)
+    ST.start_sink(res, f"{root}/out", f"{root}/ck").awaitTermination()
+    reader = ST.stream_results(spark, f"{root}/out")
+    ST.start_sink(reader, f"{root}/copy", f"{root}/ckr").awaitTermination()
+    ST.start_sink(reader, f"{root}/copy", f"{root}/ckr").awaitTermination()
+    from tabrail.sources.tables import read_results
+    assert read_results(spark, f"{root}/copy").count() == recs.count()
