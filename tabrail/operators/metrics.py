@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrail.config import MONITOR_UNIT_FACTOR, materialize
-from tabrail.operators.positions import rolling_last_n, with_position
+from tabrail.operators.positions import rolling_last_n, with_position, with_running_sum
 from tabrail.operators.split import last_n
 
 QUANTILES = (0.25, 0.5, 0.75)
@@ -33,28 +33,27 @@ def row_counts(df: DataFrame, part: str = "part", train: str = "train") -> DataF
 # --- F2 ---------------------------------------------------------------------
 
 def _long_form(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """(column, value, uid): uid breaks ties so that a value repeated in a
-    third of all rows still spreads over many range partitions."""
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    tagged = df.withColumn("_tr_uid", F.monotonically_increasing_id())
-    return tagged.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, value)", "_tr_uid")
+    return df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, value)")
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = True) -> DataFrame:
     """per numeric column count, mean, sample std, min, quartiles with
-    linear interpolation (as pandas ``describe``), max.
-
-    Quartiles are exact without gathering a column in one task: the long
-    form (column, value) is range-sorted once, every value gets its global
-    position, and only the 2 neighbours of each quantile are joined back.
-    The per-column statistics (one row per column) are computed once and
-    collected. Nulls are ignored, as pandas does.
+    linear interpolation (as pandas ``describe``), max. Nulls and NaN are
+    ignored, as pandas does.
+
+    Quartiles are exact without gathering a column in one task:
+    (column, value) pairs are counted first (partial aggregation: a value
+    repeated in a third of all rows becomes one row), the distinct pairs are
+    range-sorted once with a running sum of the counts, and only the rows
+    holding the wanted ranks (at most 6 per column, picked by a literal
+    predicate) reach the driver.
     """
+    spark = df.sparkSession
     cols = list(cols or [f.name for f in df.schema.fields
                          if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "decimal")])
-    spark = df.sparkSession
     if stage:
-        # The statistics and the ranking both read the input: read it once.
+        # Statistics and ranking both read the input: read it once.
         df = materialize(df.select(*cols), "describe-input")
     long = _long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     # One row per column reaches the driver.
@@ -68,39 +67,52 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = Tru
             F.max("value").alias("max"),
         ).collect()
     }
-    ranked = with_position(long, ["column", "value", "_tr_uid"], name="_tr_pos")
-    # Positions run over columns in name order, so a column starts after the
-    # counts of the columns that sort before it. Wanted positions: floor and
-    # ceil of (count-1)*q, 6 rows per column.
-    want, start = [], 0
+    distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_tr_w"))
+    ranked = with_running_sum(distinct, ["column", "value"], "_tr_w", "_tr_cum")
+    # Ranks run over columns in name order: a column starts after the counts
+    # of the columns that sort before it.
+    wanted, start = {}, 0
     for c in sorted(stats):
         n = stats[c]["count"]
         for q in QUANTILES:
             h = (n - 1) * q
-            lo, hi = math.floor(h), math.ceil(h)
-            want.append((c, q, "lo", h - lo, start + lo))
-            want.append((c, q, "hi", h - lo, start + hi))
+            wanted[(c, q)] = (start + math.floor(h), start + math.ceil(h), h - math.floor(h))
         start += n
-    want_df = spark.createDataFrame(
-        want, "column string, q double, side string, frac double, _tr_pos long")
-    picked = ranked.join(F.broadcast(want_df), ["column", "_tr_pos"])
-    quant = picked.groupBy("column", "q").agg(
-        F.first(F.when(F.col("side") == "lo", F.col("value")), ignorenulls=True).alias("lo"),
-        F.first(F.when(F.col("side") == "hi", F.col("value")), ignorenulls=True).alias("hi"),
-        F.first("frac").alias("frac"),
-    )
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")
-    wide = quant.groupBy("column").agg(
-        *[F.first(F.when(F.col("q") == q, value), ignorenulls=True).alias(name)
-          for q, name in zip(QUANTILES, ("p25", "p50", "p75"))]
-    )
-    base = spark.createDataFrame(
-        [(i, c, *(stats[c][k] if c in stats else None for k in ("count", "mean", "std", "min", "max")))
-         for i, c in enumerate(cols)],
-        "position int, column string, count long, mean double, std double, min double, max double",
+    ranks = sorted({g for lo, hi, _ in wanted.values() for g in (lo, hi)})
+    if ranks:
+        hit = F.lit(False)
+        for g in ranks:
+            hit = hit | ((F.col("_tr_cum") <= F.lit(g)) & (F.lit(g) < F.col("_tr_cum") + F.col("_tr_w")))
+        picked = [(r["_tr_cum"], r["_tr_w"], r["value"])
+                  for r in ranked.where(hit).select("_tr_cum", "_tr_w", "value").collect()]
+    else:
+        picked = []
+
+    def value_at(g):
+        for cum, w, v in picked:
+            if cum <= g < cum + w:
+                return v
+        return None
+
+    rows = []
+    for i, c in enumerate(cols):
+        st = stats.get(c)
+        qs = []
+        for q in QUANTILES:
+            if st is None:
+                qs.append(None)
+                continue
+            lo, hi, frac = wanted[(c, q)]
+            vlo, vhi = value_at(lo), value_at(hi)
+            qs.append(vlo + (vhi - vlo) * frac)
+        vals = [st[k] if st is not None else None for k in ("count", "mean", "std", "min")]
+        rows.append((i, c, vals[0] if st is not None else 0, *vals[1:], *qs,
+                     st["max"] if st is not None else None))
+    return spark.createDataFrame(
+        rows,
+        "position int, column string, count long, mean double, std double, min double, "
+        "p25 double, p50 double, p75 double, max double",
     )
-    return base.join(wide, "column", "left").select(
-        "position", "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 # --- F3-F6 ------------------------------------------------------------------

@@ -45,9 +45,13 @@ def with_position(
     ``total`` set, also add the row count of the whole frame.
     """
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _cols(order)
-    ranged = df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
+    # A global sort is a range partitioning plus a sort inside each range;
+    # without an explicit count AQE sizes the ranges from the data.
+    if partitions:
+        ranged = df.repartitionByRange(int(partitions), *cols).sortWithinPartitions(*cols)
+    else:
+        ranged = df.orderBy(*cols)
     # Store each row with its (range partition, row in partition) id in the
     # shared work folder: counting and numbering then read fixed values, and
     # a lost executor cannot re-draw the range bounds under them.
@@ -72,6 +76,34 @@ def with_position(
     return out.drop("_tr_mid", "_tr_part", "_tr_offset", "_tr_total")
 
 
+def with_running_sum(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    weight: str,
+    name: str = "cum",
+) -> DataFrame:
+    """Add ``name`` = sum of ``weight`` over all rows before this one in
+    ``order`` (an exclusive prefix sum), the weighted form of
+    ``with_position``. Per range partition: the partition totals (one row
+    per partition) reach the driver; the running sum inside a partition is a
+    window over that partition only, so a task holds one range."""
+    spark = df.sparkSession
+    cols = _cols(order)
+    stored = work_dir(spark, "running-sum")
+    df.orderBy(*cols).withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
+    tagged = spark.read.parquet(stored).withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
+    totals = sorted(tuple(r) for r in tagged.groupBy("_tr_part").agg(F.sum(weight)).collect())
+    rows, seen = [], 0
+    for part_id, w in totals:
+        rows.append((part_id, seen))
+        seen += w or 0
+    offsets = spark.createDataFrame(rows, "_tr_part long, _tr_offset long")
+    inside = Window.partitionBy("_tr_part").orderBy("_tr_mid").rowsBetween(Window.unboundedPreceding, -1)
+    out = tagged.join(F.broadcast(offsets), "_tr_part").withColumn(
+        name, F.col("_tr_offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    return out.drop("_tr_mid", "_tr_part", "_tr_offset")
+
+
 def rolling_last_n(
     df: DataFrame,
     pos: str,

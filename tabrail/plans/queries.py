@@ -62,13 +62,14 @@ def _clock() -> Callable[[], str]:
 
 # --- shared frames -----------------------------------------------------------
 
-def _exact(spark, sf):
-    """S1 on charge (its ranked rows are stored once by ``with_position``)."""
-    return S.exact_split(fx.charge(spark, sf), KEY, 0.2, 42)
+def _exact(spark, sf, positions=False):
+    """S1 on charge; replay ids (test rows numbered in hash order) only when
+    a query needs them."""
+    return S.exact_split(fx.charge(spark, sf), KEY, 0.2, 42, position="id" if positions else None)
 
 
 def _stream_part(spark, sf):
-    return _exact(spark, sf).where(F.col("part") == "test").drop("part")
+    return _exact(spark, sf, positions=True).where(F.col("part") == "test").drop("part")
 
 
 def _replay(spark, sf):
@@ -77,7 +78,7 @@ def _replay(spark, sf):
 
 def _train_rows(spark, sf):
     """The reference's model rows: the 80 % of the 80 % (S1 train, S2 train)."""
-    prep = _exact(spark, sf).where(F.col("part") == "train").drop("part", "id")
+    prep = _exact(spark, sf).where(F.col("part") == "train").drop("part")
     return S.bernoulli_split(prep, KEY, 0.8, 42)
 
 
@@ -178,8 +179,8 @@ _SPLIT_SCHEMA = "row_key string, " + ", ".join(f"{c} double" for c in FEATS) + "
 def csv_write(spark, sf):
     root = work_dir(spark, "csv-write")
     split = _exact(spark, sf)
-    SK.write_csv(split.where("part = 'train'").drop("part", "id"), f"{root}/train_data")
-    SK.write_csv(split.where("part = 'test'").drop("part", "id"), f"{root}/streaming_data")
+    SK.write_csv(split.where("part = 'train'").drop("part"), f"{root}/train_data")
+    SK.write_csv(split.where("part = 'test'").drop("part"), f"{root}/streaming_data")
     back = [SRC.read_table(spark, f"{root}/{n}", schema=_SPLIT_SCHEMA).withColumn("part", F.lit(p))
             for n, p in (("train_data", "train"), ("streaming_data", "test"))]
     return _r6(back[0].unionByName(back[1]))
@@ -321,7 +322,7 @@ def request_form_rules(spark, sf):
 # --- S, E: splits and limits --------------------------------------------------------
 
 def exact_split(spark, sf):
-    return _exact(spark, sf).select("row_key", "id", "part")
+    return _exact(spark, sf, positions=True).select("row_key", "id", "part")
 
 
 def bernoulli_split(spark, sf):
@@ -507,7 +508,7 @@ def prepare_job(spark, sf):
 
 def train_job(spark, sf):
     root = work_dir(spark, "train-job")
-    prep = _exact(spark, sf).where("part = 'train'").drop("part", "id")
+    prep = _exact(spark, sf).where("part = 'train'").drop("part")
     out = J.train_job(spark, prep, fx.CHARGE, f"{root}/warehouse",
                       [f"{root}/models/primary", f"{root}/models/fallback"], f"{root}/status",
                       clock=_clock())

@@ -37,3 +37,14 @@ def test_rolling_window_one_and_short_input(spark):
     assert [r.s for r in out] == [1.0, 2.0]
     out = rolling_last_n(df, "pos", 100, {"s": F.sum("v")}).orderBy("pos").collect()
     assert [r.s for r in out] == [1.0, 3.0]
+
+
+def test_running_sum_matches_cumsum(spark):
+    from tabrail.operators.positions import with_running_sum
+
+    rows = [(i % 7, float(i), (i % 5) + 1) for i in range(500)]
+    df = spark.createDataFrame(rows, "g long, v double, w long")
+    got = with_running_sum(df, ["g", "v"], "w", "cum").toPandas().sort_values(["g", "v"])
+    exp = pd.DataFrame(rows, columns=["g", "v", "w"]).sort_values(["g", "v"])
+    exp["cum"] = exp.w.cumsum() - exp.w
+    assert list(got.cum) == list(exp.cum)
