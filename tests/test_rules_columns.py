@@ -93,3 +93,23 @@ def test_json_encode_keeps_nulls_and_decode_edge_cases(spark):
     assert out[0].id is None and out[0].x == 2.0      # 1.0 for an integer id -> null
     assert out[1].id == 2 and out[1].x is None         # text in a numeric field -> null
     assert out[2].id is None and out[2].x is None
+
+
+def test_round_half_even_property(spark):
+    from hypothesis import given, settings, strategies as st
+
+    values = []
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.floats(min_value=-1e9, max_value=1e9, allow_nan=False, allow_infinity=False))
+    def collect(x):
+        values.append(x)
+
+    collect()
+    # Also short decimals, where ties and near-ties live.
+    values += [k / 1000 for k in range(-2000, 2000, 7)] + [k / 8 for k in range(-400, 400)]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for d in (0, 2, 4):
+        got = df.select("x", C.round_half_even("x", d).alias("r")).collect()
+        for r in got:
+            assert r.r == round(r.x, d), (r.x, d)
