@@ -74,10 +74,12 @@ def any_zero(features: Sequence[str]) -> Column:
     return F.greatest(*[F.coalesce(F.col(c) == F.lit(0.0), F.lit(False)) for c in features])
 
 
-def request_validate(parsed: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Of the parsed requests, reject with 400 when any feature is 0.
-    Rows already rejected by D1 keep their status."""
-    zero = any_zero(features)
+def request_validate(parsed: DataFrame, features: Sequence[str],
+                     zero_is_missing: bool = True) -> DataFrame:
+    """Of the parsed requests, reject with 400 when any feature is 0
+    (the reference cannot tell 0 from an absent field). Rows already
+    rejected by D1 keep their status. ``zero_is_missing=False`` accepts 0."""
+    zero = any_zero(features) if zero_is_missing else F.lit(False)
     return parsed.withColumns({
         "status": F.when((F.col("status") == OK) & zero, F.lit(MISSING)).otherwise(F.col("status")),
         "reason": F.when((F.col("status") == OK) & zero, F.lit("all fields are required"))
@@ -99,7 +101,8 @@ def request_form_rules(df: DataFrame, features: Sequence[str], non_negative: int
 
 
 def score_requests(requests: DataFrame, model: PipelineModel, features: Sequence[str],
-                   body: str = "body", request_id: str = "request_id") -> DataFrame:
+                   body: str = "body", request_id: str = "request_id",
+                   zero_is_missing: bool = True) -> DataFrame:
     """M5: request table -> response table
     (request_id, success, status, predicted_price, predicted_price_usd,
     formatted_price, error).
@@ -108,7 +111,8 @@ def score_requests(requests: DataFrame, model: PipelineModel, features: Sequence
     and their outputs blanked. A NaN feature passes validation but fails
     in the model's assembler in the reference, so it answers 500 here.
     """
-    checked = request_validate(request_parse(requests, features, body, (request_id,)), features)
+    checked = request_validate(request_parse(requests, features, body, (request_id,)), features,
+                               zero_is_missing)
     nan_any = F.greatest(*[F.coalesce(F.isnan(c), F.lit(False)) for c in features])
     status = F.when((F.col("status") == OK) & nan_any, F.lit(500)).otherwise(F.col("status"))
     reason = F.when((F.col("status") == OK) & nan_any, F.lit("prediction failed: NaN feature")) \

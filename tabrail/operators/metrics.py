@@ -227,7 +227,3 @@ def rolling_metrics(results: DataFrame, n: int, order: str = "id", block_rows: i
         block_rows=block_rows,
     )
     return out.select(order, "mae_k", F.sqrt("_tr_ms").alias("rmse_k"), F.col("samples").cast("long"))
-
-
-def ceil_div(a: int, b: int) -> int:
-    return int(math.ceil(a / b))

@@ -173,7 +173,3 @@ def last_n(df: DataFrame, n: int, order: str) -> DataFrame:
     if n is None or n < 0:
         raise ValueError("n must be >= 0")
     return df.orderBy(F.col(order).desc()).limit(int(n))
-
-
-def ceil_count(n: int, fraction: float) -> int:
-    return int(math.ceil(n * fraction))

@@ -113,3 +113,10 @@ def test_round_half_even_property(spark):
         got = df.select("x", C.round_half_even("x", d).alias("r")).collect()
         for r in got:
             assert r.r == round(r.x, d), (r.x, d)
+
+
+def test_zero_is_missing_switch(spark):
+    df = spark.createDataFrame([("0", '{"a": 0, "b": 2, "c": 3}')], "request_id string, body string")
+    strict = R.request_validate(R.request_parse(df, FEATS), FEATS).first()
+    loose = R.request_validate(R.request_parse(df, FEATS), FEATS, zero_is_missing=False).first()
+    assert (strict.status, loose.status) == (400, 0)
