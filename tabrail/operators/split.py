@@ -55,8 +55,9 @@ def random_split_compat(df: DataFrame, weights=(0.8, 0.2), seed: int = 42):
 
 
 # Buckets of this many rows or fewer are finished with a top-k; larger
-# ones are narrowed by the next 4 hex digits of the hash.
+# ones are narrowed by more hex digits of the hash, aiming at TARGET rows.
 CUTOFF_TOP_K = 100_000
+TARGET_BUCKET = 20_000
 
 
 def _histogram(df: DataFrame, prefix: str, width: int) -> list[tuple[str, int]]:
@@ -67,35 +68,33 @@ def _histogram(df: DataFrame, prefix: str, width: int) -> list[tuple[str, int]]:
     )
 
 
-def _kth_hash(df: DataFrame, key: Sequence[str], k: int,
-              first: list[tuple[str, int]] | None = None) -> tuple[str, tuple] | None:
+def _kth_hash(df: DataFrame, key: Sequence[str], k: int, n: int) -> tuple[str, tuple] | None:
     """(hash, key) of the k-th smallest row (1-based) in (hash, key) order,
-    without sorting the data: count rows per 4-hex-digit hash prefix (at
-    most 65,536 groups reach the driver), step into the bucket holding rank
-    k, and repeat on the next 4 digits until the bucket is small enough for
-    a top-k. md5 is uniform, so each level divides the rows by 65,536."""
+    without sorting the data. While the candidate bucket is large, count its
+    rows per next hex digits of the hash (as many digits as needed, at most
+    4, so at most 65,536 groups reach the driver), and step into the bucket
+    holding rank k; md5 is uniform, so each digit divides the rows by 16.
+    A top-k over the final bucket gives the row."""
     if k <= 0:
         return None
-    prefix, rank = "", k
-    while True:
-        width = len(prefix) + 4
-        hist = first if (first is not None and not prefix) else _histogram(df, prefix, width)
+    prefix, rank, size = "", k, n
+    while size > CUTOFF_TOP_K and len(prefix) < 32:
+        need = max(1, math.ceil(math.log(size / TARGET_BUCKET, 16)))
+        width = len(prefix) + min(4, need, 32 - len(prefix))
         seen = 0
-        for bucket, n in hist:
-            if seen + n >= rank:
-                prefix, rank = bucket, rank - seen
-                size = n
+        for bucket, cnt in _histogram(df, prefix, width):
+            if seen + cnt >= rank:
+                prefix, rank, size = bucket, rank - seen, cnt
                 break
-            seen += n
+            seen += cnt
         else:
             raise ValueError("rank beyond the row count")
-        if size <= CUTOFF_TOP_K or width >= 32:
-            row = (
-                df.where(F.col("_tr_h").startswith(prefix))
-                .orderBy("_tr_h", *key).limit(rank)
-                .orderBy(*[F.col(c).desc() for c in ["_tr_h", *key]]).limit(1).collect()[0]
-            )
-            return row["_tr_h"], tuple(row[c] for c in key)
+    cur = df.where(F.col("_tr_h").startswith(prefix)) if prefix else df
+    row = (
+        cur.orderBy("_tr_h", *key).limit(rank)
+        .orderBy(*[F.col(c).desc() for c in ["_tr_h", *key]]).limit(1).collect()[0]
+    )
+    return row["_tr_h"], tuple(row[c] for c in key)
 
 
 def _at_or_before(h: str, keyvals: tuple, key: Sequence[str]) -> Column:
@@ -133,10 +132,9 @@ def exact_split(
     if stage:
         hashed = materialize(hashed, "exact-split-input")
     keys_only = hashed.select("_tr_h", *key)
-    first = _histogram(keys_only, "", 4)  # also gives the row count
-    n = sum(c for _, c in first)
+    n = keys_only.count()
     k = int(math.ceil(n * float(test_fraction)))
-    cut = _kth_hash(keys_only, key, k, first)
+    cut = _kth_hash(keys_only, key, k, n)
     is_test = _at_or_before(cut[0], cut[1], key) if cut else F.lit(False)
     out = hashed.withColumn(part, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
     if position:

@@ -46,3 +46,16 @@ def test_last_n_edges(spark):
     assert sorted(r.id for r in last_n(df, 3, "id").collect()) == [7, 8, 9]
     assert last_n(df, 11, "id").count() == 10
     assert last_n(spark.range(0), 5, "id").count() == 0
+
+
+def test_kth_hash_multi_level_matches_sort(spark, monkeypatch):
+    from tabrail.operators import split as S
+
+    # Force several narrowing levels on a small frame.
+    monkeypatch.setattr(S, "CUTOFF_TOP_K", 10)
+    monkeypatch.setattr(S, "TARGET_BUCKET", 4)
+    df = spark.range(5000).selectExpr("cast(id as string) as k")
+    out = S.exact_split(df, ["k"], 0.37, 42, position=None)
+    got = {r.k for r in out.where("part = 'test'").collect()}
+    h = df.withColumn("_h", S.split_hash(["k"], 42, "exact")).orderBy("_h", "k").limit(math.ceil(0.37 * 5000))
+    assert got == {r.k for r in h.collect()}
