@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrail.config import LAST_N, Settings, work_dir
+from tabrail.config import LAST_N, Settings, materialize, work_dir
 from tabrail.functions.columns import replay_record
 from tabrail.operators import forest as M
 from tabrail.operators.metrics import describe, monitor_series, row_counts
@@ -47,8 +47,10 @@ def prepare_job(spark: SparkSession, data: DataFrame, settings: Settings, out_ro
     parts and the counts read them back instead of hashing and sorting
     again."""
     cols = [*settings.key, *settings.features, settings.label]
-    profile = describe(data, [*settings.features, settings.label])
-    split = exact_split(data.select(*cols), list(settings.key), settings.test_fraction, settings.seed)
+    # Stage the input once; profile and split both read the staged copy.
+    data = materialize(data.select(*cols), "prepare-input")
+    profile = describe(data, [*settings.features, settings.label], stage=False)
+    split = exact_split(data, list(settings.key), settings.test_fraction, settings.seed, stage=False)
     train = split.where(F.col("part") == "train").drop("part", "id")
     stream = split.where(F.col("part") == "test").drop("part")
     paths = {
