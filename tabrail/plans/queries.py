@@ -227,11 +227,13 @@ def stream_debug_tap(spark, sf):
 
 def model_save(spark, sf):
     root = work_dir(spark, "model-save")
-    # The primary location is a file, so saving there fails and the
-    # fallback is used, as the reference falls back to a local folder.
-    blocker = f"{root}/blocked"
-    spark.createDataFrame([("x",)], "v string").write.text(blocker)
-    saved = SM.save_model(_stump(spark, sf), [f"{blocker}/part-file-as-dir/../../blocked/x", f"{root}/fallback"])
+    # The primary location is on a file system that is not there, so the
+    # save falls back to the second location, as the reference falls back
+    # to a local folder when its cluster store fails.
+    fallback = f"{root}/fallback"
+    saved = SM.save_model(_stump(spark, sf), ["unreachablefs://primary/model", fallback])
+    if saved != fallback:
+        raise RuntimeError(f"expected the fallback location, saved to {saved}")
     model, _ = SM.load_model([saved])
     return _r6(M.predict_frame(model, _replay(spark, sf), "id"))
 
