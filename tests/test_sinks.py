@@ -1,0 +1,34 @@
+import pytest
+
+from tabrail.config import work_dir
+from tabrail.sinks import tables as SK
+
+
+def test_status_log_started_completed_and_failure(spark):
+    root = work_dir(spark, "test-status")
+    ticks = iter(["t0", "t1", "t2", "t3"])
+    with SK.run_status(spark, f"{root}/ok", "training", model_path="m", clock=lambda: next(ticks)):
+        pass
+    rows = sorted(tuple(r) for r in SK.read_status(spark, f"{root}/ok").collect())
+    assert rows == [("completed", "t1", "training", "m"), ("started", "t0", "training", None)]
+    with pytest.raises(ValueError):
+        with SK.run_status(spark, f"{root}/bad", "prediction", clock=lambda: next(ticks)):
+            raise ValueError("job failed")
+    assert [r.status for r in SK.read_status(spark, f"{root}/bad").collect()] == ["started"]
+
+
+def test_status_write_failure_does_not_raise(spark):
+    assert SK.log_status(spark, "unreachablefs://nowhere/status", SK.status_event("started", "training")) is False
+
+
+def test_materialize_if_absent_keeps_first(spark):
+    path = f"{work_dir(spark, 'test-ignore')}/t"
+    SK.materialize_if_absent(spark.range(3), path)
+    SK.materialize_if_absent(spark.range(10), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_publish_refuses_missing_source(spark):
+    root = work_dir(spark, "test-publish")
+    with pytest.raises(FileNotFoundError):
+        SK.publish_tables({"a": spark.range(2), "b": None}, root)
