@@ -191,7 +191,11 @@ def fan_out(results: DataFrame, sink_path: str, checkpoint_root: str, spark: Spa
     checkpoint. The tap is a Parquet table at ``tap_path``, or an in-memory
     table named ``tap_name`` (debugging only: it keeps rows in the driver)."""
     main = start_sink(results, sink_path, f"{checkpoint_root}/sink", trigger=trigger)
-    main.awaitTermination() if (trigger or {"availableNow": True}).get("availableNow") else None
+    if (trigger or {"availableNow": True}).get("availableNow"):
+        main.awaitTermination()
+    else:
+        # The tap reads the sink's folder: let the first batches land first.
+        main.processAllAvailable()
     tapped = stream_results(spark, sink_path, schema=results.schema)
     if tap_path:
         tap = start_sink(tapped, tap_path, f"{checkpoint_root}/tap", fmt="parquet", trigger=trigger)

@@ -66,3 +66,17 @@ def test_memory_tap_on_small_input(spark):
     main, tap = ST.fan_out(C.prediction_error(dec), f"{root}/out", root, spark, tap_name="tap_small")
     tap.awaitTermination()
     assert spark.table("tap_small").count() == 5
+
+
+def test_fan_out_with_processing_time_trigger(spark):
+    root = work_dir(spark, "test-fan-pt")
+    rows = spark.createDataFrame([(i, 1.0 * i, 2.0 * i) for i in range(1, 4)],
+                                 "id long, actual_price double, prediction double")
+    ST.replay_publish(rows, f"{root}/in")
+    dec = C.json_decode(ST.stream_source(spark, "text", f"{root}/in"),
+                        "id bigint, actual_price double, prediction double")
+    main, tap = ST.fan_out(C.prediction_error(dec), f"{root}/out", root, spark,
+                           trigger={"processingTime": "1 second"}, tap_path=f"{root}/tap")
+    tap.processAllAvailable()
+    out = ST.bounded_run([main, tap], timeout_s=1, poll_s=0.5)
+    assert spark.read.parquet(f"{root}/tap").count() == 3
