@@ -162,11 +162,13 @@ def regression_report(df: DataFrame, label: str = "target", prediction: str = "p
 
 
 def report_text(report: DataFrame) -> DataFrame:
-    """The printed report lines, 4 decimals."""
+    """The printed report lines, 4 decimals, rounded as Python prints."""
+    from tabrail.functions.columns import round_half_even
+
     return report.select(
-        F.format_string("RMSE: %.4f", "rmse").alias("rmse_line"),
-        F.format_string("MAE:  %.4f", "mae").alias("mae_line"),
-        F.format_string("R2:   %.4f", "r2").alias("r2_line"),
+        F.format_string("RMSE: %.4f", round_half_even("rmse", 4)).alias("rmse_line"),
+        F.format_string("MAE:  %.4f", round_half_even("mae", 4)).alias("mae_line"),
+        F.format_string("R2:   %.4f", round_half_even("r2", 4)).alias("r2_line"),
     )
 
 

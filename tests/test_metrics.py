@@ -48,3 +48,12 @@ def test_monitor_series_index(spark):
     rows = df.orderBy("sample_index").collect()
     assert [r.sample_index for r in rows] == list(range(len(rows)))
     assert [r.id for r in rows] == sorted(r.id for r in rows)
+
+
+def test_report_text_four_decimals(spark):
+    df = spark.createDataFrame([(1.0, 1.5), (2.0, 1.0), (3.0, 3.25)], "target double, prediction double")
+    rep = MT.regression_report(df).first()
+    lines = MT.report_text(MT.regression_report(df)).first()
+    assert lines.rmse_line == f"RMSE: {rep.rmse:.4f}"
+    assert lines.mae_line == f"MAE:  {rep.mae:.4f}"
+    assert lines.r2_line == f"R2:   {rep.r2:.4f}"
