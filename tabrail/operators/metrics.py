@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabrail.config import MONITOR_UNIT_FACTOR, materialize
-from tabrail.operators.positions import rolling_last_n, with_position, with_running_sum
+from tabrail.operators.positions import rolling_last_n, rows_at_ranks, with_position
 from tabrail.operators.split import last_n
 
 QUANTILES = (0.25, 0.5, 0.75)
@@ -47,7 +47,8 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = Tru
     repeated in a third of all rows becomes one row), the distinct pairs are
     range-sorted once with a running sum of the counts, and only the rows
     holding the wanted ranks (at most 6 per column, picked by a literal
-    predicate) reach the driver.
+    predicate) reach the driver; the running sum inside a range partition is
+    computed only for the partitions that hold a wanted rank.
     """
     spark = df.sparkSession
     cols = list(cols or [f.name for f in df.schema.fields
@@ -68,7 +69,6 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = Tru
         ).collect()
     }
     distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_tr_w"))
-    ranked = with_running_sum(distinct, ["column", "value"], "_tr_w", "_tr_cum")
     # Ranks run over columns in name order: a column starts after the counts
     # of the columns that sort before it.
     wanted, start = {}, 0
@@ -79,14 +79,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = Tru
             wanted[(c, q)] = (start + math.floor(h), start + math.ceil(h), h - math.floor(h))
         start += n
     ranks = sorted({g for lo, hi, _ in wanted.values() for g in (lo, hi)})
-    if ranks:
-        hit = F.lit(False)
-        for g in ranks:
-            hit = hit | ((F.col("_tr_cum") <= F.lit(g)) & (F.lit(g) < F.col("_tr_cum") + F.col("_tr_w")))
-        picked = [(r["_tr_cum"], r["_tr_w"], r["value"])
-                  for r in ranked.where(hit).select("_tr_cum", "_tr_w", "value").collect()]
-    else:
-        picked = []
+    picked = rows_at_ranks(distinct, ["column", "value"], "_tr_w", ranks, ["value"])
 
     def value_at(g):
         for cum, w, v in picked:

@@ -104,6 +104,42 @@ def with_running_sum(
     return out.drop("_tr_mid", "_tr_part", "_tr_offset")
 
 
+def rows_at_ranks(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    weight: str,
+    ranks: Sequence[int],
+    cols: Sequence[str],
+) -> list[tuple]:
+    """The rows that hold the given weighted ranks: each row covers ranks
+    [cum, cum + weight) in ``order``. Returns (cum, weight, *cols) for the
+    hit rows. Like ``with_running_sum``, but the window inside a range
+    partition runs only on the partitions that hold a wanted rank."""
+    spark = df.sparkSession
+    if not ranks:
+        return []
+    stored = work_dir(spark, "rank-lookup")
+    df.orderBy(*_cols(order)).withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
+    tagged = spark.read.parquet(stored).withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
+    totals = sorted(tuple(r) for r in tagged.groupBy("_tr_part").agg(F.sum(weight)).collect())
+    rows, seen, wanted = [], 0, set()
+    for part_id, w in totals:
+        w = w or 0
+        if any(seen <= g < seen + w for g in ranks):
+            wanted.add(part_id)
+            rows.append((part_id, seen))
+        seen += w
+    offsets = spark.createDataFrame(rows, "_tr_part long, _tr_offset long")
+    inside = Window.partitionBy("_tr_part").orderBy("_tr_mid").rowsBetween(Window.unboundedPreceding, -1)
+    sub = tagged.where(F.col("_tr_part").isin(sorted(wanted))).join(F.broadcast(offsets), "_tr_part")
+    cum = F.col("_tr_offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
+    ranked = sub.select(cum.alias("_tr_cum"), F.col(weight).alias("_tr_w"), *cols)
+    hit = F.lit(False)
+    for g in sorted(set(ranks)):
+        hit = hit | ((F.col("_tr_cum") <= F.lit(g)) & (F.lit(g) < F.col("_tr_cum") + F.col("_tr_w")))
+    return [tuple(r) for r in ranked.where(hit).collect()]
+
+
 def rolling_last_n(
     df: DataFrame,
     pos: str,

@@ -48,3 +48,17 @@ def test_running_sum_matches_cumsum(spark):
     exp = pd.DataFrame(rows, columns=["g", "v", "w"]).sort_values(["g", "v"])
     exp["cum"] = exp.w.cumsum() - exp.w
     assert list(got.cum) == list(exp.cum)
+
+
+def test_rows_at_ranks_matches_cumsum(spark):
+    from tabrail.operators.positions import rows_at_ranks
+
+    rows = [(i % 7, float(i), (i % 5) + 1) for i in range(500)]
+    df = spark.createDataFrame(rows, "g long, v double, w long")
+    exp = pd.DataFrame(rows, columns=["g", "v", "w"]).sort_values(["g", "v"]).reset_index(drop=True)
+    exp["cum"] = exp.w.cumsum() - exp.w
+    ranks = [0, 5, 17, 640, int(exp.w.sum()) - 1]
+    got = rows_at_ranks(df, ["g", "v"], "w", ranks, ["v"])
+    for g in ranks:
+        row = exp[(exp.cum <= g) & (g < exp.cum + exp.w)].iloc[0]
+        assert any(c == row.cum and v == row.v for c, w, v in got)
