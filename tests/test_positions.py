@@ -62,3 +62,15 @@ def test_rows_at_ranks_matches_cumsum(spark):
     for g in ranks:
         row = exp[(exp.cum <= g) & (g < exp.cum + exp.w)].iloc[0]
         assert any(c == row.cum and v == row.v for c, w, v in got)
+
+
+import pytest
+
+
+@pytest.mark.parametrize("n,block", [(1, 1), (2, 3), (5, 5), (9, 4), (30, 7), (64, 1000)])
+def test_rolling_sizes_and_blocks(spark, n, block):
+    vals = [float((i * 13) % 29) for i in range(200)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "pos long, v double")
+    got = rolling_last_n(df, "pos", n, {"s": F.sum("v")}, block_rows=block).orderBy("pos").toPandas()
+    exp = pd.Series(vals).rolling(n, min_periods=1).sum()
+    assert len(got) == 200 and (abs(got.s - exp) < 1e-9).all()
