@@ -131,3 +131,25 @@ def test_stream_results_reader_resumes(spark, train):
     ST.start_sink(reader, f"{root}/copy", f"{root}/ckr").awaitTermination()
     from tabrail.sources.tables import read_results
     assert read_results(spark, f"{root}/copy").count() == recs.count()
+
+
+def test_score_requests_responses(spark, train):
+    from tabrail.functions import rules as R
+
+    model = M.fit(M.stump_estimator(fx.STUMP_FEATURES), train, ["row_key"])
+    feats = list(fx.CHARGE_FEATURES)
+    good = ", ".join(f'"{c}": {i + 1}.5' for i, c in enumerate(feats))
+    nan = good.replace('"l_tax": 4.5', '"l_tax": "NaN"')
+    bodies = [("ok", "{" + good + "}"), ("zero", "{" + good.replace("1.5", "0") + "}"),
+              ("text", "{" + good.replace("2.5", '"abc"') + "}"), ("nan", "{" + nan + "}"),
+              ("junk", "not json")]
+    req = spark.createDataFrame(bodies, "request_id string, body string")
+    out = {r.request_id: r for r in R.score_requests(req, model, feats).collect()}
+    ok = out["ok"]
+    assert ok.success and ok.status == 200 and ok.error is None
+    expect = M.predict_one(spark, model, feats, **{c: i + 1.5 for i, c in enumerate(feats)})
+    assert ok.predicted_price == round(expect, 4)
+    assert ok.formatted_price == f"${expect * 100000:,.2f}"
+    assert (out["zero"].status, out["text"].status, out["nan"].status, out["junk"].status) == (400, 400, 500, 500)
+    assert not any(out[k].success for k in ("zero", "text", "nan", "junk"))
+    assert all(out[k].predicted_price is None for k in ("zero", "text", "nan", "junk"))
