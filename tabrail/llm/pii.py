@@ -108,6 +108,16 @@ def _score(kind: str, text: Column, start: Column, end: Column) -> Column:
     return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), s)), 2)
 
 
+def _confirmed(kind: str) -> Column:
+    """The candidates of a kind that pass its validator, as (kind, start, end, score)."""
+    def span(x):
+        end = x["start"] + F.length(x["m"])
+        return F.struct(F.lit(kind).alias("kind"), x["start"].alias("start"), end.alias("end"), _score(kind, F.col("text"), x["start"], end).alias("score"))
+
+    spans = F.transform(F.filter(f"m_{kind}", lambda x: _valid(kind, x["m"])), span)
+    return spans if kind in BASE_KINDS else F.filter(spans, lambda x: x["score"] >= KEEP)
+
+
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, spans): spans is an array of (kind, start, end, score).
 
@@ -123,10 +133,7 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         gate = F.contains("text", F.lit("@")) if kind == "email" else F.col("text").rlike(_GATE[kind])
         df = df.withColumn(f"m_{kind}", F.when(gate, _find(seen.get(kind, F.col("text")), _PATTERN[kind])).otherwise(F.array().cast(_NONE)))
     for kind in KINDS:
-        spans = F.transform(F.filter(f"m_{kind}", lambda x, k=kind: _valid(k, x["m"])), lambda x, k=kind: F.struct(
-            F.lit(k).alias("kind"), x["start"].alias("start"), (x["start"] + F.length(x["m"])).alias("end"),
-            _score(k, F.col("text"), x["start"], x["start"] + F.length(x["m"])).alias("score")))
-        df = df.withColumn(f"m_{kind}", spans if kind in BASE_KINDS else F.filter(spans, lambda x: x["score"] >= KEEP))
+        df = df.withColumn(f"m_{kind}", _confirmed(kind))
     return df.select("doc_id", "text", *[F.col(f"m_{k}").alias(k) for k in KINDS])
 
 
