@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from tabrail.llm.pii import op4_pii
+from tabrail.llm.bpe import op7_rank_queue_bpe
+from tabrail.llm.html_extract import op1_text_density
+from tabrail.llm.packing import op8_grouping_genetic
 from tabrail.llm.sharding import op2_weighted_hash_tree
 
 QUERIES = {
+    "op1_text_density": op1_text_density,
     "op2_weighted_hash_tree": op2_weighted_hash_tree,
     "op4_pii": op4_pii,
+    "op7_rank_queue_bpe": op7_rank_queue_bpe,
+    "op8_grouping_genetic": op8_grouping_genetic,
 }
 ORACLE_SQL: dict[str, str] = {}
