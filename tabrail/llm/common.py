@@ -42,17 +42,23 @@ def release(df: DataFrame) -> None:
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, doc_id, text) with a unique, ordered ``key`` and no null text.
+    """(key, doc_id, text) with a unique, ordered ``key`` and no null text."""
+    return keyed_rows(docs, id_col, text_col)[0]
+
+
+def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> tuple[DataFrame, bool]:
+    """(key, doc_id, text) and whether the keys are the ids; with ``carry`` also ``row``, all columns as a struct.
 
     Unique non-null ids are their own keys. Otherwise (null or repeated ids)
     rows are numbered in (doc_id, text) order, nulls first; the numbering is
     stored, so every later read sees the same keys.
     """
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] * carry
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *whole)
     # One partial aggregate per id; only the number of ids that repeat comes back.
     odd = base.groupBy("doc_id").count().where("doc_id is null or count > 1").limit(1).count()
     if not odd:
-        return base.select(F.col("doc_id").alias("key"), "doc_id", "text")
+        return base.select(F.col("doc_id").alias("key"), *base.columns), True
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     digest = F.sha2("text", 256)
     tagged = stage(
@@ -62,7 +68,7 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     part, within = F.shiftrightunsigned("tag", 33), F.col("tag").bitwiseAND(F.lit((1 << 33) - 1))
     counts = tagged.groupBy(part.alias("part")).count()
     start = counts.select("part", (F.sum("count").over(Window.orderBy("part")) - F.col("count")).alias("start"))
-    return tagged.withColumn("part", part).join(start, "part").select((F.col("start") + within).alias("key"), "doc_id", "text")
+    return tagged.withColumn("part", part).join(start, "part").select((F.col("start") + within).alias("key"), *base.columns), False
 
 
 def texts_of(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
