@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from tabrail.llm.pii import op4_pii
+from tabrail.llm.ann import op9_stable_projections
 from tabrail.llm.bpe import op7_rank_queue_bpe
 from tabrail.llm.html_extract import op1_text_density
+from tabrail.llm.jaccard import op3_grouped_prefix_join
 from tabrail.llm.packing import op8_grouping_genetic
+from tabrail.llm.pii import op4_pii
 from tabrail.llm.sharding import op2_weighted_hash_tree
+from tabrail.llm.spotsigs import op6_spotsigs
+from tabrail.llm.suffix_dedup import op10_run_length_index
+from tabrail.llm.toxicity import op5_noisy_channel
 
 QUERIES = {
     "op1_text_density": op1_text_density,
     "op2_weighted_hash_tree": op2_weighted_hash_tree,
+    "op3_grouped_prefix_join": op3_grouped_prefix_join,
     "op4_pii": op4_pii,
+    "op5_noisy_channel": op5_noisy_channel,
+    "op6_spotsigs": op6_spotsigs,
     "op7_rank_queue_bpe": op7_rank_queue_bpe,
     "op8_grouping_genetic": op8_grouping_genetic,
+    "op9_stable_projections": op9_stable_projections,
+    "op10_run_length_index": op10_run_length_index,
 }
 ORACLE_SQL: dict[str, str] = {}
