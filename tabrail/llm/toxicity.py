@@ -249,19 +249,19 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of labelled rows; trigrams on every text of ``docs``."""
     spark = docs.sparkSession
     restorer = Restorer(trigram_counts(docs))
-    own = labels.select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("y")).where("id is not null and y in (0, 1)")
+    own = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("y")).where("id is not null and y in (0, 1)")
     own = own.withColumn("fold", _remainder(F.col("id"))).where("fold != 1")
     rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
     chosen = own.withColumn("i", rank).where(F.col("i") <= TRAIN_ROWS).select("id", "y", "fold")
     # 2 * TRAIN_ROWS rows at most, whatever the input's size.
-    train = docs.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
+    train = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "id")
 
     def features(batches):
         words = Words(restorer)
         known: dict[str, list[int]] = {}
         for b in batches:
             rows = []
-            for y, fold, text in zip(b["y"], b["fold"], b["text"]):
+            for key, y, fold, text in zip(b["id"], b["y"], b["fold"], b["text"]):
                 found, feats = words_of(text), []
                 for w in found:
                     f = known.get(w)
@@ -272,13 +272,16 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
                     feats.append(f)
                 # Min-hashes of word triples stand for a text and its near copies.
                 crcs = np.array([zlib.crc32(" ".join(t).encode()) for t in zip(found, found[1:], found[2:])] or [zlib.crc32(text.encode())], np.uint64)
-                rows.append((y, fold, *(int((crcs * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()) for m in MARKS), feats))
-            yield pd.DataFrame(rows, columns=["y", "fold", "m0", "m1", "m2", "feats"])
+                rows.append((key, y, fold, *(int((crcs * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()) for m in MARKS), feats))
+            yield pd.DataFrame(rows, columns=["id", "y", "fold", "m0", "m1", "m2", "feats"])
 
-    texts = train.repartition(8).mapInPandas(features, "y int, fold long, m0 long, m1 long, m2 long, feats array<array<int>>")
-    for m in ("m0", "m1", "m2"):
-        texts = texts.dropDuplicates(["y", m])
+    texts = train.repartition(8).mapInPandas(features, "id long, y int, fold long, m0 long, m1 long, m2 long, feats array<array<int>>")
     texts = stage(texts, "train")
+    light = texts.drop("feats")
+    for m in ("m0", "m1", "m2"):
+        # The smallest id stands for its near copies, so that a fit repeats exactly.
+        light = light.groupBy("y", m).agg(F.min_by(F.struct(*light.columns), "id").alias("x")).select("x.*")
+    texts = stage(texts.join(light.select("id"), "id", "left_semi"), "train")
     size = {(r["y"], r["fold"]): r["n"] for r in texts.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not any(y == 0 for y, _ in size) or not any(y == 1 for y, _ in size):
         return Model(restorer, {}, None)

@@ -19,10 +19,12 @@ def test_stages_against_brute_force(spark):
     for f in frames[1:-1]:
         assert f.columns == docs.columns and [x.dataType for x in f.schema] == [x.dataType for x in docs.schema]
     rows = [{r.doc_id: r for r in f.collect()} for f in frames[:-1]]
-    # 1: rejected texts hold a word that marks toxic texts; clean labelled ones stay.
+    # 1: exactly the predicted ones go, and hardly a clean one (accuracy: test_toxicity.py, on more labels).
     labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
     gone = set(rows[0]) - set(rows[1])
-    assert sum(labels.get(i) == 0 for i in gone) <= 2 and sum(labels.get(i) == 1 for i in gone) >= 0.8 * sum(labels.values())
+    model = toxicity.learn(docs, table(spark, SF, "labels"))
+    assert gone == {r.doc_id for r in toxicity.score_documents(docs, model).collect() if r.predicted}
+    assert sum(labels.get(i) == 0 for i in gone) <= 2 and sum(labels.get(i) == 1 for i in gone) >= 0.5 * sum(labels.values())
     assert all(rows[1][i] == rows[0][i] for i in rows[1])
     # 2: one document of each group of near copies.
     own = sorted((i, r.text) for i, r in rows[1].items())
