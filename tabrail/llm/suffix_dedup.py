@@ -165,15 +165,20 @@ class RunLengthIndex:
         self.head_samples, self.end_samples = order[self.run_starts], order[ends]
         self.order = order
 
+    @staticmethod
+    def _sevens(text: np.ndarray) -> np.ndarray:
+        """Seven characters from each position as one number."""
+        key = np.zeros(len(text), np.int64)
+        for i in range(7):
+            key <<= 9
+            key[:len(text) - i] |= text[i:]
+        return key
+
     @staticmethod
     def _suffix_order(text: np.ndarray) -> np.ndarray:
         """Order of all suffixes by prefix doubling; ends of text sort first."""
         n = len(text)
-        key = np.zeros(n, np.int64)
-        for i in range(7):
-            key <<= 9
-            key[:n - i] |= text[i:]
-        step = 7
+        key, step = RunLengthIndex._sevens(text), 7
         while True:
             order = np.argsort(key, kind="stable")
             k = key[order]
@@ -196,6 +201,15 @@ class RunLengthIndex:
         pos, prev = self.head_samples, np.concatenate([[0], self.end_samples[:-1]])
         length = np.zeros(len(pos), np.int64)
         live = np.arange(1, len(pos))  # the first suffix has none before it
+        # Seven characters at a time as long as none of them is an end mark, then one at a time.
+        sevens = self._sevens(text)
+        ends = np.concatenate([np.nonzero(text == 0)[0], [n]])
+        to_end = ends[np.searchsorted(ends, np.arange(n))] - np.arange(n)
+        far = live
+        while len(far):
+            x, y = pos[far] + length[far], prev[far] + length[far]
+            far = far[(sevens[x] == sevens[y]) & (to_end[x] >= 7) & (to_end[y] >= 7)]
+            length[far] += 7
         while len(live):
             x, y = pos[live] + length[live], prev[live] + length[live]
             inside = (x < n) & (y < n)
@@ -268,7 +282,8 @@ def hot_windows(batches):
 def repeated_ranges(rows: DataFrame) -> DataFrame:
     """(key, lo, hi): byte ranges covered by strings that start earlier (they may overlap)."""
     occ = occurrences(rows)
-    often = occ.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    # Stored, so that both sides of the join are plain exchanges, whose hot keys Spark can split.
+    often = stage(occ.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"), "often")
     again = stage(occ.join(often, "h"), "segments")
     # One row per different segment; of equal ones the first stays.
     kind = stage(again.groupBy("h", "c").agg(F.min(F.struct("key", "at")).alias("first"), F.count(F.lit(1)).alias("n")), "kinds")
