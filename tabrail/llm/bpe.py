@@ -1,13 +1,13 @@
 """Byte-level BPE by a hierarchical-bitmap rank queue; decoding; token counts.
 
 Merging: positions of a linked list of tokens wait in one bucket per merge
-rank; a three-level bitmap over the ranks finds the lowest non-empty bucket
+rank; a two-level bitmap over the ranks finds the lowest non-empty bucket
 by find-first-set; entries whose pair has changed since are skipped. A
 pre-token of any length costs O(n log n), which suits very long ones.
 
 Texts are split at single spaces first (a space before a non-space always
-begins a pre-token), so that recurring words are merged once per task; the
-table of words is emptied when it is full. Texts with runs of white space
+begins a pre-token), so that recurring words and pre-tokens are merged once
+per worker; a table of them is emptied when it is full. Texts with runs of white space
 take the pattern over the whole text.
 
 Rows: a null or empty text has no tokens; null ids and repeated rows are
@@ -29,10 +29,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrail.llm.common import table
+from tabrail.llm.common import kept_in_worker, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
-#: Words kept per task; beyond it the table starts anew.
+#: Words, and pre-tokens, kept per worker; beyond it their table starts anew.
 WORDS = 200_000
 _RUN = re.compile(r"\s\s")
 
@@ -52,84 +52,91 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+_BIT = [1 << i for i in range(256)]
+
+
 class RankQueue:
-    """Positions by rank; ``pop`` gives the lowest rank's first position."""
+    """Bitmaps over the ranks: one bit a rank in words of 256, one bit a non-empty word above them."""
 
     def __init__(self, ranks: int):
-        self.words = [0] * ((ranks >> 6) + 1)
-        self.groups = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            w, g = rank >> 6, rank >> 12
-            self.words[w] |= 1 << (rank & 63)
-            self.groups[g] |= 1 << (w & 63)
-            self.top |= 1 << g
-        else:
-            heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int] | None:
-        top = self.top
-        if not top:
-            return None
-        g = (top & -top).bit_length() - 1
-        group = self.groups[g]
-        w = (g << 6) | ((group & -group).bit_length() - 1)
-        word = self.words[w]
-        rank = (w << 6) | ((word & -word).bit_length() - 1)
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.words[w] = word & (word - 1)
-            if not self.words[w]:
-                self.groups[g] = group & (group - 1)
-                if not self.groups[g]:
-                    self.top = top & (top - 1)
-        return rank, position
+        self.words = [0] * ((ranks >> 8) + 1)  # all zero between merges
 
 
 def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one pre-token: lowest rank first, leftmost among equals."""
-    whole = ranks.get(piece)
+    """Ids of one pre-token: lowest rank first, leftmost among equals.
+
+    Queue operations stand inline: they are the inner loop."""
+    get = ranks.get
+    whole = get(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
     nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
     pair = [-1] * n  # rank of the pair that starts here; -1: none, or the token is gone
-    get, push, pop = ranks.get, queue.push, queue.pop
+    words, top, buckets, bit = queue.words, 0, {}, _BIT
     for i in range(n - 1):
         r = get(piece[i:i + 2])
         if r is not None:
             pair[i] = r
-            push(r, i)
-    while (first := pop()) is not None:
-        rank, i = first
+            if r in buckets:
+                buckets[r].append(i)  # ascending, so it is a heap
+            else:
+                buckets[r] = [i]
+                w = r >> 8
+                words[w] |= bit[r & 255]
+                top |= 1 << w
+    while top:
+        # Find-first-set on both levels gives the lowest rank; its bucket the leftmost position.
+        w = (top & -top).bit_length() - 1
+        word = words[w]
+        low = word & -word
+        rank = (w << 8) + low.bit_length() - 1
+        bucket = buckets[rank]
+        if len(bucket) > 1:
+            i = heappop(bucket)
+        else:
+            i = bucket[0]
+            del buckets[rank]
+            words[w] = word = word ^ low
+            if not word:
+                top &= top - 1
         if pair[i] != rank:
-            continue
+            continue  # stale: its pair has changed since
         j = nxt[i]
         k = nxt[j]
-        nxt[i], pair[j], pair[i] = k, -1, -1
+        nxt[i] = k
+        pair[j] = pair[i] = -1
         if k < n:
             prv[k] = i
             r = get(piece[i:nxt[k]])
             if r is not None:
                 pair[i] = r
-                push(r, i)
+                if r in buckets:
+                    heappush(buckets[r], i)
+                else:
+                    buckets[r] = [i]
+                    w = r >> 8
+                    words[w] |= bit[r & 255]
+                    top |= 1 << w
         p = prv[i]
         if p >= 0:
             r = get(piece[p:k])
-            pair[p] = -1 if r is None else r
-            if r is not None:
-                push(r, p)
+            if r is None:
+                pair[p] = -1
+            else:
+                pair[p] = r
+                if r in buckets:
+                    heappush(buckets[r], p)
+                else:
+                    buckets[r] = [p]
+                    w = r >> 8
+                    words[w] |= bit[r & 255]
+                    top |= 1 << w
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i:nxt[i]]])
-        i = nxt[i]
+        k = nxt[i]
+        out.append(ranks[piece[i:k]])
+        i = k
     return out
 
 
@@ -142,11 +149,20 @@ class Encoder:
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(max(self.ranks.values()) + 1)
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
+        self.merged: dict[str, list[int]] = {}
 
     def pieces(self, text: str) -> tuple[tuple[int, ...], str]:
         ids: list[int] = []
+        merged = self.merged
         for p in self.pattern.findall(text):
-            ids += merge(p.encode("utf-8"), self.ranks, self.queue)
+            own = merged.get(p)
+            if own is None:
+                own = merge(p.encode("utf-8"), self.ranks, self.queue)
+                if len(p) < 64:
+                    if len(merged) > WORDS:
+                        merged.clear()
+                    merged[p] = own
+            ids += own
         return tuple(ids), " ".join(map(str, ids))
 
     def words(self, text: str) -> list[tuple[tuple[int, ...], str]]:
@@ -184,7 +200,7 @@ def encode_documents(docs: DataFrame, path: str = RANK_FILE, id_col: str = "doc_
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
     def run(batches):
-        enc = Encoder(path)
+        enc = kept_in_worker(f"bpe:{path}", lambda: Encoder(path))
         for b in batches:
             n, a, d, all_ids = [], [], [], []
             for t in b.column("text"):

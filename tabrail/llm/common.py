@@ -71,6 +71,16 @@ def keyed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return tagged.withColumn("part", part).join(start, "part").select((F.col("start") + within).alias("key"), *base.columns), False
 
 
+def kept_in_worker(name: str, make: Callable):
+    """``make()`` once per Python worker process; later tasks of the worker find it again."""
+    import __main__
+
+    own = __main__.__dict__.setdefault("_tabrail_kept", {})
+    if name not in own:
+        own[name] = make()
+    return own[name]
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string or binary column (null: empty)."""
     col = batch.column(name)

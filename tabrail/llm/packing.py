@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabrail.llm.bpe import _RUN, WORDS, load_ranks
-from tabrail.llm.common import stage, table
+from tabrail.llm.common import kept_in_worker, stage, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY, END_ID = 1024, 2
@@ -77,7 +77,7 @@ def pieces(docs: DataFrame, path: str = TOKENIZER, capacity: int = CAPACITY, id_
     kind = rows.schema["doc_id"].dataType
 
     def run(batches):
-        count, end = Counter(path), np.array([END_ID], "<u4").tobytes()
+        count, end = kept_in_worker(f"count:{path}", lambda: Counter(path)), np.array([END_ID], "<u4").tobytes()
         for b in batches:
             out = []
             for i, t in enumerate(b.column("text")):
