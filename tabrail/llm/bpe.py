@@ -20,9 +20,9 @@ import base64
 import hashlib
 import json
 import re
-from heapq import heappop, heappush
 from itertools import chain
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -33,7 +33,9 @@ from tabrail.llm.common import kept_in_worker, table
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Words, and pre-tokens, kept per worker; beyond it their table starts anew.
-WORDS = 200_000
+WORDS = 400_000
+#: Texts whose new pre-tokens are merged together.
+AT_ONCE = 200
 _RUN = re.compile(r"\s\s")
 
 
@@ -58,136 +60,162 @@ _BIT = [1 << i for i in range(256)]
 class RankQueue:
     """Bitmaps over the ranks: one bit a rank in words of 256, one bit a non-empty word above them."""
 
-    def __init__(self, ranks: int):
-        self.words = [0] * ((ranks >> 8) + 1)  # all zero between merges
+    def __init__(self, ranks: dict[bytes, int]):
+        self.words = [0] * ((max(ranks.values()) >> 8) + 1)  # all zero between merges
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)])
+        self.pairs = np.full(1 << 16, -1)
+        for t, r in ranks.items():
+            if len(t) == 2:
+                self.pairs[t[0] * 256 + t[1]] = r
 
 
-def merge(piece: bytes, ranks: dict[bytes, int], queue: RankQueue) -> list[int]:
-    """Ids of one pre-token: lowest rank first, leftmost among equals.
+def merge_all(pieces: list[bytes], ranks: dict[bytes, int], queue: RankQueue) -> list[list[int]]:
+    """Ids of each pre-token: lowest rank first, leftmost among equals.
 
+    All pre-tokens share one linked list, with a barrier behind each that no
+    pair crosses, and one queue; only the order inside a pre-token matters.
     Queue operations stand inline: they are the inner loop."""
-    get = ranks.get
-    whole = get(piece)
-    if whole is not None:
-        return [whole]
-    n = len(piece)
+    if not pieces:
+        return []
+    buf = b"\0".join(pieces) + b"\0"
+    n = len(buf)
+    ends = np.cumsum([len(p) + 1 for p in pieces]) - 1
+    data = np.frombuffer(buf, np.uint8).astype(np.int64)
+    inside = np.ones(n, bool)
+    inside[ends] = False
+    first = queue.pairs[data[:-1] * 256 + data[1:]]
+    first[~(inside[:-1] & inside[1:])] = -1
+    pair = first.tolist() + [-1]  # rank of the pair that starts here; -1: none, or the token is gone
+    ids = queue.bytes[data].tolist()
+    barrier = (~inside).tolist()
     nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
-    pair = [-1] * n  # rank of the pair that starts here; -1: none, or the token is gone
-    words, top, buckets, bit = queue.words, 0, {}, _BIT
-    for i in range(n - 1):
-        r = get(piece[i:i + 2])
-        if r is not None:
-            pair[i] = r
-            if r in buckets:
-                buckets[r].append(i)  # ascending, so it is a heap
-            else:
-                buckets[r] = [i]
-                w = r >> 8
-                words[w] |= bit[r & 255]
-                top |= 1 << w
+    get, words, top, buckets, bit = ranks.get, queue.words, 0, {}, _BIT
+    # Buckets of the first pairs: positions by rank.
+    at = np.nonzero(first >= 0)[0]
+    at = at[np.argsort(first[at], kind="stable")]
+    for own in np.split(at, np.nonzero(np.diff(first[at]))[0] + 1) if len(at) else []:
+        r = pair[own[0]]
+        buckets[r] = own.tolist()
+        words[r >> 8] |= bit[r & 255]
+        top |= 1 << (r >> 8)
     while top:
         # Find-first-set on both levels gives the lowest rank; its bucket the leftmost position.
         w = (top & -top).bit_length() - 1
         word = words[w]
         low = word & -word
         rank = (w << 8) + low.bit_length() - 1
-        bucket = buckets[rank]
-        if len(bucket) > 1:
-            i = heappop(bucket)
-        else:
-            i = bucket[0]
-            del buckets[rank]
-            words[w] = word = word ^ low
-            if not word:
-                top &= top - 1
-        if pair[i] != rank:
-            continue  # stale: its pair has changed since
-        j = nxt[i]
-        k = nxt[j]
-        nxt[i] = k
-        pair[j] = pair[i] = -1
-        if k < n:
+        words[w] = word = word ^ low
+        if not word:
+            top &= top - 1
+        bucket = buckets.pop(rank)
+        bucket.sort(reverse=True)  # leftmost last
+        lowest = rank
+        while bucket:
+            i = bucket.pop()
+            if pair[i] != rank:
+                continue  # stale: its pair has changed since
+            j = nxt[i]
+            k = nxt[j]
+            nxt[i] = k
             prv[k] = i
-            r = get(piece[i:nxt[k]])
-            if r is not None:
-                pair[i] = r
-                if r in buckets:
-                    heappush(buckets[r], i)
-                else:
-                    buckets[r] = [i]
-                    w = r >> 8
-                    words[w] |= bit[r & 255]
-                    top |= 1 << w
-        p = prv[i]
-        if p >= 0:
-            r = get(piece[p:k])
-            if r is None:
-                pair[p] = -1
+            ids[i] = rank  # a token's id is its rank
+            pair[j] = -1
+            if barrier[k]:
+                pair[i] = -1
             else:
+                r = get(buf[i:nxt[k]], -1)
+                pair[i] = r
+                if r >= 0:
+                    if r == rank:
+                        bucket.append(i)
+                        bucket.sort(reverse=True)
+                    elif r in buckets:
+                        buckets[r].append(i)
+                    else:
+                        buckets[r] = [i]
+                        words[r >> 8] |= bit[r & 255]
+                        top |= 1 << (r >> 8)
+                    if r < lowest:
+                        lowest = r
+            p = prv[i]
+            if p >= 0 and not barrier[p]:
+                r = get(buf[p:k], -1)
                 pair[p] = r
-                if r in buckets:
-                    heappush(buckets[r], p)
-                else:
-                    buckets[r] = [p]
-                    w = r >> 8
-                    words[w] |= bit[r & 255]
-                    top |= 1 << w
+                if r >= 0:
+                    if r == rank:
+                        bucket.append(p)
+                        bucket.sort(reverse=True)
+                    elif r in buckets:
+                        buckets[r].append(p)
+                    else:
+                        buckets[r] = [p]
+                        words[r >> 8] |= bit[r & 255]
+                        top |= 1 << (r >> 8)
+                    if r < lowest:
+                        lowest = r
+            if lowest < rank:
+                # A lower rank has come up: the rest of this bucket waits for its turn.
+                if bucket:
+                    buckets[rank] = bucket
+                    words[rank >> 8] |= bit[rank & 255]
+                    top |= 1 << (rank >> 8)
+                break
     out, i = [], 0
+    own: list[int] = []
     while i < n:
-        k = nxt[i]
-        out.append(ranks[piece[i:k]])
-        i = k
+        if barrier[i]:
+            out.append(own)
+            own = []
+        else:
+            own.append(ids[i])
+        i = nxt[i]
     return out
 
 
 class Encoder:
-    """Ids of whole texts; ``encode`` gives one tuple of ids per word or piece."""
+    """Ids of whole texts; recurring words and pre-tokens are kept."""
 
     def __init__(self, path: str = RANK_FILE, pattern: str = public_tokenizers.PATTERN):
         self.ranks = load_ranks(path)
         self.table = {i: t for t, i in self.ranks.items()}
         self.pattern = regex.compile(pattern)
-        self.queue = RankQueue(max(self.ranks.values()) + 1)
+        self.queue = RankQueue(self.ranks)
         self.known: dict[str, tuple[tuple[int, ...], str]] = {}
         self.merged: dict[str, list[int]] = {}
 
-    def pieces(self, text: str) -> tuple[tuple[int, ...], str]:
-        ids: list[int] = []
-        merged = self.merged
-        for p in self.pattern.findall(text):
-            own = merged.get(p)
-            if own is None:
-                own = merge(p.encode("utf-8"), self.ranks, self.queue)
-                if len(p) < 64:
-                    if len(merged) > WORDS:
-                        merged.clear()
-                    merged[p] = own
-            ids += own
-        return tuple(ids), " ".join(map(str, ids))
-
-    def words(self, text: str) -> list[tuple[tuple[int, ...], str]]:
-        """(ids, their decimal text) of consecutive parts of the text."""
-        if not text:
-            return []
-        if _RUN.search(text):
-            return [self.pieces(text)]
-        first, *rest = text.split(" ")
-        known = self.known
-        found = list(map(known.get, rest))
-        if None in found:
-            if len(known) > WORDS:
-                known.clear()
-            for i, x in enumerate(found):
-                if x is None:
-                    w = rest[i]
-                    x = known.get(w)
-                    if x is None:
-                        x = known[w] = self.pieces(" " + w)
-                    found[i] = x
-        return [self.pieces(first), *found] if first else found
+    def _join(self, found: list[str]) -> tuple[tuple[int, ...], str]:
+        ids = tuple(chain.from_iterable(map(self.merged.__getitem__, found)))
+        return ids, " ".join(map(str, ids))
+
+    def words(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str]]]:
+        """For each text, (ids, their decimal text) of consecutive parts."""
+        known, merged, find = self.known, self.merged, self.pattern.findall
+        if len(known) > WORDS:
+            known.clear()
+        if len(merged) > WORDS:
+            merged.clear()
+        # Texts with runs of white space stay whole; in others a single space begins each part but the first.
+        parts = [([], t) if _RUN.search(t) else (lambda first, *rest: (rest, first))(*t.split(" ")) for t in texts]
+        # Letters alone are one pre-token, with one full stop or comma behind them two; the pattern splits the rest.
+        fresh = {w: [" " + w] if w.isalpha() else [" " + w[:-1], w[-1]] if w[-1:] in (".", ",") and w[:-1].isalpha() else find(" " + w)
+                 for w in set(chain.from_iterable(rest for rest, _ in parts)) if w not in known}
+        heads = [find(first) for _, first in parts]
+        todo = list({p for found in chain(fresh.values(), heads) for p in found if p not in merged})
+        done = []
+        for p in todo:
+            own = self.ranks.get(p.encode())
+            if own is not None:
+                merged[p] = [own]
+            else:
+                done.append(p)
+        for p, ids in zip(done, merge_all([p.encode() for p in done], self.ranks, self.queue)):
+            merged[p] = ids
+        for w, found in fresh.items():
+            known[w] = self._join(found)
+        return [[self._join(head), *map(known.__getitem__, rest)] if head else list(map(known.__getitem__, rest)) for head, (rest, _) in zip(heads, parts)]
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(x[0] for x in self.words(text)))
+        return list(chain.from_iterable(x[0] for x in self.words([text])[0]))
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
@@ -203,8 +231,8 @@ def encode_documents(docs: DataFrame, path: str = RANK_FILE, id_col: str = "doc_
         enc = kept_in_worker(f"bpe:{path}", lambda: Encoder(path))
         for b in batches:
             n, a, d, all_ids = [], [], [], []
-            for t in b.column("text"):
-                parts = enc.words(t.as_py() or "")
+            texts = b.column("text").to_pylist()
+            for parts in chain.from_iterable(enc.words([t or "" for t in texts[i:i + AT_ONCE]]) for i in range(0, len(texts), AT_ONCE)):
                 ids = list(chain.from_iterable(x[0] for x in parts))
                 n.append(len(ids))
                 a.append(hashlib.sha256(" ".join([x[1] for x in parts if x[1]]).encode()).hexdigest())
