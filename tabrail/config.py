@@ -32,6 +32,11 @@ MONITOR_UNIT_FACTOR = 100.0  # $100,000 -> $1,000
 FOREST_TREES = 100
 FOREST_DEPTH = 10
 SEED = 42
+# Part of the model, as a forest's draws depend on both: partitions of the
+# training rows and the node-statistics budget (MB). Fixed parameters, not
+# read from the session or the heap; raise the partitions for large tables.
+FOREST_PARTITIONS = 32
+FOREST_STATS_MB = 64
 TEST_FRACTION = 0.2
 LAST_N = 100
 LAST_N_DEFAULT = 50
@@ -95,7 +100,10 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        # Only reached when nothing names a shared folder (local tests).
+        # A folder of this machine serves local runs alone: on a cluster each
+        # executor would write to its own disk.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="tabrail-ckpt-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()

@@ -10,6 +10,7 @@ reference's field-by-field conversion does.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,12 @@ JSON_NULL = 500
 NOT_OBJECT = 500
 MISSING = 400
 
+#: Texts that count as numbers: digits may be apart by single underscores;
+#: a trailing type letter ("5d", "5f") is no number.
+_DIGITS = "[0-9](?:_?[0-9])*"
+NUMBER = (rf"(?i)^\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+          r"|inf(?:inity)?|nan)\s*$")
+
 
 def _raw_schema(features: Sequence[str]) -> T.StructType:
     # Every field as text: JSON numbers keep their literal text, strings
@@ -46,7 +53,7 @@ def request_parse(df: DataFrame, features: Sequence[str], body: str = "body",
     for i, c in enumerate(features):
         present = F.array_contains(keys, F.lit(c))
         text = F.col("_tr_raw")[c]
-        num = text.try_cast("double")
+        num = F.when(text.rlike(NUMBER), F.regexp_replace(text, r"[_\s]", "")).try_cast("double")
         cols[c] = F.when(~present, F.lit(0.0)).otherwise(num)
         codes[f"_tr_code{i}"] = (
             F.when(~present, F.lit(OK))
@@ -69,9 +76,14 @@ def request_parse(df: DataFrame, features: Sequence[str], body: str = "body",
     return with_status.select(*keep, *features, "status", reason.alias("reason"))
 
 
+def any_of(conditions) -> Column:
+    """Or over any number of conditions (``greatest`` needs two)."""
+    return reduce(lambda a, b: a | b, conditions, F.lit(False))
+
+
 def any_zero(features: Sequence[str]) -> Column:
     """Zero and missing are the same to the reference; NaN is not zero."""
-    return F.greatest(*[F.coalesce(F.col(c) == F.lit(0.0), F.lit(False)) for c in features])
+    return any_of(F.coalesce(F.col(c) == F.lit(0.0), F.lit(False)) for c in features)
 
 
 def request_validate(parsed: DataFrame, features: Sequence[str],
@@ -113,7 +125,7 @@ def score_requests(requests: DataFrame, model: PipelineModel, features: Sequence
     """
     checked = request_validate(request_parse(requests, features, body, (request_id,)), features,
                                zero_is_missing)
-    nan_any = F.greatest(*[F.coalesce(F.isnan(c), F.lit(False)) for c in features])
+    nan_any = any_of(F.coalesce(F.isnan(c), F.lit(False)) for c in features)
     status = F.when((F.col("status") == OK) & nan_any, F.lit(500)).otherwise(F.col("status"))
     reason = F.when((F.col("status") == OK) & nan_any, F.lit("prediction failed: NaN feature")) \
         .otherwise(F.col("reason"))

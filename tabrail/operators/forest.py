@@ -17,31 +17,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabrail.config import FOREST_DEPTH, FOREST_TREES, SEED
-
-
-def _size_mb(text: str) -> float:
-    text = text.strip().lower()
-    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
-    if text and text[-1] == "b":
-        text = text[:-1]
-    if text and text[-1] in units:
-        return float(text[:-1]) * units[text[-1]]
-    return float(text) / (1024 * 1024)
-
-
-def stats_budget_mb(spark=None) -> int:
-    """Node-statistics budget per task for the tree builder: a quarter of
-    the heap share of one task slot, between 16 and 1024 MB. The fixed
-    default (256 MB) overruns small heaps when many tasks run at once."""
-    from pyspark.sql import SparkSession
-
-    spark = spark or SparkSession.getActiveSession()
-    conf = spark.sparkContext.getConf()
-    local = spark.sparkContext.master.startswith("local")
-    heap = _size_mb(conf.get("spark.driver.memory" if local else "spark.executor.memory", "1g"))
-    slots = spark.sparkContext.defaultParallelism if local else int(conf.get("spark.executor.cores", "1"))
-    return int(min(1024, max(16, heap / max(1, slots) / 4)))
+from tabrail.config import FOREST_DEPTH, FOREST_PARTITIONS, FOREST_STATS_MB, FOREST_TREES, SEED
 
 
 def forest_estimator(
@@ -59,7 +35,7 @@ def forest_estimator(
     assembler = VectorAssembler(
         inputCols=list(features), outputCol="features", handleInvalid=handle_invalid
     )
-    params.setdefault("maxMemoryInMB", stats_budget_mb())
+    params.setdefault("maxMemoryInMB", FOREST_STATS_MB)
     # Keep each row's node id between levels instead of walking every tree
     # again (2x faster at depth 10 on sf0.1); the id cache is checkpointed
     # every 10 iterations into the session's checkpoint folder.
@@ -86,12 +62,12 @@ def stump_estimator(features: Sequence[str], label: str = "target", max_bins: in
     )
 
 
-def stable_input(df: DataFrame, key: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Fix partition contents and order so that a fit repeats exactly."""
+def stable_input(df: DataFrame, key: Sequence[str], partitions: int = FOREST_PARTITIONS) -> DataFrame:
+    """Fix partition contents and order so that a fit repeats exactly,
+    whatever the session's shuffle partitions are."""
     if not key:
         return df
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *key).sortWithinPartitions(*key)
+    return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
 def fit(estimator: Pipeline, train: DataFrame, key: Sequence[str] = ()) -> PipelineModel:

@@ -52,7 +52,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = Tru
     """
     spark = df.sparkSession
     cols = list(cols or [f.name for f in df.schema.fields
-                         if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "decimal")])
+                         if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "byte", "decimal")])
     if stage:
         # Statistics and ranking both read the input: read it once.
         df = materialize(df.select(*cols), "describe-input")
@@ -123,8 +123,10 @@ def mae_col(label: str = "target", prediction: str = "prediction") -> Column:
 
 
 def r2_col(label: str = "target", prediction: str = "prediction") -> Column:
+    # All terms over the rows that have both values.
+    both = _err(label, prediction).isNotNull()
     sse = F.sum(F.pow(_err(label, prediction), 2))
-    sst = F.var_pop(label) * F.count(F.lit(1))
+    sst = F.var_pop(F.when(both, F.col(label))) * F.count_if(both)
     return F.lit(1.0) - F.try_divide(sse, sst)
 
 
@@ -145,12 +147,12 @@ def r2(df: DataFrame, label: str = "target", prediction: str = "prediction") ->
 
 def regression_report(df: DataFrame, label: str = "target", prediction: str = "prediction") -> DataFrame:
     """rmse, mae and r2 in one pass (three evaluator runs in the
-    reference), plus the count of scored rows."""
+    reference), plus the count of scored rows: those with both values."""
     return df.agg(
         rmse_col(label, prediction).alias("rmse"),
         mae_col(label, prediction).alias("mae"),
         r2_col(label, prediction).alias("r2"),
-        F.count(F.lit(1)).alias("n"),
+        F.count_if(_err(label, prediction).isNotNull()).alias("n"),
     )
 
 

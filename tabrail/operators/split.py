@@ -18,7 +18,8 @@ from tabrail.operators.positions import with_position
 
 
 def key_text(key: Sequence[str]) -> Column:
-    return F.concat_ws(":", *[F.col(c).cast("string") for c in key])
+    # Nulls have a text of their own, so (null, a) and (a, null) differ.
+    return F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in key])
 
 
 def split_hash(key: Sequence[str], seed: int, purpose: str) -> Column:
@@ -27,10 +28,11 @@ def split_hash(key: Sequence[str], seed: int, purpose: str) -> Column:
 
 
 def fraction_cutoff(fraction: float) -> str:
-    """8 hex digits h such that md5 < h holds for ``fraction`` of rows."""
+    """8 hex digits h such that md5 < h holds for ``fraction`` of rows; for
+    1 a text above every digest."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    return format(min(int(round(fraction * 2**32)), 2**32 - 1), "08x")
+    return "g" if fraction == 1.0 else format(math.floor(fraction * 2**32), "08x")
 
 
 def bernoulli_split(
@@ -48,12 +50,6 @@ def bernoulli_split(
     )
 
 
-def random_split_compat(df: DataFrame, weights=(0.8, 0.2), seed: int = 42):
-    """``randomSplit`` as the reference calls it; its rows change with the
-    input partitioning, so the jobs use ``bernoulli_split``."""
-    return df.randomSplit(list(weights), seed=seed)
-
-
 # Buckets of this many rows or fewer are finished with a top-k; larger
 # ones are narrowed by more hex digits of the hash, aiming at TARGET rows.
 CUTOFF_TOP_K = 100_000
@@ -103,9 +99,17 @@ def _at_or_before(h: str, keyvals: tuple, key: Sequence[str]) -> Column:
     cols = ["_tr_h", *key]
     vals = [h, *keyvals]
     # Build from the last column backwards: c0 < v0 or (c0 = v0 and (...)).
-    cond = F.col(cols[-1]) <= F.lit(vals[-1])
-    for c, v in zip(reversed(cols[:-1]), reversed(vals[:-1])):
-        cond = (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & cond)
+    for c, v in zip(reversed(cols), reversed(vals)):
+        # Nulls come first in the order.
+        below = F.lit(False) if v is None else F.coalesce(F.col(c) < F.lit(v), F.lit(True))
+        cond = below | (F.col(c).eqNullSafe(F.lit(v)) & cond)
+    return cond
+
+
+def _equal(h: str, keyvals: tuple, key: Sequence[str]) -> Column:
+    cond = F.col("_tr_h") == F.lit(h)
+    for c, v in zip(key, keyvals):
+        cond = cond & F.col(c).eqNullSafe(F.lit(v))
     return cond
 
 
@@ -124,8 +128,8 @@ def exact_split(
     The cutoff row is found by hash-prefix histograms (``_kth_hash``): a few
     aggregations over the key columns and no sort of the data; the parts
     are then a filter. With ``position`` set, the test rows are numbered
-    0..k-1 in hash order (the replay ids); train rows get null. ``key`` must
-    identify a row. With ``stage`` the hashed input is written once (shared
+    0..k-1 in hash order (the replay ids); train rows get null. Rows that
+    share the cutoff's key are taken by position until the count is met. With ``stage`` the hashed input is written once (shared
     work folder) and every pass reads it back.
     """
     hashed = df.withColumn("_tr_h", split_hash(key, seed, "exact"))
@@ -136,12 +140,20 @@ def exact_split(
     k = int(math.ceil(n * float(test_fraction)))
     cut = _kth_hash(keys_only, key, k, n)
     is_test = _at_or_before(cut[0], cut[1], key) if cut else F.lit(False)
+    if cut:
+        at_cut = _equal(cut[0], cut[1], key)
+        upto, ties = keys_only.agg(F.count_if(is_test), F.count_if(at_cut)).first()
+        if upto > k:
+            # The key repeats: number its rows and take what is missing.
+            tied = with_position(hashed.where(at_cut), [c for c, t in hashed.dtypes if not t.startswith("map")], name="_tr_tie")
+            hashed = hashed.where(~at_cut).withColumn("_tr_tie", F.lit(None).cast("long")).unionByName(tied)
+            is_test = is_test & (F.col("_tr_tie").isNull() | (F.col("_tr_tie") < ties - (upto - k)))
     out = hashed.withColumn(part, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
     if position:
         test = with_position(out.where(F.col(part) == "test"), ["_tr_h", *key], name=position)
         train = out.where(F.col(part) == "train").withColumn(position, F.lit(None).cast("long"))
         out = test.unionByName(train)
-    return out.drop("_tr_h")
+    return out.drop("_tr_h", "_tr_tie")
 
 
 # --- limits -----------------------------------------------------------------

@@ -73,7 +73,7 @@ def train_job(
 ) -> dict:
     """Prepared table if absent (B3) -> publish (B2) -> status started
     (B8) -> split, fit, score, report (M6) -> save (B6) -> completed (B8)."""
-    prepared = materialize_if_absent(train, f"{warehouse}/prepared")
+    prepared = materialize_if_absent(spark, lambda: train, f"{warehouse}/prepared")
     published = publish_tables({"train_data": spark.read.parquet(prepared)}, warehouse)
     data = spark.read.parquet(published["train_data"])
     est = estimator or M.forest_estimator(settings.features, settings.label,
@@ -84,7 +84,8 @@ def train_job(
                                                 1 - settings.test_fraction, settings.seed)
         saved = save_model(model, model_paths)
         status.model_path = saved
-        report = spark.createDataFrame([report.first().asDict()])
+        # One row; with its schema, as R2 is null for a constant label.
+        report = spark.createDataFrame([report.first()], report.schema)
     return {"model": model, "report": report, "predictions": predictions, "model_path": saved}
 
 
@@ -139,7 +140,3 @@ def end_to_end_job(
         "results": results,
         "monitor": monitor_series(results, last_n),
     }
-
-
-def fit_model(train: DataFrame, settings: Settings, estimator: Pipeline) -> PipelineModel:
-    return M.fit(estimator, train, list(settings.key))

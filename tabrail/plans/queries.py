@@ -199,8 +199,8 @@ def publish_table(spark, sf):
 def materialize_if_absent(spark, sf):
     path = f"{work_dir(spark, 'prepared')}/table"
     split = _exact(spark, sf)
-    SK.materialize_if_absent(split.where("part = 'test'").select("row_key", "target"), path)
-    SK.materialize_if_absent(split.where("part = 'train'").select("row_key", "target"), path)
+    SK.materialize_if_absent(spark, lambda: split.where("part = 'test'").select("row_key", "target"), path)
+    SK.materialize_if_absent(spark, lambda: split.where("part = 'train'").select("row_key", "target"), path)
     return _r6(spark.read.parquet(path))
 
 

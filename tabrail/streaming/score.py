@@ -23,6 +23,7 @@ from tabrail.functions.columns import (
     prediction_error,
     stream_record_schema,
 )
+from tabrail.functions.rules import any_of
 
 # Topic names and run limits of the reference deployment.
 INPUT_TOPIC = "house-prices-input"
@@ -70,16 +71,17 @@ def decode_records(raw: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def complete_record(features: Sequence[str]):
-    cols = ["id", *features, "actual_price"]
-    return F.greatest(*[F.col(c).isNull() for c in cols]) == F.lit(False)
+    """Whether the model can score the record: only the features feed it."""
+    return ~any_of(F.col(c).isNull() for c in features)
 
 
 def quarantine(decoded: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Split decoded records into (complete, rejected). Rejected rows
-    keep the raw text and a reason; nothing is dropped silently."""
+    keep the raw text and a reason; nothing is dropped silently. A record
+    without id or known price is scored (its error columns are null)."""
     ok = complete_record(features)
     good = decoded.where(ok).drop("value")
-    nan_feature = F.greatest(*[F.isnan(c) for c in features])
+    nan_feature = any_of(F.isnan(c) for c in features)
     reason = (
         F.when(F.col("value").isNull() | (F.trim("value") == ""), F.lit("empty record"))
         .when(F.json_object_keys("value").isNull(), F.lit("not a JSON object"))

@@ -80,3 +80,70 @@ def test_fan_out_with_processing_time_trigger(spark):
     tap.processAllAvailable()
     out = ST.bounded_run([main, tap], timeout_s=1, poll_s=0.5)
     assert spark.read.parquet(f"{root}/tap").count() == 3
+
+
+def test_exact_split_counts_on_repeated_and_null_keys(spark):
+    from tabrail.operators.split import exact_split
+
+    df = spark.createDataFrame([(i // 10, float(i)) for i in range(100)], "k long, x double")
+    for f, n in ((0.25, 25), (0.2, 20), (1.0, 100), (0.0, 0)):
+        out = exact_split(df, ["k"], test_fraction=f)
+        assert out.where("part = 'test'").count() == n and out.count() == 100
+    nulls = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("a", "a"), (None, "a")], "k string, l string")
+    for f, n in ((0.8, 4), (0.4, 2), (0.6, 3)):
+        assert exact_split(nulls, ["k", "l"], test_fraction=f).where("part = 'test'").count() == n
+
+
+def test_one_feature_null_labels_and_byte_columns(spark):
+    from tabrail.functions import rules as R
+    from tabrail.operators import metrics as MT
+    from tabrail.streaming import score as ST
+
+    req = spark.createDataFrame([("1", '{"a": 5}'), ("2", '{"a": "5d"}'), ("3", '{"a": "1_000"}'), ("4", "{}"), ("5", '{"a": " 7e1 "}'), ("6", '{"a": "1__0"}')],
+                                "request_id string, body string")
+    got = {r.request_id: (r.status, r.a) for r in R.request_validate(R.request_parse(req, ["a"]), ["a"]).collect()}
+    assert got["1"] == (R.OK, 5.0) and got["3"] == (R.OK, 1000.0) and got["5"] == (R.OK, 70.0)
+    assert got["2"][0] == got["4"][0] == got["6"][0] == 400
+    rows = spark.createDataFrame([(1.0, 1.1), (2.0, 1.9), (None, 5.0), (4.0, 3.5)], "target double, prediction double")
+    rep = MT.regression_report(rows).first()
+    mean = 7 / 3
+    assert rep.n == 3 and abs(rep.r2 - (1 - 0.27 / sum((x - mean) ** 2 for x in (1, 2, 4)))) < 1e-9
+    assert [r.column for r in MT.describe(spark.createDataFrame([(1, 2.0)], "b byte, d double")).collect()] == ["b", "d"]
+    rec = spark.createDataFrame([(None, 1.0, None, "x"), (1, None, 2.0, "y")], "id int, a double, actual_price double, value string")
+    good, bad = ST.quarantine(rec, ["a"])
+    assert good.count() == 1 and bad.count() == 1
+
+
+def test_forest_repeats_under_other_shuffle_partitions(spark):
+    from tabrail.operators import forest as M
+
+    df = spark.range(400).selectExpr("id", "cast(id % 17 as double) a", "cast(id % 29 as double) b", "cast((id * 7) % 31 as double) target")
+    before, seen = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            model = M.fit(M.forest_estimator(["a", "b"], num_trees=8, max_depth=4), df, ["id"])
+            seen.append([r.prediction for r in M.score(model, df).orderBy("id").collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1]
+
+
+def test_constant_label_report_keeps_its_schema(spark):
+    from tabrail.operators import metrics as MT
+
+    report = MT.regression_report(spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "target double, prediction double"))
+    again = spark.createDataFrame([report.first()], report.schema)
+    assert again.columns == ["rmse", "mae", "r2", "n"] and again.first().r2 is None
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from tabrail import config
+
+    session = SimpleNamespace(sparkContext=SimpleNamespace(master="yarn", getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda k, d=None: d))
+    with pytest.raises(ValueError):
+        config._ensure_checkpoint_dir(session)

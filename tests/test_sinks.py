@@ -23,8 +23,10 @@ def test_status_write_failure_does_not_raise(spark):
 
 def test_materialize_if_absent_keeps_first(spark):
     path = f"{work_dir(spark, 'test-ignore')}/t"
-    SK.materialize_if_absent(spark.range(3), path)
-    SK.materialize_if_absent(spark.range(10), path)
+    calls = []
+    for n in (3, 10):
+        SK.materialize_if_absent(spark, lambda n=n: calls.append(n) or spark.range(n), path)
+    assert calls == [3]
     assert spark.read.parquet(path).count() == 3
 
 

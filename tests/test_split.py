@@ -28,7 +28,8 @@ def test_exact_split_counts(spark):
 
 
 def test_cutoff():
-    assert fraction_cutoff(0.8) == "cccccccd" or fraction_cutoff(0.8) == "cccccccc"
+    assert fraction_cutoff(0.8) == "cccccccc"
+    assert fraction_cutoff(0.0) == "00000000" and "f" * 32 < fraction_cutoff(1.0)
     assert fraction_cutoff(0.0) == "00000000"
 
 
