@@ -12,7 +12,8 @@ left is expanded to members and verified on the whole sets.
 Only components are asked for, so a large group of near copies is not paired
 off: first every group is verified against one representative of a block
 (a star, linear in the block's rows), then only pairs across the components
-found so far, of which one side is outside its block's largest component.
+found so far, of which one side is outside its block's largest component;
+in between, what is outside meets a few drawn members of that component.
 No link between components is lost: each such pair passes an exact filter
 or is verified.
 
@@ -35,6 +36,8 @@ SKETCH_BITS, WANTED_BITS = 22, 22
 #: Parity bitmaps: words of 64 bits of the first and of the whole test.
 SHORT, WORDS = 4, 16
 CHUNK = 1 << 20
+#: Rounds in which strays meet drawn members of their block's largest component; members drawn a round.
+DRAWS, PICKS = 2, 3
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
 
@@ -223,35 +226,56 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
     size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) if percent < 100 else 1e-6)).alias("nb")
     group = node.groupBy("g", "n").agg(F.min("cid").alias("gid"), F.count(F.lit(1)).alias("members"))
     member = stage(node.select("cid", "n", "g", "bits").join(group, ["g", "n"]).select("cid", "gid", "n", "bits"), "members")
-    # Prefix rows of groups; shingles that only one group has are dropped.
-    first = node.join(group.select(F.col("gid").alias("cid")), "cid", "left_semi")
-    token = first.select(F.explode("prefix").alias("tok"), F.col("cid").alias("gid"), "n", size_class)
-    block = token.groupBy("tok").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = stage(token.join(block.select("tok"), "tok"), "blocks")
-    # Star: every group with the first group of its block's size class and of the next one.
-    rep = shared.groupBy("tok", "nb").agg(F.min(F.struct("gid", "n")).alias("r")).select("tok", "nb", F.col("r.gid").alias("b"), F.col("r.n").alias("bn"))
-    near = shared.withColumn("nb", F.explode(F.array("nb", F.col("nb") + 1))).join(rep, ["tok", "nb"]).where(F.col("gid") != F.col("b")).where(_may_link("n", "bn", percent))
-    near = near.select(F.col("gid").alias("a"), "b").distinct()
+    # Prefix rows of groups. A shingle that one class alone has pairs nothing; that of one group of two is settled by `own` below.
+    first = node.join(group.select(F.col("gid").alias("cid"), "members"), "cid")
+    token = first.select(F.explode("prefix").alias("tok"), F.col("cid").alias("gid"), "n", "members", size_class)
+    block = token.groupBy("tok").agg(F.count(F.lit(1)).alias("groups"), F.sum("members").alias("c")).where("groups > 1 or c > 2").select("tok", "c")
+    few = member.select("cid", "gid", "n", F.slice("bits", 1, SHORT).alias("few"))
+    shared = token.select("tok", "gid", "n", "nb").join(block, "tok").join(few.where("cid = gid").select("gid", "few"), "gid")
+    shared = stage(shared, "blocks")
     bits = member.select("cid", "n", "bits")
     end = lambda k: bits.select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
-    star = near.join(end("a"), "a").join(end("b"), "b").withColumn("differ", _differ("bitsa", "bitsb", WORDS)).where(_few_bits(F.col("differ"), "na", "nb", percent))
-    star = star.groupBy("a").agg(F.min_by("b", F.struct(F.col("differ") / (F.col("na") + F.col("nb")), "b")).alias("b"))
+
+    def close(pairs):
+        """Pairs (a, b) that the whole bitmaps leave."""
+        return pairs.distinct().join(end("a"), "a").join(end("b"), "b").where(_few_bits(_differ("bitsa", "bitsb", WORDS), "na", "nb", percent)).select("a", "b")
+
+    # Star: every group with the first group of its block's size class and of the next one.
+    rep = shared.groupBy("tok", "nb").agg(F.min(F.struct("gid", "n", "few")).alias("r"))
+    rep = rep.select("tok", "nb", F.col("r.gid").alias("b"), F.col("r.n").alias("bn"), F.col("r.few").alias("bfew"))
+    near = shared.withColumn("nb", F.explode(F.array("nb", F.col("nb") + 1))).join(rep, ["tok", "nb"]).where(
+        (F.col("gid") != F.col("b")) & _may_link("n", "bn", percent) & _few_bits(_differ("few", "bfew", SHORT), "n", "bn", percent))
     own = member.where("cid != gid").select(F.col("cid").alias("a"), F.col("gid").alias("b"))
-    links = verify(rows, stage(star.unionByName(own).distinct(), "star"), words, percent)
-    comp = stage(components(member.select(F.col("cid").alias("id")), links), "comp")
-    # What is left: pairs across components in blocks that hold more than one.
-    part = member.join(comp, F.col("cid") == F.col("id")).select("gid", "cid", "comp", "n", F.slice("bits", 1, SHORT).alias("few"))
-    mixed = shared.select("tok", "gid").join(part, "gid")
-    sizes = mixed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("tok").agg(F.max_by("comp", F.struct("c", F.col("comp"))).alias("main"), F.count(F.lit(1)).alias("k")).where("k > 1").select("tok", "main")
-    mixed = stage(mixed.join(main, "tok"), "mixed")
-    stray = mixed.where("comp != main").select("tok", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("few").alias("fa"))
+    links = verify(rows, stage(close(near.select(F.col("gid").alias("a"), "b")).unionByName(own).distinct(), "star"), words, percent)
+    # The star has settled every pair of blocks of two classes. In larger blocks that
+    # hold several components so far, those outside the largest are strays.
+    large = shared.where("c > 2").select("tok", "gid")
+    nodes = member.select(F.col("cid").alias("id"))
+
+    def mixed_blocks(links):
+        comp = stage(components(nodes, links), "comp")
+        mixed = large.join(few.join(comp, F.col("cid") == F.col("id")).select("gid", "cid", "comp", "n", "few"), "gid")
+        sizes = mixed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"))
+        main = sizes.groupBy("tok").agg(F.max_by("comp", F.struct("c", F.col("comp"))).alias("main"), F.count(F.lit(1)).alias("k")).where("k > 1").select("tok", "main")
+        mixed = stage(mixed.drop("gid").join(main, "tok"), "mixed")
+        stray = mixed.where("comp != main").select("tok", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("few").alias("fa"))
+        return mixed, stray
+
+    # Strays against members of their block's largest component, drawn anew each round: linear, and connects most of a large group.
+    for draw in range(DRAWS):
+        mixed, stray = mixed_blocks(links)
+        some = [F.min(F.struct(F.xxhash64("cid", F.lit(draw * PICKS + i)).alias("o"), "cid", "n", "few")) for i in range(PICKS)]
+        picked = mixed.where("comp = main").groupBy("tok").agg(F.array(*some).alias("r")).select("tok", F.explode("r").alias("r"))
+        picked = picked.select("tok", F.col("r.cid").alias("b"), F.col("r.n").alias("nb"), F.col("r.few").alias("fb"))
+        tried = stray.join(picked, "tok").where(_may_link("na", "nb", percent) & _few_bits(_differ("fa", "fb", SHORT), "na", "nb", percent))
+        links = links.unionByName(verify(rows, stage(close(tried.select("a", "b")), "drawn"), words, percent))
+    # What is left: every pair across components of a block, one side of it a stray.
+    mixed, stray = mixed_blocks(links)
     other = mixed.select("tok", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("few").alias("fb"), (F.col("comp") == F.col("main")).alias("is_main"))
     left = stray.join(other, (stray["tok"] == other["tok"]) & (F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
                       & _may_link("na", "nb", percent) & _few_bits(_differ("fa", "fb", SHORT), "na", "nb", percent))
-    left = left.select("a", "b").distinct().join(end("a"), "a").join(end("b"), "b").where(_few_bits(_differ("bitsa", "bitsb", WORDS), "na", "nb", percent)).select("a", "b")
-    links = links.unionByName(verify(rows, stage(left, "left"), words, percent))
-    comp = components(member.select(F.col("cid").alias("id")), links)
+    links = links.unionByName(verify(rows, stage(close(left.select("a", "b")), "left"), words, percent))
+    comp = components(nodes, links)
     whole = sig.select("key", "n").join(copies, "key", "left").withColumn("cid", F.coalesce("cid", "key"))
     out = whole.join(comp.withColumnRenamed("id", "cid"), "cid", "left").select("key", "n", F.coalesce("comp", "key").alias("comp"))
     return out

@@ -57,6 +57,21 @@ def test_chains_strays_and_groups(spark):
         assert got(df, k, percent) == brute(rows, k, percent)
 
 
+def test_links_inside_a_group_that_miss_its_first_member(spark):
+    # Sets of one size whose prefixes often agree: the third links with the second, neither with the first.
+    rows, r = [], random.Random(1)
+    for seed in range(40):
+        base = [f"w{seed}_{i}" for i in range(60)]
+        for i, changed in enumerate(((0, 7), (20, 27), (20, 26))):
+            t = list(base)
+            for k in range(*changed):
+                t[k] = f"z{seed}_{changed[0]}_{k}_{r.randrange(3)}"
+            rows.append((3 * seed + i, " ".join(t)))
+    want = brute(rows, 1, 80)
+    assert len({c for _, _, c in want}) > 40
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80) == want
+
+
 def test_odd_rows(spark):
     rows = [(None, None), (4, "same text here now"), (4, "same text here now"), (2, "same text here now"), (None, "same text here now"), (9, None), (9, "a" * 100_000)]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, comp int")
