@@ -232,11 +232,14 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "v
 
     dealt = points.mapInPandas(deal, "cell int, point long, ids array<long>, v array<double>")
     asked = rows.where(F.pmod("id", F.lit(every)) == 0).mapInPandas(route, "cell int, query_id long, bound double, v array<double>")
-    # Queries of a cell go in blocks, so that neither side of a group grows without bound.
+    # Past MOST_CELLS cells their points go in chunks, and queries in blocks, so that neither side of a group grows without bound.
+    chunks = max(1, -(-total // (cells * CELL_ROWS)))
     blocks = max(1, min(64, total // every // 4096))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    hits = dealt.groupBy("cell", "block").cogroup(asked.groupBy("cell", "block")).applyInPandas(verify, "query_id long, vec_id long, score double")
+    every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("chunk", every_of(chunks))
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("point"), F.lit(chunks)).cast("int")).withColumn("block", every_of(blocks))
+    group = ["cell", "chunk", "block"]
+    hits = dealt.groupBy(*group).cogroup(asked.groupBy(*group)).applyInPandas(verify, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return hits.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 

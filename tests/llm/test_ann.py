@@ -49,5 +49,20 @@ def test_odd_rows(spark):
     assert [(r.query_id, r.vec_id) for r in ann.nearest(few).collect()] == [(0, 1)]
 
 
+def test_chunks_of_full_cells(spark, monkeypatch):
+    """Past the most cells, points go in chunks; answers stay those of brute force."""
+    monkeypatch.setattr(ann, "MOST_CELLS", 2)
+    monkeypatch.setattr(ann, "CELL_ROWS", 40)
+    x = np.random.default_rng(5).standard_normal((400, 6))
+    x[1::4] = x[1]  # a vector that a quarter of the rows share
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want, got = brute(range(400), x, 50, 5), {}
+    for r in ann.nearest(df).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    assert set(got) == set(want) and all(len(v) == 5 for v in got.values())
+    hit = sum(len({v for _, v in got[q]} & {j for _, j in want[q]}) for q in want)
+    assert hit / (5 * len(want)) >= 0.9
+
+
 def test_chi_square():
     assert ann.chi2_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
