@@ -25,6 +25,11 @@ JSON_NULL = 500
 NOT_OBJECT = 500
 MISSING = 400
 
+#: Internal code of an array or object in a numeric field; its status is 500.
+NESTED = -500
+#: Texts of fields that may be no JSON strings.
+DOUBTFUL = r"^\s*(true|false|\[|\{)"
+
 #: Texts that count as numbers: digits may be apart by single underscores;
 #: a trailing type letter ("5d", "5f") is no number.
 _DIGITS = "[0-9](?:_?[0-9])*"
@@ -42,22 +47,30 @@ def request_parse(df: DataFrame, features: Sequence[str], body: str = "body",
                   keep: Sequence[str] = ("request_id",)) -> DataFrame:
     """Request text -> 8 doubles (absent -> 0) + ``status`` + ``reason``.
 
-    Per field: absent -> 0.0; JSON null -> 500; text that is not a number
-    -> 400; else the number. A body that is not a JSON object -> 500.
+    Per field: absent -> 0.0; JSON null, array or object -> 500; true -> 1.0,
+    false -> 0.0; text that is not a number -> 400; else the number. A body
+    that is not a JSON object -> 500.
     """
     # Parse once; the per-field rules below only read the parsed columns.
-    base = df.select(*keep, F.json_object_keys(F.col(body)).alias("_tr_keys"),
+    base = df.select(*keep, F.col(body).alias("_tr_body"), F.json_object_keys(F.col(body)).alias("_tr_keys"),
                      F.from_json(F.col(body), _raw_schema(features)).alias("_tr_raw"))
     keys = F.col("_tr_keys")
+    # As text, true and "true" are alike, as are [] and "[]": only bodies with
+    # such a field are parsed once more, for the kinds of their fields.
+    doubtful = any_of(F.coalesce(F.col("_tr_raw")[c].rlike(DOUBTFUL), F.lit(False)) for c in features)
+    base = base.withColumn("_tr_typed", F.when(doubtful, F.try_parse_json("_tr_body")))
     cols, codes = {}, {}
     for i, c in enumerate(features):
         present = F.array_contains(keys, F.lit(c))
         text = F.col("_tr_raw")[c]
-        num = F.when(text.rlike(NUMBER), F.regexp_replace(text, r"[_\s]", "")).try_cast("double")
+        kind = F.coalesce(F.schema_of_variant(F.try_variant_get("_tr_typed", f"$['{c}']", "variant")), F.lit(""))
+        num = (F.when(kind == "BOOLEAN", (text == "true").cast("double"))
+               .when(text.rlike(NUMBER), F.regexp_replace(text, r"[_\s]", "").try_cast("double")))
         cols[c] = F.when(~present, F.lit(0.0)).otherwise(num)
         codes[f"_tr_code{i}"] = (
             F.when(~present, F.lit(OK))
             .when(text.isNull(), F.lit(JSON_NULL))
+            .when(kind.rlike("^(ARRAY|OBJECT)"), F.lit(NESTED))
             .when(num.isNull(), F.lit(BAD_TEXT))
             .otherwise(F.lit(OK))
         )
@@ -67,9 +80,10 @@ def request_parse(df: DataFrame, features: Sequence[str], body: str = "body",
                          *[v.alias(n) for n, v in codes.items()])
     first_bad = F.coalesce(*[F.when(F.col(n) != OK, F.col(n)) for n in codes], F.lit(OK))
     with_status = staged.withColumn(
-        "status", F.when(keys.isNull(), F.lit(NOT_OBJECT)).otherwise(first_bad))
+        "status", F.when(keys.isNull(), F.lit(NOT_OBJECT)).otherwise(F.abs(first_bad)))
     reason = (
         F.when(keys.isNull(), F.lit("body is not a JSON object"))
+        .when(first_bad == NESTED, F.lit("nested value in a numeric field"))
         .when(F.col("status") == JSON_NULL, F.lit("null value in a numeric field"))
         .when(F.col("status") == BAD_TEXT, F.lit("invalid input: not a number"))
     )

@@ -120,3 +120,19 @@ def test_zero_is_missing_switch(spark):
     strict = R.request_validate(R.request_parse(df, FEATS), FEATS).first()
     loose = R.request_validate(R.request_parse(df, FEATS), FEATS, zero_is_missing=False).first()
     assert (strict.status, loose.status) == (400, 0)
+
+
+def test_json_kinds_of_fields(spark):
+    out = _parse(spark, [
+        '{"a": true, "b": 2, "c": 3}',       # a JSON true is 1.0
+        '{"a": "true", "b": 2, "c": 3}',     # the text is no number -> 400
+        '{"a": false, "b": 2, "c": 3}',      # 0.0 -> zero rule
+        '{"a": [], "b": 2, "c": 3}',         # array -> 500
+        '{"a": 1, "b": {"x": 1}, "c": "y"}',  # object -> 500, before the bad text
+        '{"a": "[]", "b": 2, "c": 3}',       # text -> 400
+        '{"a": "x", "b": [], "c": 3}',       # the first bad field decides
+    ])
+    assert [out[str(i)].status for i in range(7)] == [0, 400, 400, 500, 500, 400, 400]
+    assert out["0"].a == 1.0 and out["2"].a == 0.0
+    assert out["3"].reason == out["4"].reason == "nested value in a numeric field"
+    assert out["2"].reason == "all fields are required" and out["6"].reason == "invalid input: not a number"
