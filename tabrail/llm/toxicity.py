@@ -250,7 +250,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     spark = docs.sparkSession
     restorer = Restorer(trigram_counts(docs))
     own = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("y")).where("id is not null and y in (0, 1)")
-    own = own.withColumn("fold", _remainder(F.col("id"))).where("fold != 1")
+    own = own.withColumn("fold", _remainder(F.col("id"))).where("fold != 1").distinct()
+    # Hashes are spread evenly, so those under the cut hold the smallest TRAIN_ROWS of a label
+    # (by six standard deviations), and no task sorts more than about that many.
+    low = F.lit(False)
+    for r in own.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect():
+        share = min(1.0, (TRAIN_ROWS + 6 * sqrt(TRAIN_ROWS)) / r["n"])
+        low = low | ((F.col("y") == r["y"]) & (F.xxhash64("id") <= F.lit(int(share * 2**64) - 2**63 - 1)))
+    own = own.where(low)
     rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
     chosen = own.withColumn("i", rank).where(F.col("i") <= TRAIN_ROWS).select("id", "y", "fold")
     # 2 * TRAIN_ROWS rows at most, whatever the input's size.
