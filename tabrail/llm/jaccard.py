@@ -6,8 +6,9 @@ two sets whose Jaccard likeness is at least t share one of the first
 ``n - ceil(t n) + 1``. Classes with the same prefix and size are collapsed
 into one group, groups that share a prefix shingle are paired, pairs are
 filtered by size and by parity bitmaps (every differing shingle flips one
-bit, so the bits that differ bound the difference from below), and what is
-left is expanded to members and verified on the whole sets.
+bit, so the bits that differ bound the difference from below; a bitmap has at
+least as many bits as its set has shingles, so that it tells long sets apart
+too), and what is left is expanded to members and verified on the whole sets.
 
 Only components are asked for, so a large group of near copies is not paired
 off: first every group is verified against one representative of a block
@@ -32,8 +33,8 @@ from tabrail.llm.common import U64, bucket_counts, components, keyed_rows, mix,
 
 #: Count sketch of shingles, bitmap of documents to verify (log2 of their fixed sizes).
 SKETCH_BITS, WANTED_BITS = 22, 22
-#: Parity bitmaps: words of 64 bits of the first and of the whole test.
-SHORT, WORDS = 4, 16
+#: Parity bitmaps: words of 64 bits of the first test and, at least, of the whole one (up to 2 ** MOST_BITS bits).
+SHORT, WORDS, MOST_BITS = 4, 16, 24
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -127,7 +128,7 @@ def _list(values: list, kind) -> pa.Array:
 
 
 def signatures(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(key, n, d1, d2, g, prefix, bits): set size, digests of set and prefix, prefix, parity bitmap."""
+    """(key, n, d1, d2, g, prefix, few, bits): set size, digests of set and prefix, prefix, parity bitmaps."""
     spark = rows.sparkSession
 
     def hashes(batch):
@@ -141,31 +142,44 @@ def signatures(rows: DataFrame, words: int, percent: int) -> DataFrame:
     def run(batches):
         rare, shingler, mask = shared.value, Shingler(words), U64((1 << SKETCH_BITS) - 1)
         for b in batches:
-            cols = {k: [] for k in ("n", "d1", "d2", "g", "prefix", "bits")}
+            cols = {k: [] for k in ("n", "d1", "d2", "g", "prefix", "few", "bits")}
             with np.errstate(over="ignore"):
                 for u in shingler.sets(b):
                     n = len(u)
                     p = n - least_common(n, percent) + 1 if n else 0
                     first = u[np.argsort(rare[(u & mask).astype(np.int64)], kind="stable")[:p]]
-                    flips = np.bincount((u >> U64(50)).astype(np.int64) & (64 * WORDS - 1), minlength=64 * WORDS).astype(np.uint8) & 1
+                    size = max(64 * WORDS, 1 << min(MOST_BITS, max(0, n - 1).bit_length()))
+                    flips = (np.bincount((u >> U64(64 - MOST_BITS)).astype(np.int64) & (size - 1), minlength=size) & 1).astype(np.uint8)
                     cols["n"].append(n)
                     cols["d1"].append(int(mix(u + U64(1)).sum(dtype=U64).astype(np.int64)))
                     cols["d2"].append(int(mix(u ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64).astype(np.int64)))
                     cols["g"].append(int(mix(first + U64(3)).sum(dtype=U64).astype(np.int64)))
                     cols["prefix"].append(first.view(np.int64))
+                    cols["few"].append(np.packbits(np.bitwise_xor.reduce(flips.reshape(-1, 64 * SHORT))).view(np.int64))
                     cols["bits"].append(np.packbits(flips).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [b.column("key"), pa.array(cols["n"], pa.int32()), *(pa.array(cols[k], pa.int64()) for k in ("d1", "d2", "g")), _list(cols["prefix"], pa.int64()), _list(cols["bits"], pa.int64())],
-                ["key", "n", "d1", "d2", "g", "prefix", "bits"])
+                [b.column("key"), pa.array(cols["n"], pa.int32()), *(pa.array(cols[k], pa.int64()) for k in ("d1", "d2", "g")), *(_list(cols[k], pa.int64()) for k in ("prefix", "few", "bits"))],
+                ["key", "n", "d1", "d2", "g", "prefix", "few", "bits"])
 
-    return rows.mapInArrow(run, "key long, n int, d1 long, d2 long, g long, prefix array<long>, bits array<long>")
+    return rows.mapInArrow(run, "key long, n int, d1 long, d2 long, g long, prefix array<long>, few array<long>, bits array<long>")
 
 
 def _differ(a: str, b: str, words: int):
-    """Bits in which two parity bitmaps differ."""
+    """Bits in which two parity bitmaps of ``words`` words differ."""
     return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(1, words)), F.bit_count(F.col(a)[0].bitwiseXOR(F.col(b)[0])))
 
 
+def _differ_whole(a: str, b: str):
+    """Bits in which two whole parity bitmaps differ; one twice as long is folded first, ones of less like lengths count as equal."""
+    words = F.least(F.size(a), F.size(b))
+
+    def fold(c):
+        return F.when(F.size(c) > words, F.zip_with(F.slice(c, F.lit(1), words), F.slice(c, words + 1, words), lambda x, y: x.bitwiseXOR(y))).otherwise(F.col(c))
+
+    differ = F.aggregate(F.zip_with(fold(a), fold(b), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return F.when(F.greatest(F.size(a), F.size(b)) <= 2 * words, differ).otherwise(F.lit(0))
+
+
 def _may_link(n1: str, n2: str, percent: int):
     """Size filter: the smaller set is at least ``percent`` of the larger."""
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
@@ -222,12 +236,12 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
     node = sig.where("n > 0").join(copies.select("key"), "key", "left_anti").withColumnRenamed("key", "cid")
     size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) if percent < 100 else 1e-6)).alias("nb")
     group = node.groupBy("g", "n").agg(F.min("cid").alias("gid"), F.count(F.lit(1)).alias("members"))
-    member = stage(node.select("cid", "n", "g", "bits").join(group, ["g", "n"]).select("cid", "gid", "n", "bits"), "members")
+    member = stage(node.select("cid", "n", "g", "few", "bits").join(group, ["g", "n"]).select("cid", "gid", "n", "few", "bits"), "members")
     # Prefix rows of groups. A shingle that one class alone has pairs nothing; that of one group of two is settled by `own` below.
     first = node.join(group.select(F.col("gid").alias("cid"), "members"), "cid")
     token = first.select(F.explode("prefix").alias("tok"), F.col("cid").alias("gid"), "n", "members", size_class)
     block = token.groupBy("tok").agg(F.count(F.lit(1)).alias("groups"), F.sum("members").alias("c")).where("groups > 1 or c > 2").select("tok", "c")
-    few = member.select("cid", "gid", "n", F.slice("bits", 1, SHORT).alias("few"))
+    few = member.select("cid", "gid", "n", "few")
     shared = token.select("tok", "gid", "n", "nb").join(block, "tok").join(few.where("cid = gid").select("gid", "few"), "gid")
     shared = stage(shared, "blocks")
     bits = member.select("cid", "n", "bits")
@@ -235,7 +249,7 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
 
     def close(pairs):
         """Pairs (a, b) that the whole bitmaps leave."""
-        return pairs.distinct().join(end("a"), "a").join(end("b"), "b").where(_few_bits(_differ("bitsa", "bitsb", WORDS), "na", "nb", percent)).select("a", "b")
+        return pairs.distinct().join(end("a"), "a").join(end("b"), "b").where(_few_bits(_differ_whole("bitsa", "bitsb"), "na", "nb", percent)).select("a", "b")
 
     # Star: every group with the first group of its block's size class and of the next one.
     rep = shared.groupBy("tok", "nb").agg(F.min(F.struct("gid", "n", "few")).alias("r"))
