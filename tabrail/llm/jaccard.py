@@ -9,6 +9,7 @@ filtered by size and by parity bitmaps (every differing shingle flips one
 bit, so the bits that differ bound the difference from below; a bitmap has at
 least as many bits as its set has shingles, so that it tells long sets apart
 too), and what is left is expanded to members and verified on the whole sets.
+Blocks are cut by size band, as sets of unlike sizes cannot link.
 
 Only components are asked for, so a large group of near copies is not paired
 off: first every group is verified against one representative of a block
@@ -35,6 +36,8 @@ from tabrail.llm.common import U64, bucket_counts, components, keyed_rows, mix,
 SKETCH_BITS, WANTED_BITS = 22, 22
 #: Parity bitmaps: words of 64 bits of the first test and, at least, of the whole one (up to 2 ** MOST_BITS bits).
 SHORT, WORDS, MOST_BITS = 4, 16, 24
+#: Size classes of a block's band; the last one of a band is in the next band as well.
+BAND = 6
 CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = [U64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3)]
@@ -239,7 +242,12 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
     member = stage(node.select("cid", "n", "g", "few", "bits").join(group, ["g", "n"]).select("cid", "gid", "n", "few", "bits"), "members")
     # Prefix rows of groups. A shingle that one class alone has pairs nothing; that of one group of two is settled by `own` below.
     first = node.join(group.select(F.col("gid").alias("cid"), "members"), "cid")
-    token = first.select(F.explode("prefix").alias("tok"), F.col("cid").alias("gid"), "n", "members", size_class)
+    # Sets that link are of one size class or of neighbouring ones, so some band holds both.
+    first = first.select("prefix", F.col("cid").alias("gid"), "n", "members", size_class)
+    band = F.floor(F.col("nb") / BAND)
+    first = first.withColumn("band", F.explode(F.when(F.pmod("nb", F.lit(BAND)) == BAND - 1, F.array(band, band + 1)).otherwise(F.array(band))))
+    token = first.select(F.explode("prefix").alias("tok"), "band", "gid", "n", "members", "nb")
+    token = token.select(F.xxhash64("tok", "band").alias("tok"), "gid", "n", "members", "nb")
     block = token.groupBy("tok").agg(F.count(F.lit(1)).alias("groups"), F.sum("members").alias("c")).where("groups > 1 or c > 2").select("tok", "c")
     few = member.select("cid", "gid", "n", "few")
     shared = token.select("tok", "gid", "n", "nb").join(block, "tok").join(few.where("cid = gid").select("gid", "few"), "gid")

@@ -72,6 +72,22 @@ def test_links_inside_a_group_that_miss_its_first_member(spark):
     assert got(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80) == want
 
 
+def test_bitmaps_of_long_sets_across_a_doubling(spark):
+    # Sizes on both sides of 2048, where whole bitmaps differ in length, and chains over band borders.
+    r, rows = random.Random(5), []
+    base = [f"w{i}" for i in range(2200)]
+    for i in range(30):
+        t = base[:r.randrange(1950, 2200)]
+        for _ in range(r.randrange(0, 40)):
+            t[r.randrange(len(t))] = f"x{r.randrange(10**6)}"
+        rows.append((i, " ".join(t)))
+    rows += [(100 + i, " ".join([*base[:5], *(f"y{r.randrange(10**6)}" for _ in range(2040 + i))])) for i in range(10)]
+    rows += [(200 + i, " ".join(f"v{k}" for k in range(10 + i))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for k, percent in ((3, 90), (5, 80)):
+        assert got(df, k, percent) == brute(rows, k, percent)
+
+
 def test_odd_rows(spark):
     rows = [(None, None), (4, "same text here now"), (4, "same text here now"), (2, "same text here now"), (None, "same text here now"), (9, None), (9, "a" * 100_000)]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, comp int")
