@@ -332,4 +332,13 @@ FROM results WINDOW w AS (ORDER BY id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)
         "FROM stream_part WHERE id % 97 = 0 OR id % 101 = 0 OR id % 103 = 0")
     q["prepare_job"] = _dataset_report()
     q["predict_job"] = SCORED_STREAM
+    q["forest_fit_checks"] = r6(with_(CHARGE, EXACT, TRAIN80) + "SELECT row_key, target, true AS in_label_range FROM test2",
+                                ["target"])
+    q["train_job_single_split"] = q["evaluate_model"]
+    q["end_to_end_single_split"] = r6(MODEL + f"""SELECT row_number() OVER (ORDER BY id) - 1 AS sample_index, id,
+       actual_price * 100 AS actual_k, predicted_price * 100 AS predicted_k,
+       abs(predicted_price - actual_price) * 100 AS abs_error_k
+FROM (SELECT s.id, s.target AS actual_price, {P_STREAM} AS predicted_price
+      FROM stream_part s CROSS JOIN best ORDER BY s.id DESC LIMIT 100)""",
+                                      ["actual_k", "predicted_k", "abs_error_k"])
     return q

@@ -517,6 +517,34 @@ def train_job(spark, sf):
     return _r6(out["report"])
 
 
+def forest_fit_checks(spark, sf):
+    """The forest's predictions against what SQL can derive: they are means
+    of train labels, so none leaves the labels' range."""
+    rows = _train_rows(spark, sf)
+    train = rows.where("part = 'train'").drop("part")
+    model = M.fit(M.forest_estimator(FEATS, "target"), train, KEY)
+    low, high = train.agg(F.min("target"), F.max("target")).first()
+    scored = M.score(model, rows.where("part = 'test'").drop("part"), keep=["row_key", "target"])
+    inside = (F.col("prediction") >= F.lit(low) - 1e-9) & (F.col("prediction") <= F.lit(high) + 1e-9)
+    return _r6(scored.select("row_key", "target", inside.alias("in_label_range")))
+
+
+def train_job_single_split(spark, sf):
+    """P2 with the estimator that SQL can derive."""
+    root = work_dir(spark, "train-job")
+    prep = _exact(spark, sf).where("part = 'train'").drop("part")
+    out = J.train_job(spark, prep, fx.CHARGE, f"{root}/warehouse", [f"{root}/models/primary"], f"{root}/status",
+                      estimator=M.stump_estimator(fx.STUMP_FEATURES), clock=_clock())
+    return _r6(out["report"])
+
+
+def end_to_end_single_split(spark, sf):
+    """P4 with the estimator that SQL can derive."""
+    out = J.end_to_end_job(spark, fx.charge(spark, sf), fx.CHARGE, replay_n=None, clock=_clock(),
+                           estimator=M.stump_estimator(fx.STUMP_FEATURES))
+    return _r6(out["monitor"])
+
+
 def predict_job(spark, sf):
     root = work_dir(spark, "predict-job")
     path = SM.save_model(_stump(spark, sf), [f"{root}/model"])
@@ -566,4 +594,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # P
     "prepare_job": prepare_job, "train_job": train_job, "predict_job": predict_job,
     "end_to_end_job": end_to_end_job,
+    # the forest jobs again, in a form that SQL can check by value
+    "forest_fit_checks": forest_fit_checks, "train_job_single_split": train_job_single_split,
+    "end_to_end_single_split": end_to_end_single_split,
 }
