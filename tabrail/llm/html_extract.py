@@ -41,8 +41,12 @@ DROP_WORDS = frozenset((
 BLOCKS = frozenset((
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li "
     "main ol p pre section summary table tbody td tfoot th thead tr ul").split()) | DROP_TAGS
-#: An opening tag of the key ends an open element of the value that no other block holds.
-ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+_CELLS, _PARTS = frozenset(("td", "th")), frozenset(("tbody", "thead", "tfoot"))
+_LIST, _TABLE = BLOCKS - {"address", "div", "p"}, frozenset(("table",))
+#: An opening tag of the key ends the open elements of the first value that no element of the second holds.
+ENDS = {"li": (frozenset(("li",)), _LIST), **dict.fromkeys(("dt", "dd"), (frozenset(("dt", "dd")), _LIST)),
+        **dict.fromkeys(_CELLS, (_CELLS | {"caption"}, _TABLE | _PARTS | {"tr"})), "tr": (_CELLS | {"tr", "caption"}, _TABLE | _PARTS),
+        **dict.fromkeys(_PARTS, (_CELLS | _PARTS | {"tr", "caption"}, _TABLE))}
 ARTICLE = frozenset(("article", "main"))
 
 
@@ -58,40 +62,37 @@ def _unwanted(tag: str, attrs: str) -> bool:
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "kids", "lost", "chars", "links", "tags", "link_tags", "density", "total")
 
-    def __init__(self, tag, parent):
-        self.tag, self.parent, self.kids = tag, parent, []
+    def __init__(self, tag, parent, lost=False):
+        self.tag, self.parent, self.kids, self.lost = tag, parent, [], lost
         self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
-        if parent is not None:
+        if parent is not None and not lost:
             parent.kids.append(self)
 
 
 def parse(html: str) -> _Node:
     """The wanted tree below the body; kids are nodes and decoded strings."""
     root = node = _Node("body", None)
-    lost = 0  # depth inside an unwanted element
-    lost_stack: list[str] = []
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.search(html, at)
         text = html[at:m.start() if m else n]
-        if text and not lost:
-            node.kids.append(unescape(text))
+        if text:
+            if node.tag == "head" and not text.isspace():
+                node = node.parent  # text ends an open head
+            if not node.lost:
+                node.kids.append(unescape(text))
         if not m:
             break
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag or tag in ("html", "body"):
+            if tag == "body" and node.tag == "head":
+                node = node.parent
             continue
         if m[1]:
-            if lost:
-                if tag in lost_stack:
-                    while lost_stack.pop() != tag:
-                        pass
-                    lost = len(lost_stack)
-                continue
             up = node
             while up is not root and up.tag != tag:
                 # An inline end tag does not close the blocks around it.
@@ -111,31 +112,30 @@ def parse(html: str) -> _Node:
                 at = html.find(">", at) + 1 or n
             continue
         if tag in VOID:
-            if not lost:
+            if not node.lost:
                 _Node(tag, node)
             continue
-        if lost:
-            if tag not in ("p", "li"):
-                lost_stack.append(tag)
-                lost = len(lost_stack)
-            continue
+        if node.tag == "head":
+            node = node.parent  # no other element stands in a head
         if tag in BLOCKS:
-            up, ends = node, ENDS.get(tag, ())
-            while up is not root and (up.tag not in BLOCKS or up.tag in ends) and up.tag not in ends:
-                up = up.parent
-            if up is not root and up.tag in ends:
-                node = up.parent
+            if tag in ENDS:
+                (ends, holds), up = ENDS[tag], node
+                while up is not root:
+                    if up.tag in ends:
+                        node = up.parent
+                        if holds is _LIST:
+                            break
+                    elif up.tag in holds:
+                        break
+                    up = up.parent
             # A block ends an open paragraph.
             up = node
             while up is not root and up.tag not in BLOCKS:
                 up = up.parent
             if up.tag == "p":
                 node = up.parent
-        if _unwanted(tag, m[3]):
-            lost_stack.append(tag)
-            lost = 1
-            continue
-        node = _Node(tag, node)
+        # Unwanted elements are open elements as well, so that they end as wanted ones do; the tree does not hold them.
+        node = _Node(tag, node, node.lost or _unwanted(tag, m[3]))
     return root
 
 

@@ -26,6 +26,23 @@ def test_edges():
     assert H.extract("<body>plain words</body>") == "plain words"
 
 
+def test_dropped_elements_end_where_html_ends_them():
+    for page, want in (
+        ("<body><p class=notice>We use cookies<p>first paragraph<div>rest</div>", "first paragraph\n\nrest"),
+        ("<ul><li class=share>Share this<li>main text</ul><p>rest", "main text\n\nrest"),
+        ("<ul><li class=share><p>Share this<ul><li>all</ul><li>main text</ul><p>rest", "main text\n\nrest"),
+        ("<table><tr><td class=sidebar><ul><li>links<li>more</ul><td>main text</table><p>rest", "main text\n\nrest"),
+        ("<table><tr class=menu><td>links<tr><td>main text</table>", "main text"),
+        ("<table><thead class=menu><tr><td>links<tbody><tr><td>main text</table>", "main text"),
+        ("<dl><dt class=share>Share<dd>main text</dl>", "main text"),
+        ("<div><div><nav><ul><li>menu</div><p>main text</div><p>rest", "main text\n\nrest"),
+        ("<html><head><title>T</title><meta charset=utf-8><body><p>main text", "main text"),
+        ("<head><title>T</title><p>main text", "main text"),
+        ("<nav><ul><li>a<p>b</nav><nav><table><tr><td>x<table><tr><td>y</table></nav><p>main text", "main text"),
+    ):
+        assert H.extract(page) == want, page
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, 1)], "page_id long, url string, html string, text int")
     rows = H.extract_pages(df).collect()
