@@ -6,7 +6,10 @@ density on the path from the body to the node with the largest sum is the
 threshold: from the body down, subtrees at or over it are searched and the
 one with the largest sum is the content. Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and comments are taken out of the
-tree first, by tag and by the words of class, id and role.
+tree first, by tag and by the words of class, id and role. Forms, and elements
+with such a word, stay when they hold an article or main element or most of
+the page's text outside links (unless a far larger article stands beside
+them); what they hold is judged on its own.
 
 Rows: null or empty html gives an empty text; repeated rows are kept; an
 empty table gives an empty result; other columns are not read. The work is
@@ -16,6 +19,8 @@ narrow: one pass, no shuffle, one page in memory at a time.
 from __future__ import annotations
 
 import re
+from bisect import insort
+from heapq import heappop, heappush
 from html import unescape
 from math import e, log
 
@@ -38,6 +43,9 @@ DROP_WORDS = frozenset((
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted banner sidebar side menu nav navbar navigation "
     "breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices notification alert popup modal overlay "
     "comment comments disqus respond share sharing social related recommended newsletter subscribe signup login widget toolbar pagination pager").split())
+#: Of the dropped tags, those that also wrap whole pages; words behind one of QUALIFIERS say nothing about the element itself.
+WRAPPERS = frozenset("form fieldset label".split())
+QUALIFIERS = frozenset("with has no without".split())
 BLOCKS = frozenset((
     "address article blockquote body caption center dd details div dl dt fieldset figcaption figure h1 h2 h3 h4 h5 h6 hgroup hr html li "
     "main ol p pre section summary table tbody td tfoot th thead tr ul").split()) | DROP_TAGS
@@ -50,22 +58,23 @@ ENDS = {"li": (frozenset(("li",)), _LIST), **dict.fromkeys(("dt", "dd"), (frozen
 ARTICLE = frozenset(("article", "main"))
 
 
-def _unwanted(tag: str, attrs: str) -> bool:
-    if tag in DROP_TAGS:
-        return True
-    if attrs and tag not in ("html", "body") and tag not in ARTICLE:
-        for name, *value in _ATTR.findall(attrs):
-            words = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", "".join(value)).lower())
+def _named(attrs: str) -> bool:
+    """Does a class, id or role name an unwanted part?"""
+    for name, *value in _ATTR.findall(attrs):
+        for one in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", "".join(value)).lower().split():
+            words = re.split(r"[^a-z0-9]+", one)
+            if name.lower() != "role":
+                words = words[:next((i for i, w in enumerate(words) if w in QUALIFIERS), None)]
             if not (DROP_ROLES if name.lower() == "role" else DROP_WORDS).isdisjoint(words):
                 return True
     return False
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "kids", "lost", "chars", "links", "tags", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "kids", "lost", "doubt", "chars", "links", "tags", "link_tags", "density", "total")
 
     def __init__(self, tag, parent, lost=False):
-        self.tag, self.parent, self.kids, self.lost = tag, parent, [], lost
+        self.tag, self.parent, self.kids, self.lost, self.doubt = tag, parent, [], lost, False
         self.chars = self.links = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
         if parent is not None and not lost:
@@ -75,6 +84,7 @@ class _Node:
 def parse(html: str) -> _Node:
     """The wanted tree below the body; kids are nodes and decoded strings."""
     root = node = _Node("body", None)
+    doubts = False
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.search(html, at)
@@ -135,10 +145,60 @@ def parse(html: str) -> _Node:
             if up.tag == "p":
                 node = up.parent
         # Unwanted elements are open elements as well, so that they end as wanted ones do; the tree does not hold them.
-        node = _Node(tag, node, node.lost or _unwanted(tag, m[3]))
+        # Those that may be wrappers of the content are settled when the page has been read.
+        node = _Node(tag, node, node.lost or (tag in DROP_TAGS and tag not in WRAPPERS))
+        if not node.lost and (tag in WRAPPERS or (m[3] and tag not in ARTICLE and _named(m[3]))):
+            node.doubt = doubts = True
+    if doubts:
+        _settle(root)
     return root
 
 
+def _settle(root: _Node) -> None:
+    """Take the doubtful elements out of the tree, but for those that hold the content."""
+    order = _order(root)
+    at = {x: i for i, x in enumerate(order)}
+    plain, holds, last, inside = [0] * len(order), [False] * len(order), list(range(len(order))), []
+    for i, x in enumerate(order):
+        inside.append(x.tag == "a" or (x is not root and inside[at[x.parent]]))
+    for i in range(len(order) - 1, -1, -1):
+        x = order[i]
+        if not inside[i]:
+            plain[i] += sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
+        holds[i] = holds[i] or (x.tag in ARTICLE and plain[i] > 0)
+        if x is not root:
+            p = at[x.parent]
+            plain[p] += plain[i]
+            holds[p] = holds[p] or holds[i]
+            last[p] = max(last[p], last[i])
+    # The fullest first, so that a wrapper comes before what it holds; articles in kept parts compete with the rest.
+    articles: list[tuple[int, int]] = []
+    waiting: list[tuple[int, int]] = []
+
+    def walk(start: int) -> None:
+        i, end = start, last[start]
+        while i <= end:
+            if i != start and order[i].doubt:
+                heappush(waiting, (-plain[i], i))
+                i = last[i] + 1
+                continue
+            if order[i].tag in ARTICLE:
+                insort(articles, (-plain[i], i))
+            i += 1
+
+    walk(0)
+    gone = set()
+    while waiting:
+        _, i = heappop(waiting)
+        beside = next((-n for n, a in articles if not a < i <= last[a]), 0)
+        if (holds[i] or 2 * plain[i] > plain[0]) and 4 * beside < plain[i]:
+            walk(i)
+        else:
+            gone.add(order[i])
+    for p in {x.parent for x in gone}:
+        p.kids = [k for k in p.kids if isinstance(k, str) or k not in gone]
+
+
 def _order(root: _Node) -> list[_Node]:
     out, todo = [], [root]
     while todo:

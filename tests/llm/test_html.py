@@ -43,6 +43,24 @@ def test_dropped_elements_end_where_html_ends_them():
         assert H.extract(page) == want, page
 
 
+def test_wrappers_of_the_content_are_kept():
+    text = "".join(f"<p>Paragraph {i} has quite a lot of plain text in it, more than any menu has.</p>" for i in range(4))
+    for page in (
+        f'<div class="content with-sidebar">{text}</div>',
+        f'<div class="no-sidebar">{text}</div><div class="sidebar">links</div>',
+        f'<div class="hasComments">{text}<div class="comments">nice post</div></div>',
+        f'<div id="page-header-fixed"><div class="menu"><p>Home</p></div><article>{text}<div class="share">Share this</div></article></div>',
+        f'<div id="header-top"><div class="sidebar-left"><main>{text}</main></div></div><p>Some other line</p>',
+        f'<form id=aspnetForm><div class=nav>menu</div><div>{text}</div><fieldset><label>Your mail</label></fieldset></form>',
+        f'<form id=aspnetForm><article>{text}</article><div class=related><article><p>A teaser of another page</p></article></div></form>',
+        f'<article>{text}</article><div class=comments><article><p>A comment</p></article><article><p>Another one</p></article></div>',
+    ):
+        got = H.extract(f"<html><body>{page}</body></html>")
+        assert got.count("Paragraph") == 4 and got.startswith("Paragraph 0") and got.endswith("menu has."), page
+    assert H.extract("<p>main text of it<div class='sidebar no-border'>side</div><form>Search</form>") == "main text of it"
+    assert H.extract("<div class=menu>" * 5000 + "deep" + "</div>" * 5000) == "deep"
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, "u", PAGE, 5), (1, "u", PAGE, 5), (None, None, None, 1)], "page_id long, url string, html string, text int")
     rows = H.extract_pages(df).collect()
