@@ -7,6 +7,9 @@ Islands evolve apart in Spark tasks; after each epoch the elites migrate to
 the other islands of the same cell. A cell is a bounded random share of the
 pieces; badly filled bins of all cells are opened and packed once more.
 
+Ids are those of the `tokenizers` library under its defaults: the vocabulary's
+added tokens are found in texts first.
+
 Rows: a null text is empty and holds the end id alone; null ids and repeated
 rows are separate documents; an empty table gives an empty result. Pieces of
 the full length need no search and are sequences of their own.
@@ -14,7 +17,9 @@ the full length need no search and are sequences of their own.
 
 from __future__ import annotations
 
+import json
 import random
+import re
 import zlib
 
 import numpy as np
@@ -35,11 +40,26 @@ CELL, ISLANDS, EPOCHS, POPULATION, CHILDREN, ELITES = 4096, 2, 2, 4, 6, 2
 GOOD_FILL = 0.995
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Text -> id of the JSON's added tokens, which no merge crosses."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f).get("added_tokens", [])
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in found):
+        raise ValueError(f"{path}: added tokens that take in white space, stand alone or are normalized")
+    return {t["content"]: t["id"] for t in found}
+
+
 class Counter:
-    """Ids as little-endian unsigned 32-bit bytes; recurring words are encoded once."""
+    """Ids as little-endian unsigned 32-bit bytes; recurring words are encoded once.
+
+    Added tokens in a text are ids of their own and the parts between them are
+    encoded apart, as the library does by default."""
 
     def __init__(self, path: str):
         ranks = load_ranks(path)
+        self.added = {t: np.array([i], "<u4").tobytes() for t, i in added_tokens(path).items()}
+        # The longest first, as the library prefers.
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")").split if self.added else lambda text: [text]
         self.enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, bytes] = {}
 
@@ -47,6 +67,12 @@ class Counter:
         return np.array(self.enc.encode_ordinary(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        parts = self.split(text)
+        if len(parts) == 1:
+            return self.ordinary(text)
+        return b"".join(self.added[x] if i % 2 else self.ordinary(x) for i, x in enumerate(parts))
+
+    def ordinary(self, text: str) -> bytes:
         if not text or _RUN.search(text):
             return self.raw(text)
         first, *rest = text.split(" ")

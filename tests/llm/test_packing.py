@@ -15,6 +15,18 @@ def test_ids_equal_the_tokenizers_library():
         assert np.frombuffer(count(text), "<u4").tolist() == e.ids
 
 
+def test_added_tokens_are_ids_of_their_own_as_in_the_library(spark):
+    t, count, r = Tokenizer.from_file(K.TOKENIZER), K.Counter(K.TOKENIZER), random.Random(3)
+    end = "<|endoftext|>"
+    texts = ["see <|endoftext|> here", end, end + end, " " + end + "  " + end + "\n", "a" + end + "b", "<|endoftext|", "x <|<|endoftext|>|> y", "<|ENDOFTEXT|>"]
+    texts += ["".join(r.choice([end, " ", "  ", "the", " nd", ",\n", "é", "<|"]) for _ in range(30)) for _ in range(300)]
+    ids = [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+    assert ids[0] == [3826, 220, 50256, 994]
+    assert [np.frombuffer(count(x), "<u4").tolist() for x in texts] == ids
+    out = K.pack_documents(spark.createDataFrame([(1, texts[0])], "doc_id long, text string")).collect()
+    assert [(x.length, x.ids_crc32) for x in out] == [(5, zlib.crc32(np.array(ids[0] + [K.END_ID], "<u4").tobytes()))]
+
+
 def test_cut():
     assert K.cut(5, 4) == [(0, 1), (1, 4)] and K.cut(8, 4) == [(0, 4), (4, 4)] and K.cut(3, 4) == [(0, 3)]
 
