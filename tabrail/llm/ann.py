@@ -13,12 +13,14 @@ cells that may still pass the test are visited.
 
 Equal vectors are one point of the index; of each the ``k + 1`` smallest ids
 are kept, which is all that any answer can hold (ties go to smaller ids, and
-a query leaves out only itself), so a vector that a third of all rows share
-costs one point.
+a query leaves out only its own id), so a vector that a third of all rows
+share costs one point.
 
 Rows: vectors that are null, zero, of another length than most, or that hold
-null or non-finite parts take no part; repeated ids are kept as rows of their
-own; an empty table gives an empty result.
+null or non-finite parts take no part; rows equal in id and vector count once,
+as queries and as neighbours; an id with several vectors is a row, and a query
+with neighbours of its own, for each of them; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -132,10 +134,11 @@ def leaves_of(p: np.ndarray) -> tuple[np.ndarray, list[slice], np.ndarray, np.nd
     return order, slices, lo, hi
 
 
-def search_cell(points, qvecs, bounds, limit, k: int):
+def search_cell(points, qvecs, bounds, limit, k: int, own=None):
     """For each query the nearest points of one cell: lists of (point, cosine).
 
-    ``bounds``: squared distance known to be reached by k neighbours."""
+    ``bounds``: squared distance known to be reached by k neighbours; ``own``:
+    for each query the points that it leaves out."""
     proj = projection(points.shape[1])
     p, q = points @ proj, qvecs @ proj
     order, slices, lo, hi = leaves_of(p)
@@ -149,6 +152,8 @@ def search_cell(points, qvecs, bounds, limit, k: int):
             if gaps[i, leaf] > limit * bound:
                 break
             rows = order[slices[leaf]]
+            if own is not None and len(own[i]):
+                rows = rows[~np.isin(rows, own[i])]
             d = np.maximum(2 - 2 * (points[rows] @ qvecs[i]), 0)
             best, dist = np.concatenate([best, rows]), np.concatenate([dist, d])
             if len(best) > k:
@@ -172,10 +177,11 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "v
     if not size:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d, total = size[0]["d"], size[0]["count"]
-    rows = rows.where(F.size("v") == d)
+    # Rows equal in id and vector count once, before anything is cut; the partial aggregate drops them ahead of the shuffle.
+    rows = (rows.where(F.size("v") == d).withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64("v", F.lit(1)))
+            .groupBy("id", "h1", "h2").agg(F.first("v").alias("v")))
     # Equal vectors are one point. Row number keeps k + 1 ids a point, already before the shuffle.
-    points = (rows.withColumn("h1", F.xxhash64("v")).withColumn("h2", F.xxhash64("v", F.lit(1)))
-              .withColumn("i", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("id"))).where(F.col("i") <= k + 1)
+    points = (rows.withColumn("i", F.row_number().over(Window.partitionBy("h1", "h2").orderBy("id"))).where(F.col("i") <= k + 1)
               .groupBy("h1", "h2").agg(F.array_sort(F.collect_list("id")).alias("ids"), F.min_by("v", "id").alias("v")))
     points = stage(points.withColumn("point", F.monotonically_increasing_id()).drop("h1", "h2"), "points")
     drawn = points.orderBy(F.xxhash64(F.element_at("ids", 1))).limit(SAMPLE).select("ids", "v").toPandas()
@@ -209,29 +215,34 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "v
                     bound = np.full(len(q), np.inf)
                 gaps = tree.gaps(q @ proj)
                 row, cell = np.nonzero(gaps <= limit * bound[:, None])
-                yield pd.DataFrame({"cell": cell.astype(np.int32), "query_id": part["id"].to_numpy()[row], "bound": bound[row], "v": part["v"].to_numpy()[row]})
+                yield pd.DataFrame({"cell": cell.astype(np.int32), "query_id": part["id"].to_numpy()[row], "query": part["h1"].to_numpy()[row], "bound": bound[row], "v": part["v"].to_numpy()[row]})
 
     def verify(key, pts, qs):
         if not len(pts) or not len(qs):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "query": [], "vec_id": [], "score": []})
         x, raw_q = np.array(pts["v"].tolist(), float), np.array(qs["v"].tolist(), float)
         limit = shared.value[3]
         norm, ids = np.sqrt((x * x).sum(axis=1)), pts["ids"].to_numpy()
-        # k + 1: the query's own vector may be one of the points.
-        found = search_cell(x / norm[:, None], unit(raw_q), qs["bound"].to_numpy(), limit, k + 1)
-        out_q, out_v, out_s = [], [], []
-        for query, own, best in zip(qs["query_id"], raw_q, found):
+        # Points that a query's id holds alone are left out, however many there are; each of the others has an answer.
+        alone: dict[int, list[int]] = {}
+        for j, i in enumerate(ids):
+            if len(i) == 1:
+                alone.setdefault(int(i[0]), []).append(j)
+        found = search_cell(x / norm[:, None], unit(raw_q), qs["bound"].to_numpy(), limit, k + 1, [alone.get(i, []) for i in qs["query_id"]])
+        out_q, out_r, out_v, out_s = [], [], [], []
+        for query, row, own, best in zip(qs["query_id"], qs["query"], raw_q, found):
             if not len(best):
                 continue
             score = (x[best] * own).sum(axis=1) / (norm[best] * np.sqrt((own * own).sum()))
             pairs = sorted(((-float(s), int(i)) for s, b in zip(score, best) for i in ids[b] if i != query))[:k]
             out_q += [query] * len(pairs)
+            out_r += [row] * len(pairs)
             out_v += [i for _, i in pairs]
             out_s += [-s for s, _ in pairs]
-        return pd.DataFrame({"query_id": np.array(out_q, np.int64), "vec_id": np.array(out_v, np.int64), "score": np.array(out_s, float)})
+        return pd.DataFrame({"query_id": np.array(out_q, np.int64), "query": np.array(out_r, np.int64), "vec_id": np.array(out_v, np.int64), "score": np.array(out_s, float)})
 
     dealt = points.mapInPandas(deal, "cell int, point long, ids array<long>, v array<double>")
-    asked = rows.where(F.pmod("id", F.lit(every)) == 0).mapInPandas(route, "cell int, query_id long, bound double, v array<double>")
+    asked = rows.where(F.pmod("id", F.lit(every)) == 0).mapInPandas(route, "cell int, query_id long, query long, bound double, v array<double>")
     # Past MOST_CELLS cells their points go in chunks, and queries in blocks, so that neither side of a group grows without bound.
     chunks = max(1, -(-total // (cells * CELL_ROWS)))
     blocks = max(1, min(64, total // every // 4096))
@@ -239,9 +250,10 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "v
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("chunk", every_of(chunks))
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("point"), F.lit(chunks)).cast("int")).withColumn("block", every_of(blocks))
     group = ["cell", "chunk", "block"]
-    hits = dealt.groupBy(*group).cogroup(asked.groupBy(*group)).applyInPandas(verify, "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return hits.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    hits = dealt.groupBy(*group).cogroup(asked.groupBy(*group)).applyInPandas(verify, "query_id long, query long, vec_id long, score double")
+    # A row is in one cell and chunk, and a query in one block, so no pair comes twice.
+    rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id"))
+    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op9_stable_projections(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,6 +49,30 @@ def test_odd_rows(spark):
     assert [(r.query_id, r.vec_id) for r in ann.nearest(few).collect()] == [(0, 1)]
 
 
+def test_repeated_rows_count_once(spark, monkeypatch):
+    x = np.random.default_rng(6).standard_normal((300, 6))
+    x[7::20] = x[7]  # a vector of several ids, each of them repeated
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    kind = "vec_id long, embedding array<double>"
+    key = lambda df: sorted((r.query_id, r["rank"], r.vec_id, round(r.score, 9)) for r in ann.nearest(df).collect())
+    for cell_rows in (ann.CELL_ROWS, 40):
+        monkeypatch.setattr(ann, "CELL_ROWS", cell_rows)
+        got = key(spark.createDataFrame(rows * 10, kind))
+        assert len(got) == 6 * 5 and len({r[:2] for r in got}) == len({(r[0], r[2]) for r in got}) == 30
+        want = brute(range(300), x, 50, 5)
+        assert sum((r[2] in {j for _, j in want[r[0]]}) for r in got) >= 27
+
+
+def test_an_id_with_several_vectors(spark):
+    rows = [(0, [1.0, a / 100]) for a in range(12)] + [(i, [1.0, i / 10]) for i in range(1, 8)] + [(1, [2.0, 0.2])] * 3 + [(0, [1.0, 0.0])] * 9
+    got = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r["rank"], []).append((r.query_id, r.vec_id))
+    # Twelve queries of id 0, none of which answers with id 0; both rows of id 1 count, though they are equally near.
+    assert {k: len(v) for k, v in got.items()} == dict.fromkeys(range(1, 6), 12) and all(v > 0 for x in got.values() for _, v in x)
+    assert set(got[1]) == set(got[2]) == {(0, 1)} and set(got[3]) == {(0, 2)} and set(got[5]) == {(0, 4)}
+
+
 def test_chunks_of_full_cells(spark, monkeypatch):
     """Past the most cells, points go in chunks; answers stay those of brute force."""
     monkeypatch.setattr(ann, "MOST_CELLS", 2)
