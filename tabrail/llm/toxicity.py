@@ -45,6 +45,8 @@ EDGE = ".,;:?*&%#\"'()[]{}<>/\\|~`-_=…«»“”„!"
 COST_LEET, COST_SEPARATOR, COST_REPEAT, COST_SIGN = 1.0, 0.5, 0.7, 3.0
 #: Odd multipliers of the min-hashes by which near copies in the sample count once.
 MARKS = (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)
+#: Likeness (Jaccard) of the word triples from which two texts of one label are near copies.
+ALIKE = 0.8
 _LONG_RUN = re.compile(r"(.)\1\1")
 _SPELLED = re.compile(r"(?<!\S)(?:[^\W_][ .\-_*]){2,}[^\W_](?!\S)")
 #: Letter classes: 0 edge, 1-26 a-z, 27-58 other letters by code point.
@@ -245,6 +247,24 @@ class Model:
         return score
 
 
+def near_copies(texts: DataFrame) -> DataFrame:
+    """Ids of the texts (id, y, m0, m1, m2, triples) that a text with a smaller id stands for.
+
+    A shared mark only proposes a pair; the likeness of the triple sets decides,
+    so texts that share a passage both stay. Three agreeing marks are looked at
+    apart from single ones, where an unlike text may have the smallest id."""
+    out = None
+    for marks in (["m0", "m1", "m2"], ["m0"], ["m1"], ["m2"]):
+        # The smallest id stands for its near copies, so that a fit repeats exactly.
+        first = (texts.groupBy("y", *marks).agg(F.min_by(F.struct("id", "triples"), "id").alias("x"), F.count(F.lit(1)).alias("n")).where("n > 1")
+                 .select("y", *marks, F.col("x.id").alias("first"), F.col("x.triples").alias("others")))
+        both = F.size(F.array_intersect("triples", "others"))
+        found = (texts.join(first, ["y", *marks]).where(F.col("id") != F.col("first"))
+                 .where(both >= ALIKE * (F.size("triples") + F.size("others") - both)).select("id"))
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
+
+
 def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on a bounded sample of labelled rows; trigrams on every text of ``docs``."""
     spark = docs.sparkSession
@@ -279,16 +299,13 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
                     feats.append(f)
                 # Min-hashes of word triples stand for a text and its near copies.
                 crcs = np.array([zlib.crc32(" ".join(t).encode()) for t in zip(found, found[1:], found[2:])] or [zlib.crc32(text.encode())], np.uint64)
-                rows.append((key, y, fold, *(int((crcs * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()) for m in MARKS), feats))
-            yield pd.DataFrame(rows, columns=["id", "y", "fold", "m0", "m1", "m2", "feats"])
+                crcs = np.unique(crcs)
+                rows.append((key, y, fold, *(int((crcs * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()) for m in MARKS), crcs.astype(np.int64), feats))
+            yield pd.DataFrame(rows, columns=["id", "y", "fold", "m0", "m1", "m2", "triples", "feats"])
 
-    texts = train.repartition(8).mapInPandas(features, "id long, y int, fold long, m0 long, m1 long, m2 long, feats array<array<int>>")
+    texts = train.repartition(8).mapInPandas(features, "id long, y int, fold long, m0 long, m1 long, m2 long, triples array<long>, feats array<array<int>>")
     texts = stage(texts, "train")
-    light = texts.drop("feats")
-    for m in ("m0", "m1", "m2"):
-        # The smallest id stands for its near copies, so that a fit repeats exactly.
-        light = light.groupBy("y", m).agg(F.min_by(F.struct(*light.columns), "id").alias("x")).select("x.*")
-    texts = stage(texts.join(light.select("id"), "id", "left_semi"), "train")
+    texts = stage(texts.join(near_copies(texts.drop("fold", "feats")), "id", "left_anti").drop("triples"), "train")
     size = {(r["y"], r["fold"]): r["n"] for r in texts.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not any(y == 0 for y, _ in size) or not any(y == 1 for y, _ in size):
         return Model(restorer, {}, None)

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tabrail.llm import toxicity as X
@@ -44,3 +46,18 @@ def test_odd_rows(spark, model):
     assert {r.score for r in X.score_documents(df, empty).collect()} == {0.0}
     kept = X.toxicity_stage(spark, df, "/root/testdata/sf0.001")
     assert kept.columns == df.columns and kept.count() == 5
+
+
+def test_only_near_copies_leave_the_sample(spark, monkeypatch):
+    rows, r, word = [], random.Random(8), "abcdefghij"
+    text = lambda n: " ".join("".join(r.choice(word) for _ in range(6)) for _ in range(n))
+    passage = text(60)
+    rows += [(i, f"{passage} {text(25)}", i % 2) for i in range(60)]  # alike by about a half
+    copied = text(300)
+    rows += [(i, f"{copied} {text(2)}", 1) for i in range(60, 90)]  # near copies
+    seen, stage = [], X.stage
+    monkeypatch.setattr(X, "stage", lambda df, name: seen.append((name, stage(df, name))) or seen[-1][1])
+    X.learn(spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    before, after = [{x.id for x in df.select("id").collect()} for name, df in seen if name == "train"]
+    assert {i for i in before if i < 60} == {i for i in after if i < 60}
+    assert len([i for i in before if i >= 60]) > 1 and [i for i in after if i >= 60] == [min(i for i in before if i >= 60)]
