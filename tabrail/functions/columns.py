@@ -173,7 +173,9 @@ def replay_progress_line(df: DataFrame, total: int, first_feature: str) -> DataF
     )
 
 
-def schema_report(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """C11: (position, column, type) of a frame's schema."""
-    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)]
-    return spark.createDataFrame(rows, "position int, column string, type string")
+def schema_report(spark: SparkSession, df: DataFrame, counts: bool = False) -> DataFrame:
+    """C11: (position, column, type) of a frame's schema; with ``counts`` also
+    the number of values of each column (one scan, one row to the driver)."""
+    held = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]).first() if counts and df.columns else ()
+    rows = [(i, f.name, f.dataType.simpleString(), *held[i:i + 1]) for i, f in enumerate(df.schema.fields)]
+    return spark.createDataFrame(rows, "position int, column string, type string" + ", values long" * bool(counts))

@@ -29,6 +29,8 @@ MISSING = 400
 NESTED = -500
 #: Texts of fields that may be no JSON strings.
 DOUBTFUL = r"^\s*(true|false|\[|\{)"
+#: A body that is form fields when nothing else says what it is.
+FORM = r"^[^\s={}\[\]\"]+="
 
 #: Texts that count as numbers: digits may be apart by single underscores;
 #: a trailing type letter ("5d", "5f") is no number.
@@ -37,57 +39,112 @@ NUMBER = (rf"(?i)^\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:e[
           r"|inf(?:inity)?|nan)\s*$")
 
 
-def _raw_schema(features: Sequence[str]) -> T.StructType:
-    # Every field as text: JSON numbers keep their literal text, strings
-    # their content, JSON null stays null.
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in features])
+def _json_fields(body: Column, features: Sequence[str]) -> Column:
+    """The body's fields as texts (numbers keep their literal text, JSON null
+    stays null); null if the body is not exactly one JSON object.
+
+    The body is read as the first element of an array whose second one holds
+    its hash: text behind the object breaks the array or shifts the hash."""
+    schema = T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in features] + [T.StructField("_tr_z", T.LongType())]))
+    sealed = F.concat(F.lit("["), body, F.lit(',{"_tr_z":'), F.xxhash64(body).cast("string"), F.lit("}]"))
+    return F.from_json(sealed, schema)
+
+
+def _unquoted(text: Column) -> Column:
+    """Form text with + and %XX resolved; a broken % stays as it is."""
+    return F.coalesce(F.try_url_decode(text), F.replace(text, F.lit("+"), F.lit(" ")))
+
+
+def _form_fields(body: Column) -> Column:
+    """name=value pairs of a form body as (name, value) structs, in order."""
+    def pair(p: Column) -> Column:
+        cut = F.instr(p, "=")
+        name = F.when(cut > 0, F.substring(p, F.lit(1), cut - 1)).otherwise(p)
+        value = F.when(cut > 0, F.substring(p, cut + 1, F.length(p))).otherwise(F.lit(""))
+        return F.struct(_unquoted(name).alias("name"), _unquoted(value).alias("value"))
+
+    return F.transform(F.filter(F.split(body, "&"), lambda p: p != ""), pair)
 
 
 def request_parse(df: DataFrame, features: Sequence[str], body: str = "body",
-                  keep: Sequence[str] = ("request_id",)) -> DataFrame:
+                  keep: Sequence[str] = ("request_id",), content_type: str | None = None) -> DataFrame:
     """Request text -> 8 doubles (absent -> 0) + ``status`` + ``reason``.
 
     Per field: absent -> 0.0; JSON null, array or object -> 500; true -> 1.0,
     false -> 0.0; text that is not a number -> 400; else the number. A body
-    that is not a JSON object -> 500.
+    that is not one JSON object (text behind it included) -> 500.
+
+    ``content_type`` names the column with the request's type: JSON types are
+    read as JSON, urlencoded forms as ``name=value`` pairs (the first of a
+    name counts), others have no fields. Without it, or where it is null, a
+    body that starts with ``name=`` is a form and any other one JSON.
+
+    The steps are staged as columns, so that every body is parsed once; key
+    lists and value kinds are looked up only for bodies that need them.
     """
-    # Parse once; the per-field rules below only read the parsed columns.
-    base = df.select(*keep, F.col(body).alias("_tr_body"), F.json_object_keys(F.col(body)).alias("_tr_keys"),
-                     F.from_json(F.col(body), _raw_schema(features)).alias("_tr_raw"))
-    keys = F.col("_tr_keys")
-    # As text, true and "true" are alike, as are [] and "[]": only bodies with
-    # such a field are parsed once more, for the kinds of their fields.
-    doubtful = any_of(F.coalesce(F.col("_tr_raw")[c].rlike(DOUBTFUL), F.lit(False)) for c in features)
-    base = base.withColumn("_tr_typed", F.when(doubtful, F.try_parse_json("_tr_body")))
+    text = F.col("_tr_body")
+    rows = df.select(*keep, F.col(body).alias("_tr_body"), *([F.lower(content_type).alias("_tr_type")] if content_type else []))
+    guess = F.when(text.rlike(FORM), F.lit("form")).otherwise(F.lit("json"))
+    if content_type:
+        mime = F.trim(F.substring_index("_tr_type", ";", 1))
+        guess = (F.when(mime.isNull(), guess).when((mime == "application/json") | (mime.startswith("application/") & mime.endswith("+json")), F.lit("json"))
+                 .when(mime == "application/x-www-form-urlencoded", F.lit("form")).otherwise(F.lit("none")))
+    rows = rows.select(*keep, "_tr_body", guess.alias("_tr_how"))
+    how = F.col("_tr_how")
+    rows = rows.select(*keep, "_tr_body", "_tr_how",
+                       F.when(how == "json", _json_fields(text, features)).alias("_tr_sealed"),
+                       F.when(how == "form", _form_fields(text)).alias("_tr_form"))
+    sealed = F.col("_tr_sealed")
+    whole = (F.size(sealed) == 2) & (F.get(sealed, F.lit(1))["_tr_z"] == F.xxhash64(text))
+    rows = rows.select(*keep, "_tr_body", "_tr_how", "_tr_form", F.when(whole, F.get(sealed, F.lit(0))).alias("_tr_raw"))
+    raw, form = F.col("_tr_raw"), F.col("_tr_form")
+    # A null text is an absent field or a JSON null: the keys tell. As text,
+    # true and "true" are alike, as are [] and "[]": the kinds tell.
+    some_null = any_of(raw[c].isNull() for c in features)
+    doubtful = any_of(F.coalesce(raw[c].rlike(DOUBTFUL), F.lit(False)) for c in features)
+    rows = rows.select(*keep, "_tr_how", "_tr_form", "_tr_raw",
+                       F.when(raw.isNotNull() & some_null, F.json_object_keys(text)).alias("_tr_keys"),
+                       F.when(raw.isNotNull() & doubtful, F.try_parse_json(text)).alias("_tr_typed"))
+    typed = F.col("_tr_typed")
+    kinds = F.struct(*[F.schema_of_variant(F.try_variant_get(typed, f"$['{c}']", "variant")).alias(c) for c in features])
+
+    def named(c: str) -> Column:
+        return F.get(F.filter(form, lambda p: p["name"] == F.lit(c)), F.lit(0))["value"]
+
+    rows = rows.select(*keep, "_tr_how", "_tr_raw", "_tr_keys", F.when(typed.isNotNull(), kinds).alias("_tr_kinds"), *[
+        F.when(form.isNotNull(), named(c)).otherwise(raw[c]).alias(f"_tr_text{i}") for i, c in enumerate(features)])
     cols, codes = {}, {}
     for i, c in enumerate(features):
-        present = F.array_contains(keys, F.lit(c))
-        text = F.col("_tr_raw")[c]
-        kind = F.coalesce(F.schema_of_variant(F.try_variant_get("_tr_typed", f"$['{c}']", "variant")), F.lit(""))
-        num = (F.when(kind == "BOOLEAN", (text == "true").cast("double"))
-               .when(text.rlike(NUMBER), F.regexp_replace(text, r"[_\s]", "").try_cast("double")))
-        cols[c] = F.when(~present, F.lit(0.0)).otherwise(num)
+        own = F.col(f"_tr_text{i}")
+        kind = F.coalesce(F.col("_tr_kinds")[c], F.lit(""))
+        absent = own.isNull() & ((F.col("_tr_how") != "json") | ~F.coalesce(F.array_contains("_tr_keys", F.lit(c)), F.lit(False)))
+        plain = F.length(F.translate(own, "0123456789.", "")) == 0
+        num = (F.when(plain, own.try_cast("double"))
+               .when(kind == "BOOLEAN", (own == "true").cast("double"))
+               .when(own.rlike(NUMBER), F.regexp_replace(own, r"[_\s]", "").try_cast("double")))
+        cols[c] = F.when(absent, F.lit(0.0)).otherwise(num)
         codes[f"_tr_code{i}"] = (
-            F.when(~present, F.lit(OK))
-            .when(text.isNull(), F.lit(JSON_NULL))
+            F.when(absent, F.lit(OK))
+            .when(own.isNull(), F.lit(JSON_NULL))
             .when(kind.rlike("^(ARRAY|OBJECT)"), F.lit(NESTED))
-            .when(num.isNull(), F.lit(BAD_TEXT))
-            .otherwise(F.lit(OK))
+            .otherwise(F.lit(None))
         )
-    # Stage the per-field codes as columns: the status and reason below read
-    # them several times, and plain columns keep the generated code small.
-    staged = base.select(*keep, "_tr_keys", *[v.alias(c) for c, v in cols.items()],
-                         *[v.alias(n) for n, v in codes.items()])
-    first_bad = F.coalesce(*[F.when(F.col(n) != OK, F.col(n)) for n in codes], F.lit(OK))
-    with_status = staged.withColumn(
-        "status", F.when(keys.isNull(), F.lit(NOT_OBJECT)).otherwise(F.abs(first_bad)))
+    staged = rows.select(*keep, ((F.col("_tr_how") == "json") & raw.isNull()).alias("_tr_broken"),
+                         *[v.alias(c) for c, v in cols.items()], *[v.alias(n) for n, v in codes.items()])
+    found = [F.coalesce(F.col(n), F.when(F.col(c).isNull(), F.lit(BAD_TEXT)).otherwise(F.lit(OK))) for c, n in zip(features, codes)]
+    first_bad = F.coalesce(*[F.when(f != OK, f) for f in found], F.lit(OK))
+    broken = F.col("_tr_broken")
+    staged = staged.select(*keep, "_tr_broken", *features, first_bad.alias("_tr_first"))
+    first = F.col("_tr_first")
     reason = (
-        F.when(keys.isNull(), F.lit("body is not a JSON object"))
-        .when(first_bad == NESTED, F.lit("nested value in a numeric field"))
-        .when(F.col("status") == JSON_NULL, F.lit("null value in a numeric field"))
-        .when(F.col("status") == BAD_TEXT, F.lit("invalid input: not a number"))
+        F.when(broken, F.lit("body is not a JSON object"))
+        .when(first == NESTED, F.lit("nested value in a numeric field"))
+        .when(first == JSON_NULL, F.lit("null value in a numeric field"))
+        .when(first == BAD_TEXT, F.lit("invalid input: not a number"))
     )
-    return with_status.select(*keep, *features, "status", reason.alias("reason"))
+    # A broken body has no fields.
+    values = [F.when(~broken, F.col(c)).alias(c) for c in features]
+    return staged.select(*keep, *values, F.when(broken, F.lit(NOT_OBJECT)).otherwise(F.abs(first)).alias("status"), reason.alias("reason"))
 
 
 def any_of(conditions) -> Column:
@@ -128,7 +185,7 @@ def request_form_rules(df: DataFrame, features: Sequence[str], non_negative: int
 
 def score_requests(requests: DataFrame, model: PipelineModel, features: Sequence[str],
                    body: str = "body", request_id: str = "request_id",
-                   zero_is_missing: bool = True) -> DataFrame:
+                   zero_is_missing: bool = True, content_type: str | None = None) -> DataFrame:
     """M5: request table -> response table
     (request_id, success, status, predicted_price, predicted_price_usd,
     formatted_price, error).
@@ -137,7 +194,7 @@ def score_requests(requests: DataFrame, model: PipelineModel, features: Sequence
     and their outputs blanked. A NaN feature passes validation but fails
     in the model's assembler in the reference, so it answers 500 here.
     """
-    checked = request_validate(request_parse(requests, features, body, (request_id,)), features,
+    checked = request_validate(request_parse(requests, features, body, (request_id,), content_type), features,
                                zero_is_missing)
     nan_any = any_of(F.coalesce(F.isnan(c), F.lit(False)) for c in features)
     status = F.when((F.col("status") == OK) & nan_any, F.lit(500)).otherwise(F.col("status"))

@@ -6,14 +6,14 @@ map-side and only one row per task crosses the shuffle.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabrail.config import MONITOR_UNIT_FACTOR, materialize
-from tabrail.operators.positions import rolling_last_n, rows_at_ranks, with_position
+from tabrail.config import MONITOR_UNIT_FACTOR
+from tabrail.operators.positions import rolling_last_n, with_position
+from tabrail.operators.quantiles import exact_quantiles, number, probes, sketch
 from tabrail.operators.split import last_n
 
 QUANTILES = (0.25, 0.5, 0.75)
@@ -32,75 +32,30 @@ def row_counts(df: DataFrame, part: str = "part", train: str = "train") -> DataF
 
 # --- F2 ---------------------------------------------------------------------
 
-def _long_form(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    return df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, value)")
-
-
-def describe(df: DataFrame, cols: Sequence[str] | None = None, stage: bool = True) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """per numeric column count, mean, sample std, min, quartiles with
     linear interpolation (as pandas ``describe``), max. Nulls and NaN are
     ignored, as pandas does.
 
-    Quartiles are exact without gathering a column in one task:
-    (column, value) pairs are counted first (partial aggregation: a value
-    repeated in a third of all rows becomes one row), the distinct pairs are
-    range-sorted once with a running sum of the counts, and only the rows
-    holding the wanted ranks (at most 6 per column, picked by a literal
-    predicate) reach the driver; the running sum inside a range partition is
-    computed only for the partitions that hold a wanted rank.
+    One scan for the statistics and a sketch of each column, one that counts
+    the values around the sketched quartiles, one that brings the few values
+    between them (see ``operators.quantiles``; more scans only beyond some
+    ten million rows). No row is sorted, stored or shuffled.
     """
     spark = df.sparkSession
     cols = list(cols or [f.name for f in df.schema.fields
                          if f.dataType.typeName() in ("double", "float", "integer", "long", "short", "byte", "decimal")])
-    if stage:
-        # Statistics and ranking both read the input: read it once.
-        df = materialize(df.select(*cols), "describe-input")
-    long = _long_form(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    # One row per column reaches the driver.
-    stats = {
-        r["column"]: r
-        for r in long.groupBy("column").agg(
-            F.count(F.lit(1)).alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        ).collect()
-    }
-    distinct = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("_tr_w"))
-    # Ranks run over columns in name order: a column starts after the counts
-    # of the columns that sort before it.
-    wanted, start = {}, 0
-    for c in sorted(stats):
-        n = stats[c]["count"]
-        for q in QUANTILES:
-            h = (n - 1) * q
-            wanted[(c, q)] = (start + math.floor(h), start + math.ceil(h), h - math.floor(h))
-        start += n
-    ranks = sorted({g for lo, hi, _ in wanted.values() for g in (lo, hi)})
-    picked = rows_at_ranks(distinct, ["column", "value"], "_tr_w", ranks, ["value"])
-
-    def value_at(g):
-        for cum, w, v in picked:
-            if cum <= g < cum + w:
-                return v
-        return None
-
-    rows = []
+    aggs = []
     for i, c in enumerate(cols):
-        st = stats.get(c)
-        qs = []
-        for q in QUANTILES:
-            if st is None:
-                qs.append(None)
-                continue
-            lo, hi, frac = wanted[(c, q)]
-            vlo, vhi = value_at(lo), value_at(hi)
-            qs.append(vlo + (vhi - vlo) * frac)
-        vals = [st[k] if st is not None else None for k in ("count", "mean", "std", "min")]
-        rows.append((i, c, vals[0] if st is not None else 0, *vals[1:], *qs,
-                     st["max"] if st is not None else None))
+        x = number(c)
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+                 F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"), sketch(x, probes(QUANTILES)).alias(f"q{i}")]
+    # One row reaches the driver.
+    st = df.agg(*aggs).first() if cols else None
+    counts = {c: st[f"n{i}"] for i, c in enumerate(cols)}
+    quantiles = exact_quantiles(df, counts, QUANTILES, {c: st[f"q{i}"] for i, c in enumerate(cols)})
+    rows = [(i, c, st[f"n{i}"], st[f"mean{i}"], st[f"std{i}"], st[f"min{i}"], *[quantiles[c][q] for q in QUANTILES], st[f"max{i}"])
+            for i, c in enumerate(cols)]
     return spark.createDataFrame(
         rows,
         "position int, column string, count long, mean double, std double, min double, "

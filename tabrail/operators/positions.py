@@ -76,68 +76,64 @@ def with_position(
     return out.drop("_tr_mid", "_tr_part", "_tr_offset", "_tr_total")
 
 
-def with_running_sum(
-    df: DataFrame,
-    order: Sequence[str | Column],
-    weight: str,
-    name: str = "cum",
-) -> DataFrame:
-    """Add ``name`` = sum of ``weight`` over all rows before this one in
-    ``order`` (an exclusive prefix sum), the weighted form of
-    ``with_position``. Per range partition: the partition totals (one row
-    per partition) reach the driver; the running sum inside a partition is a
-    window over that partition only, so a task holds one range."""
+def number_rows(df: DataFrame, name: str = "pos") -> DataFrame:
+    """Add ``name`` = 0, 1, 2, ... in no particular order. The rows are stored
+    as their tasks hold them; nothing is shuffled, whatever their values."""
     spark = df.sparkSession
-    cols = _cols(order)
-    stored = work_dir(spark, "running-sum")
-    df.orderBy(*cols).withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
+    stored = work_dir(spark, "numbered")
+    df.withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
     tagged = spark.read.parquet(stored).withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
-    totals = sorted(tuple(r) for r in tagged.groupBy("_tr_part").agg(F.sum(weight)).collect())
+    # One row per writing task reaches the driver.
     rows, seen = [], 0
-    for part_id, w in totals:
+    for part_id, n in sorted(tuple(r) for r in tagged.groupBy("_tr_part").agg(F.count(F.lit(1))).collect()):
         rows.append((part_id, seen))
-        seen += w or 0
+        seen += n
     offsets = spark.createDataFrame(rows, "_tr_part long, _tr_offset long")
-    inside = Window.partitionBy("_tr_part").orderBy("_tr_mid").rowsBetween(Window.unboundedPreceding, -1)
-    out = tagged.join(F.broadcast(offsets), "_tr_part").withColumn(
-        name, F.col("_tr_offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-    return out.drop("_tr_mid", "_tr_part", "_tr_offset")
+    local = F.col("_tr_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    return tagged.join(F.broadcast(offsets), "_tr_part").withColumn(name, F.col("_tr_offset") + local).drop("_tr_mid", "_tr_part", "_tr_offset")
 
 
-def rows_at_ranks(
+def grouped_prefix_sums(
     df: DataFrame,
-    order: Sequence[str | Column],
-    weight: str,
-    ranks: Sequence[int],
-    cols: Sequence[str],
-) -> list[tuple]:
-    """The rows that hold the given weighted ranks: each row covers ranks
-    [cum, cum + weight) in ``order``. Returns (cum, weight, *cols) for the
-    hit rows. Like ``with_running_sum``, but the window inside a range
-    partition runs only on the partitions that hold a wanted rank."""
+    group: Sequence[str],
+    order: str,
+    sums: Sequence[str],
+) -> DataFrame:
+    """Per group of ``group`` and in ``order``: inclusive prefix sums of the
+    columns ``sums`` as ``<name>_upto``, their totals as ``<name>_all``, and
+    the following value of ``order`` as ``following`` (null for the last).
+
+    One global range sort, stored; a group of any size spreads over several
+    ranges. One row per (range, group) reaches the driver: the caller keeps
+    the number of groups bounded. ``order`` must be unique inside a group.
+    """
     spark = df.sparkSession
-    if not ranks:
-        return []
-    stored = work_dir(spark, "rank-lookup")
-    df.orderBy(*_cols(order)).withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
+    stored = work_dir(spark, "prefix-sums")
+    df.orderBy(*group, order).withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
     tagged = spark.read.parquet(stored).withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
-    totals = sorted(tuple(r) for r in tagged.groupBy("_tr_part").agg(F.sum(weight)).collect())
-    rows, seen, wanted = [], 0, set()
-    for part_id, w in totals:
-        w = w or 0
-        if any(seen <= g < seen + w for g in ranks):
-            wanted.add(part_id)
-            rows.append((part_id, seen))
-        seen += w
-    offsets = spark.createDataFrame(rows, "_tr_part long, _tr_offset long")
-    inside = Window.partitionBy("_tr_part").orderBy("_tr_mid").rowsBetween(Window.unboundedPreceding, -1)
-    sub = tagged.where(F.col("_tr_part").isin(sorted(wanted))).join(F.broadcast(offsets), "_tr_part")
-    cum = F.col("_tr_offset") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
-    ranked = sub.select(cum.alias("_tr_cum"), F.col(weight).alias("_tr_w"), *cols)
-    hit = F.lit(False)
-    for g in sorted(set(ranks)):
-        hit = hit | ((F.col("_tr_cum") <= F.lit(g)) & (F.lit(g) < F.col("_tr_cum") + F.col("_tr_w")))
-    return [tuple(r) for r in ranked.where(hit).collect()]
+    edges = tagged.groupBy("_tr_part", *group).agg(F.min(order).alias("_tr_first"), *[F.sum(c).alias(c) for c in sums]).collect()
+    width = len(group)
+    by_group: dict[tuple, list] = {}
+    for r in sorted(edges, key=lambda r: r["_tr_part"]):
+        by_group.setdefault(tuple(r[1:1 + width]), []).append(r)
+    rows = []
+    for g, parts in by_group.items():
+        total = [sum(p[c] for p in parts) for c in sums]
+        before = [t * 0 for t in total]
+        for i, p in enumerate(parts):
+            follow = parts[i + 1]["_tr_first"] if i + 1 < len(parts) else None
+            rows.append((p["_tr_part"], *g, follow, *before, *total))
+            before = [b + p[c] for b, c in zip(before, sums)]
+    kinds = dict(df.dtypes)
+    schema = ", ".join(["_tr_part long", *[f"`{g}` {kinds[g]}" for g in group], f"_tr_follow {kinds[order]}",
+                        *[f"`{c}_before` {kinds[c]}" for c in sums], *[f"`{c}_all` {kinds[c]}" for c in sums]])
+    offsets = spark.createDataFrame(rows, schema)
+    inside = Window.partitionBy("_tr_part", *group).orderBy("_tr_mid")
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    joined = tagged.join(F.broadcast(offsets), ["_tr_part", *group])
+    return joined.select(
+        *df.columns, *[(F.col(f"{c}_before") + F.sum(c).over(upto)).alias(f"{c}_upto") for c in sums],
+        *[F.col(f"{c}_all") for c in sums], F.coalesce(F.lead(order).over(inside), F.col("_tr_follow")).alias("following"))
 
 
 def rolling_last_n(

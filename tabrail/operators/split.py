@@ -8,13 +8,12 @@ task retries; ``randomSplit`` is offered only as a compatibility option.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabrail.config import materialize
-from tabrail.operators.positions import with_position
+from tabrail.operators.positions import number_rows, with_position
 
 
 def key_text(key: Sequence[str]) -> Column:
@@ -50,69 +49,76 @@ def bernoulli_split(
     )
 
 
-# Buckets of this many rows or fewer are finished with a top-k; larger
-# ones are narrowed by more hex digits of the hash, aiming at TARGET rows.
-CUTOFF_TOP_K = 100_000
-TARGET_BUCKET = 20_000
-
-
-def _histogram(df: DataFrame, prefix: str, width: int) -> list[tuple[str, int]]:
-    cur = df.where(F.col("_tr_h").startswith(prefix)) if prefix else df
-    return sorted(
-        (r[0], r[1]) for r in
-        cur.groupBy(F.substring("_tr_h", 1, width).alias("b")).agg(F.count(F.lit(1))).collect()
-    )
-
-
-def _kth_hash(df: DataFrame, key: Sequence[str], k: int, n: int) -> tuple[str, tuple] | None:
-    """(hash, key) of the k-th smallest row (1-based) in (hash, key) order,
-    without sorting the data. While the candidate bucket is large, count its
-    rows per next hex digits of the hash (as many digits as needed, at most
-    4, so at most 65,536 groups reach the driver), and step into the bucket
-    holding rank k; md5 is uniform, so each digit divides the rows by 16.
-    A top-k over the final bucket gives the row."""
-    if k <= 0:
-        return None
-    prefix, rank, size = "", k, n
-    while size > CUTOFF_TOP_K and len(prefix) < 32:
-        need = max(1, math.ceil(math.log(size / TARGET_BUCKET, 16)))
-        width = len(prefix) + min(4, need, 32 - len(prefix))
-        seen = 0
-        for bucket, cnt in _histogram(df, prefix, width):
-            if seen + cnt >= rank:
-                prefix, rank, size = bucket, rank - seen, cnt
+#: Hex digits that one histogram pass adds (at most 16 ** DIGITS groups reach
+#: the driver), and the number of rows under a prefix that ends the narrowing.
+DIGITS = 4
+FEW_ROWS = 20_000
+
+
+def _narrow(df: DataFrame, h: str, rank_of: Callable[[int], int]) -> tuple[str, int]:
+    """(prefix, rank inside it) of the ``rank_of(rows)``-th smallest (1-based)
+    text in column ``h``; few rows, or equal texts alone, are left under the
+    prefix. Rank 0: no prefix. Each pass counts rows per next hex digits; only
+    counts reach the driver, so neither the rows nor a text that many of them
+    share ever meet in one task."""
+    prefix, rank = "", None
+    while len(prefix) < 32:
+        cur = df.where(F.col(h).startswith(prefix)) if prefix else df
+        text = F.xxhash64(h)
+        buckets = sorted(cur.groupBy(F.substring(h, 1, len(prefix) + DIGITS).alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), (F.min(text) == F.max(text)).alias("one")).collect())
+        if rank is None:
+            rank = rank_of(sum(r["n"] for r in buckets))
+            if rank <= 0:
+                return "", 0
+        for r in buckets:
+            if rank <= r["n"]:
+                prefix = r["b"]
                 break
-            seen += cnt
+            rank -= r["n"]
         else:
             raise ValueError("rank beyond the row count")
-    cur = df.where(F.col("_tr_h").startswith(prefix)) if prefix else df
-    row = (
-        cur.orderBy("_tr_h", *key).limit(rank)
-        .orderBy(*[F.col(c).desc() for c in ["_tr_h", *key]]).limit(1).collect()[0]
-    )
-    return row["_tr_h"], tuple(row[c] for c in key)
+        if r["one"] or r["n"] <= FEW_ROWS:
+            break
+    return prefix, rank
 
 
-def _at_or_before(h: str, keyvals: tuple, key: Sequence[str]) -> Column:
-    """(hash, key) <= (h, keyvals) in lexicographic order."""
-    cond = F.lit(True)
-    cols = ["_tr_h", *key]
-    vals = [h, *keyvals]
-    # Build from the last column backwards: c0 < v0 or (c0 = v0 and (...)).
-    for c, v in zip(reversed(cols), reversed(vals)):
-        # Nulls come first in the order.
+def _cut(df: DataFrame, h: str, cols: Sequence[str], rank_of: Callable[[int], int]) -> tuple[tuple, int, int] | None:
+    """The ``rank_of(rows)``-th smallest row (1-based) in (h, *cols) order as
+    (values, rank among the rows equal to it, their number); none for rank 0."""
+    prefix, rank = _narrow(df, h, rank_of)
+    if not rank:
+        return None
+    few = df.where(F.col(h).startswith(prefix)).groupBy(h, *cols).agg(F.count(F.lit(1)).alias("_tr_n"))
+    low = [F.col(c).asc_nulls_first() for c in [h, *cols]]
+    for r in few.orderBy(*low).collect():
+        if rank <= r["_tr_n"]:
+            return tuple(r[c] for c in [h, *cols]), rank, r["_tr_n"]
+        rank -= r["_tr_n"]
+    raise ValueError("rank beyond the row count")
+
+
+def _before(cols: Sequence[str], values: tuple) -> Column:
+    """``cols`` < ``values`` in lexicographic order, nulls first."""
+    cond = F.lit(False)
+    for c, v in zip(reversed(list(cols)), reversed(values)):
         below = F.lit(False) if v is None else F.coalesce(F.col(c) < F.lit(v), F.lit(True))
         cond = below | (F.col(c).eqNullSafe(F.lit(v)) & cond)
     return cond
 
 
-def _equal(h: str, keyvals: tuple, key: Sequence[str]) -> Column:
-    cond = F.col("_tr_h") == F.lit(h)
-    for c, v in zip(key, keyvals):
+def _equal(cols: Sequence[str], values: tuple) -> Column:
+    cond = F.lit(True)
+    for c, v in zip(cols, values):
         cond = cond & F.col(c).eqNullSafe(F.lit(v))
     return cond
 
 
+def row_digest(cols: Sequence[str]) -> Column:
+    """Digest of the whole row: equal for equal rows alone."""
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols]), {"ignoreNullFields": "false"}))
+
+
 def exact_split(
     df: DataFrame,
     key: Sequence[str],
@@ -120,40 +126,56 @@ def exact_split(
     seed: int = 42,
     part: str = "part",
     position: str | None = "id",
-    stage: bool = True,
 ) -> DataFrame:
     """Exact-count split: the first ceil(test_fraction * n) rows in
     (hash, key) order are 'test', the rest 'train' (20640 -> 16512 + 4128).
 
-    The cutoff row is found by hash-prefix histograms (``_kth_hash``): a few
-    aggregations over the key columns and no sort of the data; the parts
-    are then a filter. With ``position`` set, the test rows are numbered
-    0..k-1 in hash order (the replay ids); train rows get null. Rows that
-    share the cutoff's key are taken by position until the count is met. With ``stage`` the hashed input is written once (shared
-    work folder) and every pass reads it back.
+    The cutoff comes from counts over the key columns alone; the split itself
+    is a filter with literal bounds on the source, and nothing is stored.
+    Where the cutoff falls inside a repeated key, its rows are settled in the
+    same way by counts of their whole-row digests; only rows that are equal
+    in every column and straddle the cutoff are stored, to be numbered.
+
+    With ``position`` set, the test rows are numbered 0..k-1 in hash order
+    (the replay ids, equal keys by row digest); train rows get null.
     """
+    whole = list(df.columns)
+    order = ["_tr_h", *key]
     hashed = df.withColumn("_tr_h", split_hash(key, seed, "exact"))
-    if stage:
-        hashed = materialize(hashed, "exact-split-input")
-    keys_only = hashed.select("_tr_h", *key)
-    n = keys_only.count()
-    k = int(math.ceil(n * float(test_fraction)))
-    cut = _kth_hash(keys_only, key, k, n)
-    is_test = _at_or_before(cut[0], cut[1], key) if cut else F.lit(False)
-    if cut:
-        at_cut = _equal(cut[0], cut[1], key)
-        upto, ties = keys_only.agg(F.count_if(is_test), F.count_if(at_cut)).first()
-        if upto > k:
-            # The key repeats: number its rows and take what is missing.
-            tied = with_position(hashed.where(at_cut), [c for c, t in hashed.dtypes if not t.startswith("map")], name="_tr_tie")
-            hashed = hashed.where(~at_cut).withColumn("_tr_tie", F.lit(None).cast("long")).unionByName(tied)
-            is_test = is_test & (F.col("_tr_tie").isNull() | (F.col("_tr_tie") < ties - (upto - k)))
+    keys_only = hashed.select(*order)
+    found = _cut(keys_only, "_tr_h", key, lambda n: math.ceil(n * float(test_fraction)))
+    tied = None
+    if found is None:
+        is_test = F.lit(False)
+    else:
+        cut, taken, ties = found
+        is_test = _before(order, cut)
+        at_cut = _equal(order, cut)
+        if taken == ties:
+            is_test = is_test | at_cut
+        else:
+            # The cutoff's key repeats: the same search among its rows.
+            digest = row_digest(whole)
+            same, taken, ties = _cut(hashed.where(at_cut).select(digest.alias("_tr_d")), "_tr_d", [], lambda _, rank=taken: rank)
+            is_test = is_test | (at_cut & (digest < F.lit(same[0])))
+            if taken == ties:
+                is_test = is_test | (at_cut & (digest == F.lit(same[0])))
+            else:
+                twin = at_cut & (digest == F.lit(same[0]))
+                tied = number_rows(hashed.where(twin), "_tr_tie").withColumn(
+                    part, F.when(F.col("_tr_tie") < taken, F.lit("test")).otherwise(F.lit("train"))).drop("_tr_tie")
+                hashed = hashed.where(~twin)
     out = hashed.withColumn(part, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+    if tied is not None:
+        out = out.unionByName(tied)
     if position:
-        test = with_position(out.where(F.col(part) == "test"), ["_tr_h", *key], name=position)
+        # The last columns part rows with equal keys, so that the range sort
+        # can deal them to several tasks.
+        last = [row_digest(whole), F.monotonically_increasing_id()]
+        test = with_position(out.where(F.col(part) == "test"), [*order, *last], name=position)
         train = out.where(F.col(part) == "train").withColumn(position, F.lit(None).cast("long"))
         out = test.unionByName(train)
-    return out.drop("_tr_h", "_tr_tie")
+    return out.drop("_tr_h")
 
 
 # --- limits -----------------------------------------------------------------

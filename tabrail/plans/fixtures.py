@@ -108,3 +108,18 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts.append(field)
     body = F.concat(F.lit("{"), *parts, F.lit("}"))
     return c.select(F.col("row_key").alias("request_id"), body.alias("body"))
+
+
+def mixed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(request_id, content_type, body) of several kinds, by l_orderkey mod 5:
+    0 form fields; 1 JSON with text behind the object; 2 form fields with
+    ``+``, ``%XX`` and a repeated name; 3 JSON sent as plain text; 4 JSON."""
+    c = charge(spark, sf_dir).withColumn("_k", F.split("row_key", ":").getItem(0).cast("bigint") % 5)
+    form = F.concat_ws("&", *[F.concat(F.lit(f"{n}="), _json_number(n)) for n in CHARGE_FEATURES])
+    odd = F.concat(F.replace(F.replace(form, F.lit("l_quantity="), F.lit("l_quantity=+")), F.lit("."), F.lit("%2E")), F.lit("&l_tax=9"))
+    json = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{n}":'), _json_number(n)) for n in CHARGE_FEATURES]), F.lit("}"))
+    k = F.col("_k")
+    body = F.when(k == 0, form).when(k == 1, F.concat(json, F.lit(' {"l_tax":1}'))).when(k == 2, odd).otherwise(json)
+    kind = (F.when(k.isin(0, 2), F.lit("application/x-www-form-urlencoded; charset=utf-8"))
+            .when(k == 3, F.lit("text/plain")).otherwise(F.lit("application/json")))
+    return c.select(F.col("row_key").alias("request_id"), kind.alias("content_type"), body.alias("body"))

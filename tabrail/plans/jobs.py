@@ -12,15 +12,16 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrail.config import LAST_N, Settings, materialize, work_dir
+from tabrail.config import LAST_N, Settings, work_dir
 from tabrail.functions.columns import replay_record
 from tabrail.operators import forest as M
 from tabrail.operators.metrics import describe, monitor_series, row_counts
 from tabrail.operators.split import exact_split, head_n
-from tabrail.sinks.tables import materialize_if_absent, publish_tables, run_status, write_csv
+from tabrail.sinks.tables import publish_tables, run_status, write_csv
 from tabrail.sources.models import load_model, save_model
-from tabrail.sources.tables import read_results
-from tabrail.streaming.score import bounded_run, replay_publish, score_stream, start_sink, stream_source
+from tabrail.sources.tables import read_results, read_table
+from tabrail.streaming.replay import ROWS_PER_FILE, replay_publish
+from tabrail.streaming.score import bounded_run, score_stream, start_sink, stream_source
 
 # Fixed value: the label's unit as the reference's data description states it.
 LABEL_UNIT = "median price, unit $100,000"
@@ -43,14 +44,11 @@ def dataset_report(spark: SparkSession, features: Sequence[str], label: str,
 
 def prepare_job(spark: SparkSession, data: DataFrame, settings: Settings, out_root: str) -> dict:
     """Profile (F2), exact split (S1), write both parts as CSV (B1),
-    report (F8). The ranked rows are stored once by ``exact_split``, so both
-    parts and the counts read them back instead of hashing and sorting
-    again."""
-    cols = [*settings.key, *settings.features, settings.label]
-    # Stage the input once; profile and split both read the staged copy.
-    data = materialize(data.select(*cols), "prepare-input")
-    profile = describe(data, [*settings.features, settings.label], stage=False)
-    split = exact_split(data, list(settings.key), settings.test_fraction, settings.seed, stage=False)
+    report (F8). Nothing is copied before the parts are written: profile and
+    split read the columns they need from ``data``."""
+    data = data.select(*settings.key, *settings.features, settings.label)
+    profile = describe(data, [*settings.features, settings.label])
+    split = exact_split(data, list(settings.key), settings.test_fraction, settings.seed)
     train = split.where(F.col("part") == "train").drop("part", "id")
     stream = split.where(F.col("part") == "test").drop("part")
     paths = {
@@ -71,10 +69,9 @@ def train_job(
     estimator: Pipeline | None = None,
     clock: Callable[[], str] | None = None,
 ) -> dict:
-    """Prepared table if absent (B3) -> publish (B2) -> status started
-    (B8) -> split, fit, score, report (M6) -> save (B6) -> completed (B8)."""
-    prepared = materialize_if_absent(spark, lambda: train, f"{warehouse}/prepared")
-    published = publish_tables({"train_data": spark.read.parquet(prepared)}, warehouse)
+    """Publish the prepared rows (B2) -> status started (B8) -> split,
+    fit, score, report (M6) -> save (B6) -> completed (B8)."""
+    published = publish_tables({"train_data": train}, warehouse)
     data = spark.read.parquet(published["train_data"])
     est = estimator or M.forest_estimator(settings.features, settings.label,
                                           settings.num_trees, settings.max_depth, settings.seed)
@@ -97,17 +94,17 @@ def predict_job(
     run_root: str,
     status_path: str,
     n: int | None = None,
-    files: int = 4,
+    rows_per_file: int = ROWS_PER_FILE,
     timeout_s: float = 300,
     clock: Callable[[], str] | None = None,
 ) -> DataFrame:
-    """Status started -> replay the first ``n`` records (B7) -> stream
-    score with a bounded run (J1, J5) -> status completed. Returns the
-    result sink read back."""
+    """Status started -> replay the first ``n`` records (B7; their ids are
+    positions) -> stream score with a bounded run (J1, J5) -> status
+    completed. Returns the result sink read back."""
     model, _ = load_model(model_paths)
     inp, out = f"{run_root}/input", f"{run_root}/output"
     with run_status(spark, status_path, "prediction", clock=clock):
-        replay_publish(head_n(replay, n, ["id"]), inp, files=files)
+        replay_publish(head_n(replay, n, ["id"]), inp, rows_per_file, dense=True)
         results, rejects = score_stream(stream_source(spark, "text", inp), model, settings.features)
         q1 = start_sink(results, out, f"{run_root}/ckpt-out")
         q2 = start_sink(rejects, f"{run_root}/rejects", f"{run_root}/ckpt-rej")
@@ -125,13 +122,18 @@ def end_to_end_job(
     root: str | None = None,
     clock: Callable[[], str] | None = None,
 ) -> dict:
-    """Prepare -> train -> replay -> stream -> monitor (last ``last_n``)."""
+    """Prepare -> train -> replay -> stream -> monitor (last ``last_n``).
+
+    Training and replay read the two CSV tables that the preparation wrote."""
     root = root or work_dir(spark, "end-to-end")
     prep = prepare_job(spark, data, settings, f"{root}/data")
-    trained = train_job(spark, prep["train"], settings, f"{root}/warehouse",
+    types = dict(data.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in [*settings.key, *settings.features, settings.label])
+    trained = train_job(spark, read_table(spark, prep["paths"]["train"], schema=schema), settings, f"{root}/warehouse",
                         [f"{root}/models/primary", f"{root}/models/fallback"],
                         f"{root}/status/training", estimator, clock)
-    replay = replay_record(prep["stream"], settings.features, settings.label)
+    stream = read_table(spark, prep["paths"]["stream"], schema=schema + ", id long")
+    replay = replay_record(stream, settings.features, settings.label)
     results = predict_job(spark, [trained["model_path"]], replay, settings, f"{root}/stream",
                           f"{root}/status/prediction", n=replay_n, clock=clock)
     return {

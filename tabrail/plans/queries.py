@@ -1,9 +1,9 @@
 """One callable per operator of the inventory: ``(spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver's tables (through the fixture frames) and runs
-over all of their rows. Double outputs are rounded to 6 decimals at the end
-of each query (``_r6``) so that the engine-independent oracle compares
-values, not last-bit summation order.
+over all of their rows. Columns that come from sums of doubles (means, model
+predictions) are rounded to 6 decimals (``_round``); all others are returned
+as computed.
 """
 
 from __future__ import annotations
@@ -23,34 +23,30 @@ from tabrail.functions import rules as R
 from tabrail.operators import forest as M
 from tabrail.operators import metrics as MT
 from tabrail.operators import split as S
+from tabrail.operators.exact_tree import fit_exact_tree
 from tabrail.operators.positions import with_position
 from tabrail.plans import fixtures as fx
 from tabrail.plans import jobs as J
 from tabrail.sinks import tables as SK
 from tabrail.sources import models as SM
 from tabrail.sources import tables as SRC
+from tabrail.streaming import replay as RP
 from tabrail.streaming import score as ST
+from tabrail.streaming.monitor import LiveTop
 
 FEATS = list(fx.CHARGE_FEATURES)
 KEY = ["row_key"]
 REPLAY_N = 200  # rows the reference's replay step sends in its scheduled run
 
 
-def _q6(c):
-    # Same IEEE operations as the oracle's normaliser, so equal inputs give
-    # bit-equal outputs; the offset keeps short decimals (x.xxxxxx5) away
-    # from a rounding boundary.
-    x = F.col(c)
-    return F.when(F.isnan(x) | (F.abs(x) > F.lit(1e12)), x).otherwise(
-        F.floor(x * F.lit(1e6) + F.lit(0.381966)).cast("double") / F.lit(1e6))
+def _round(df: DataFrame, *cols: str) -> DataFrame:
+    """Round the named columns to 6 decimals: values of sums, whose last bits
+    depend on the order of addition. All other columns are returned as they are."""
+    return df.withColumns({c: F.round(c, 6) for c in cols})
 
 
-def _r6(df: DataFrame) -> DataFrame:
-    return df.select(*[
-        _q6(f.name).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-        else F.col(f.name)
-        for f in df.schema.fields
-    ])
+REPORT = ("rmse", "mae", "r2")
+SCORES = ("predicted_price", "error", "error_percentage")
 
 
 def _clock() -> Callable[[], str]:
@@ -82,15 +78,9 @@ def _train_rows(spark, sf):
     return S.bernoulli_split(prep, KEY, 0.8, 42)
 
 
-_MODELS: dict = {}
-
-
 def _stump(spark, sf) -> PipelineModel:
-    key = ("stump", sf, id(spark))
-    if key not in _MODELS:
-        train = _train_rows(spark, sf).where(F.col("part") == "train").drop("part")
-        _MODELS[key] = M.fit(M.stump_estimator(fx.STUMP_FEATURES), train, KEY)
-    return _MODELS[key]
+    train = _train_rows(spark, sf).where(F.col("part") == "train").drop("part")
+    return M.fit(M.stump_estimator(fx.STUMP_FEATURES), train, KEY)
 
 
 def _stump_test(spark, sf):
@@ -102,73 +92,87 @@ def _results(spark, sf):
     return C.prediction_error(fx.ticks(spark, sf))
 
 
-def _run_stream(spark, sf, model, records, name, files=4, two_runs=False):
-    """Publish records as JSON files, score them with a stream, read back."""
-    root = work_dir(spark, name)
-    inp, out = f"{root}/input", f"{root}/output"
-    if two_runs:
-        half = records.where(F.col("id") % 2 == 0)
-        ST.replay_publish(half, inp, files=files)
-    else:
-        ST.replay_publish(records, inp, files=files)
-    results, _ = ST.score_stream(ST.stream_source(spark, "text", inp), model, FEATS)
-    ST.start_sink(results, out, f"{root}/ckpt").awaitTermination()
-    if two_runs:
-        ST.replay_publish(records.where(F.col("id") % 2 == 1), inp, files=files)
-        ST.start_sink(results, out, f"{root}/ckpt").awaitTermination()
-        # Same checkpoint again with nothing new: must add no rows.
-        ST.start_sink(results, out, f"{root}/ckpt").awaitTermination()
-    return root, out
+def _published(spark, sf, root, rows_per_file=RP.ROWS_PER_FILE):
+    """Replay records published as ordered files; the path of the source."""
+    return RP.replay_publish(_replay(spark, sf), f"{root}/input", rows_per_file, dense=True)
+
+
+def _score_files(spark, sf, root, **source):
+    """The published files, scored by a stream that has yet to start."""
+    raw = ST.stream_source(spark, "text", f"{root}/input", **source)
+    return ST.score_stream(raw, _stump(spark, sf), FEATS)
 
 
 def _scored_results(spark, path):
-    return _r6(SRC.read_results(spark, path))
+    return _round(SRC.read_results(spark, path), *SCORES)
 
 
 # --- A: sources ----------------------------------------------------------------
 
 def csv_scan(spark, sf):
     path = SK.write_csv(SRC.feature_table(fx.charge(spark, sf), FEATS, "target"), work_dir(spark, "csv"))
-    return _r6(SRC.read_table(spark, path, header=True))
+    schema = ", ".join(f"{c} double" for c in [*FEATS, "target"])
+    return SRC.read_table(spark, path, schema=schema)
 
 
 def feature_table(spark, sf):
-    return _r6(SRC.feature_table(fx.charge(spark, sf), FEATS, "target"))
+    return SRC.feature_table(fx.charge(spark, sf), FEATS, "target")
 
 
 def stream_source(spark, sf):
     root = work_dir(spark, "source")
-    ST.replay_publish(_replay(spark, sf), f"{root}/input", files=4)
+    _published(spark, sf, root)
     raw = ST.stream_source(spark, "text", f"{root}/input")
     ST.start_sink(raw, f"{root}/landed", f"{root}/ckpt", fmt="parquet").awaitTermination()
-    return _r6(C.json_decode(spark.read.parquet(f"{root}/landed"), C.stream_record_schema(FEATS)))
+    return C.json_decode(spark.read.parquet(f"{root}/landed"), C.stream_record_schema(FEATS))
 
 
 def replay_scan(spark, sf):
     path = SK.write_csv(_stream_part(spark, sf).drop("row_key"), work_dir(spark, "replay-csv"))
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in FEATS]
                           + [T.StructField("target", T.DoubleType()), T.StructField("id", T.LongType())])
-    return _r6(SRC.replay_scan(SRC.read_table(spark, path, schema=schema), REPLAY_N, ["id"]))
+    return SRC.replay_scan(SRC.read_table(spark, path, schema=schema), REPLAY_N, ["id"])
 
 
 def rows_to_frame(spark, sf):
     text = fx.charge(spark, sf).select("row_key", *[F.col(c).cast("string").alias(c) for c in FEATS])
-    return _r6(SRC.frame_from_fields(text, FEATS, keep=["row_key"]))
+    return SRC.frame_from_fields(text, FEATS, keep=["row_key"])
 
 
 def results_reader(spark, sf):
-    root, out = _run_stream(spark, sf, _stump(spark, sf), _replay(spark, sf), "results")
+    root = work_dir(spark, "results")
+    _published(spark, sf, root)
+    results, _ = _score_files(spark, sf, root)
+    ST.start_sink(results, f"{root}/output", f"{root}/ckpt").awaitTermination()
     # The monitor side: read the result sink as a stream into a table.
-    ST.start_sink(ST.stream_results(spark, out), f"{root}/monitor", f"{root}/ckpt-reader",
+    ST.start_sink(ST.stream_results(spark, f"{root}/output"), f"{root}/monitor", f"{root}/ckpt-reader",
                   fmt="parquet").awaitTermination()
-    return _r6(spark.read.parquet(f"{root}/monitor"))
+    return _round(spark.read.parquet(f"{root}/monitor"), *SCORES)
+
+
+def csv_bad_lines(spark, sf):
+    """A1 on a damaged file: the lines that do not fit the schema."""
+    good = _replay(spark, sf).select("id", "l_quantity", "actual_price")
+    cells = [F.col(c).cast("string") for c in good.columns]
+    line = F.concat_ws(",", *cells)
+    # Text in a number, a line that ends early, a field too many.
+    bad = (F.when(F.col("id") % 97 == 0, F.concat_ws(",", cells[0], F.lit("abc"), cells[2]))
+           .when(F.col("id") % 101 == 0, cells[0])
+           .when(F.col("id") % 103 == 0, F.concat_ws(",", *cells, F.lit("9")))
+           .otherwise(line))
+    path = f"{work_dir(spark, 'csv-bad')}/lines"
+    good.select(bad.alias("value")).write.text(path)
+    found = SRC.bad_lines(spark, path, "id bigint, l_quantity double, actual_price double", header=False)
+    fields = F.size(F.split("line", ","))
+    fault = F.when(fields == 1, F.lit("short")).when(fields > 3, F.lit("long")).otherwise(F.lit("text"))
+    return found.select("id", "l_quantity", "actual_price", fault.alias("fault"))
 
 
 def model_load(spark, sf):
     root = work_dir(spark, "model-load")
     saved = SM.save_model(_stump(spark, sf), [f"{root}/primary"])
     model, _ = SM.load_model([f"{root}/missing", saved])
-    return _r6(M.predict_frame(model, _replay(spark, sf), "id"))
+    return _round(M.predict_frame(model, _replay(spark, sf), "id"), "prediction")
 
 
 # --- B: sinks --------------------------------------------------------------------
@@ -183,7 +187,7 @@ def csv_write(spark, sf):
     SK.write_csv(split.where("part = 'test'").drop("part"), f"{root}/streaming_data")
     back = [SRC.read_table(spark, f"{root}/{n}", schema=_SPLIT_SCHEMA).withColumn("part", F.lit(p))
             for n, p in (("train_data", "train"), ("streaming_data", "test"))]
-    return _r6(back[0].unionByName(back[1]))
+    return back[0].unionByName(back[1])
 
 
 def publish_table(spark, sf):
@@ -193,7 +197,7 @@ def publish_table(spark, sf):
                                "streaming_data": split.where("part = 'test'")}, root)
     back = [spark.read.parquet(p).select(F.lit(n).alias("table_name"), "row_key", "target")
             for n, p in paths.items()]
-    return _r6(back[0].unionByName(back[1]))
+    return back[0].unionByName(back[1])
 
 
 def materialize_if_absent(spark, sf):
@@ -201,28 +205,29 @@ def materialize_if_absent(spark, sf):
     split = _exact(spark, sf)
     SK.materialize_if_absent(spark, lambda: split.where("part = 'test'").select("row_key", "target"), path)
     SK.materialize_if_absent(spark, lambda: split.where("part = 'train'").select("row_key", "target"), path)
-    return _r6(spark.read.parquet(path))
+    return spark.read.parquet(path)
+
+
+_TICK = "id bigint, actual_price double, prediction double"
+
+
+def _ticks_stream(spark, sf, root):
+    RP.replay_publish(fx.ticks(spark, sf).select("id", "actual_price", "prediction"), f"{root}/input")
+    return C.json_decode(ST.stream_source(spark, "text", f"{root}/input"), T._parse_datatype_string(_TICK))
 
 
 def stream_json_sink(spark, sf):
     root = work_dir(spark, "json-sink")
-    ticks = fx.ticks(spark, sf).select("id", "actual_price", "prediction")
-    ST.replay_publish(ticks, f"{root}/input", files=4)
-    schema = "id bigint, actual_price double, prediction double"
-    decoded = C.json_decode(ST.stream_source(spark, "text", f"{root}/input"), T._parse_datatype_string(schema))
-    ST.start_sink(C.prediction_error(decoded), f"{root}/output", f"{root}/ckpt").awaitTermination()
-    return _scored_results(spark, f"{root}/output")
+    ST.start_sink(C.prediction_error(_ticks_stream(spark, sf, root)), f"{root}/output", f"{root}/ckpt").awaitTermination()
+    return SRC.read_results(spark, f"{root}/output")
 
 
 def stream_debug_tap(spark, sf):
     root = work_dir(spark, "tap")
-    ST.replay_publish(fx.ticks(spark, sf).select("id", "actual_price", "prediction"), f"{root}/input")
-    decoded = C.json_decode(ST.stream_source(spark, "text", f"{root}/input"),
-                            T._parse_datatype_string("id bigint, actual_price double, prediction double"))
     # The tap's console/memory forms gather rows in the driver; over whole
     # tables the tap lands in a Parquet table instead (same append query).
-    ST.start_sink(C.prediction_error(decoded), f"{root}/tap", f"{root}/ckpt", fmt="parquet").awaitTermination()
-    return _r6(spark.read.parquet(f"{root}/tap"))
+    ST.start_sink(C.prediction_error(_ticks_stream(spark, sf, root)), f"{root}/tap", f"{root}/ckpt", fmt="parquet").awaitTermination()
+    return spark.read.parquet(f"{root}/tap")
 
 
 def model_save(spark, sf):
@@ -235,20 +240,24 @@ def model_save(spark, sf):
     if saved != fallback:
         raise RuntimeError(f"expected the fallback location, saved to {saved}")
     model, _ = SM.load_model([saved])
-    return _r6(M.predict_frame(model, _replay(spark, sf), "id"))
+    return _round(M.predict_frame(model, _replay(spark, sf), "id"), "prediction")
 
 
 def replay_publish(spark, sf):
+    """The published records with the place of their file among all files
+    in the order that a source takes them."""
     root = work_dir(spark, "replay")
-    ST.replay_publish(_replay(spark, sf), f"{root}/input", files=8)
-    schema = C.stream_record_schema(FEATS)
-    return _r6(C.json_decode(spark.read.text(f"{root}/input"), schema))
+    _published(spark, sf, root, rows_per_file=1000)
+    raw = ST.stream_source(spark, "text", f"{root}/input", with_file=True)
+    ST.start_sink(raw, f"{root}/landed", f"{root}/ckpt", fmt="parquet").awaitTermination()
+    landed = spark.read.parquet(f"{root}/landed").select("value", RP.block_of()[1].cast("long").alias("block"))
+    return C.json_decode(landed, C.stream_record_schema(FEATS), keep=("block",))
 
 
 def run_status_log(spark, sf):
     root = work_dir(spark, "status")
-    with SK.run_status(spark, f"{root}/log", "prediction", clock=_clock()):
-        SK.publish_tables({"streaming_data": _replay(spark, sf)}, f"{root}/warehouse")
+    with SK.run_status(spark, f"{root}/log", "prediction", clock=_clock()) as status:
+        SK.publish_tables({"streaming_data": status.counted(_replay(spark, sf))}, f"{root}/warehouse")
     return SK.read_status(spark, f"{root}/log")
 
 
@@ -256,17 +265,17 @@ def run_status_log(spark, sf):
 
 def feature_columns(spark, sf):
     df = fx.charge(spark, sf)
-    return _r6(df.select("row_key", *C.feature_columns(df, "target", exclude=KEY)))
+    return df.select("row_key", *C.feature_columns(df, "target", exclude=KEY))
 
 
 def assemble_vector(spark, sf):
     df = C.assemble_vector(fx.charge(spark, sf), FEATS)
-    return _r6(C.vector_columns(df, "features", [f"f{i}" for i in range(len(FEATS))], keep=KEY))
+    return C.vector_columns(df, "features", [f"f{i}" for i in range(len(FEATS))], keep=KEY)
 
 
 def json_decode(spark, sf):
     schema = T.StructType([T.StructField(c, T.DoubleType()) for c in FEATS])
-    return _r6(C.json_decode(fx.requests(spark, sf), schema, value="body", keep=["request_id"]))
+    return C.json_decode(fx.requests(spark, sf), schema, value="body", keep=["request_id"])
 
 
 def json_encode(spark, sf):
@@ -275,19 +284,19 @@ def json_encode(spark, sf):
 
 
 def replay_record(spark, sf):
-    return _r6(_replay(spark, sf))
+    return _replay(spark, sf)
 
 
 def prediction_error(spark, sf):
-    return _r6(_results(spark, sf))
+    return _results(spark, sf)
 
 
 def unit_convert(spark, sf):
-    return _r6(C.unit_convert(_results(spark, sf)))
+    return C.unit_convert(_results(spark, sf))
 
 
 def price_format(spark, sf):
-    return _r6(fx.ticks(spark, sf).select("id", *C.price_format("prediction")))
+    return fx.ticks(spark, sf).select("id", *C.price_format("prediction"))
 
 
 def result_line(spark, sf):
@@ -301,13 +310,22 @@ def replay_progress_line(spark, sf):
 
 
 def schema_report(spark, sf):
-    return C.schema_report(spark, fx.charge(spark, sf))
+    """C11 on the written CSV: its types are inferred from the file."""
+    path = SK.write_csv(fx.charge(spark, sf), work_dir(spark, "schema-csv"))
+    back = SRC.read_table(spark, path)
+    return C.schema_report(spark, back, counts=True)
 
 
 # --- D: request rules -------------------------------------------------------------
 
 def request_parse(spark, sf):
-    return _r6(R.request_parse(fx.requests(spark, sf), FEATS))
+    return R.request_parse(fx.requests(spark, sf), FEATS)
+
+
+def request_forms(spark, sf):
+    """D1, D2 on requests of several content types."""
+    parsed = R.request_parse(fx.mixed_requests(spark, sf), FEATS, content_type="content_type")
+    return R.request_validate(parsed, FEATS)
 
 
 def request_validate(spark, sf):
@@ -332,15 +350,15 @@ def bernoulli_split(spark, sf):
 
 
 def head_n(spark, sf):
-    return _r6(S.head_n(fx.ticks(spark, sf), REPLAY_N, ["ts", "id"]).select("id", "actual_price", "prediction"))
+    return S.head_n(fx.ticks(spark, sf), REPLAY_N, ["ts", "id"]).select("id", "actual_price", "prediction")
 
 
 def sample_rows(spark, sf):
-    return _r6(S.sample_rows(_stump_test(spark, sf), ["target", "prediction"], ["row_key"], 10))
+    return _round(S.sample_rows(_stump_test(spark, sf), ["target", "prediction"], ["row_key"], 10), "prediction")
 
 
 def last_n(spark, sf):
-    return _r6(S.last_n(_results(spark, sf), LAST_N, "id"))
+    return S.last_n(_results(spark, sf), LAST_N, "id")
 
 
 # --- F: aggregations ----------------------------------------------------------------
@@ -353,27 +371,27 @@ def row_counts(spark, sf):
 
 
 def describe(spark, sf):
-    return _r6(MT.describe(fx.charge(spark, sf), [*FEATS, "target"]))
+    return _round(MT.describe(fx.charge(spark, sf), [*FEATS, "target"]), "mean", "std", "p25", "p50", "p75")
 
 
 def rmse(spark, sf):
-    return _r6(MT.rmse(fx.ticks(spark, sf), "actual_price", "prediction"))
+    return _round(MT.rmse(fx.ticks(spark, sf), "actual_price", "prediction"), "rmse")
 
 
 def mae(spark, sf):
-    return _r6(MT.mae(fx.ticks(spark, sf), "actual_price", "prediction"))
+    return _round(MT.mae(fx.ticks(spark, sf), "actual_price", "prediction"), "mae")
 
 
 def r2(spark, sf):
-    return _r6(MT.r2(fx.ticks(spark, sf), "actual_price", "prediction"))
+    return _round(MT.r2(fx.ticks(spark, sf), "actual_price", "prediction"), "r2")
 
 
 def regression_report(spark, sf):
-    return _r6(MT.regression_report(fx.ticks(spark, sf), "actual_price", "prediction"))
+    return _round(MT.regression_report(fx.ticks(spark, sf), "actual_price", "prediction"), *REPORT)
 
 
 def live_metrics(spark, sf):
-    return _r6(MT.live_metrics(_results(spark, sf), LAST_N, "id"))
+    return _round(MT.live_metrics(_results(spark, sf), LAST_N, "id"), "mae_k", "rmse_k")
 
 
 def dataset_report(spark, sf):
@@ -386,33 +404,68 @@ def forest_fit(spark, sf):
     train = _train_rows(spark, sf)
     model = M.fit(M.forest_estimator(FEATS, "target"), train.where("part = 'train'").drop("part"), KEY)
     test = train.where("part = 'test'").drop("part")
-    return _r6(M.score(model, test, keep=["row_key", "target"]))
+    return _round(M.score(model, test, keep=["row_key", "target"]), "prediction")
+
+
+def forest_fit_depth3(spark, sf):
+    """M1 unsampled: one tree of depth 3 on all rows, every test row scored."""
+    rows = _train_rows(spark, sf)
+    est = M.forest_estimator(fx.STUMP_FEATURES, "target", num_trees=1, max_depth=3, bootstrap=False,
+                             featureSubsetStrategy="all", maxBins=64)
+    model = M.fit(est, rows.where("part = 'train'").drop("part"), KEY)
+    return _round(M.score(model, rows.where("part = 'test'").drop("part"), keep=["row_key", "target"]), "prediction")
+
+
+def forest_fit_checks(spark, sf):
+    """The forest by what its rows can tell: trees and depth, test rows, and
+    whether its error is below the labels' spread."""
+    rows = _train_rows(spark, sf)
+    model = M.fit(M.forest_estimator(FEATS, "target"), rows.where("part = 'train'").drop("part"), KEY)
+    trees = model.stages[-1].trees
+    scored = M.score(model, rows.where("part = 'test'").drop("part"), keep=["target"])
+    return scored.agg(
+        F.lit(len(trees)).alias("trees"), F.lit(max(t.depth for t in trees)).alias("depth"),
+        F.count(F.lit(1)).alias("rows"), F.round(F.stddev_samp("target"), 6).alias("label_std"),
+        (MT.rmse_col("target", "prediction") < F.stddev_samp("target")).alias("below_std"))
+
+
+def _exact_tree(spark, sf, depth):
+    rows = _train_rows(spark, sf)
+    return fit_exact_tree(rows.where("part = 'train'").drop("part"), FEATS, "target", depth), rows.where("part = 'test'").drop("part")
 
 
 def tree_fit_exact(spark, sf):
-    s = M.stump_summary(_stump(spark, sf))
-    return _r6(spark.createDataFrame(
-        [(s["feature"], s["threshold"], s["left"], s["right"])],
+    """M2: the best split over every value of all features."""
+    tree, _ = _exact_tree(spark, sf, 1)
+    root, left, right = (tree.nodes[i] for i in (1, 2, 3))
+    return _round(spark.createDataFrame(
+        [(root.feature, root.threshold, left.mean, right.mean)],
         "feature string, threshold double, left_prediction double, right_prediction double",
-    ))
+    ), "left_prediction", "right_prediction")
+
+
+def tree_fit_depth3(spark, sf):
+    """M2 to depth 3: every test row scored by the exact tree."""
+    tree, test = _exact_tree(spark, sf, 3)
+    return _round(tree.transform(test).select("row_key", "target", "prediction"), "prediction")
 
 
 def model_score(spark, sf):
-    return _r6(_stump_test(spark, sf))
+    return _round(_stump_test(spark, sf), "prediction")
 
 
 def predict_batch(spark, sf):
-    return _r6(M.predict_frame(_stump(spark, sf), _replay(spark, sf), "id"))
+    return _round(M.predict_frame(_stump(spark, sf), _replay(spark, sf), "id"), "prediction")
 
 
 def score_requests(spark, sf):
-    return _r6(R.score_requests(fx.requests(spark, sf), _stump(spark, sf), FEATS))
+    return R.score_requests(fx.requests(spark, sf), _stump(spark, sf), FEATS)
 
 
 def evaluate_model(spark, sf):
     train = _train_rows(spark, sf).drop("part")
     _, _, report = M.evaluate(M.stump_estimator(fx.STUMP_FEATURES), train, KEY)
-    return _r6(report)
+    return _round(report, *REPORT)
 
 
 # --- H: windows ----------------------------------------------------------------------
@@ -426,79 +479,152 @@ def sample_index(spark, sf):
 
 
 def rolling_last_n_metrics(spark, sf):
-    return _r6(MT.rolling_metrics(_results(spark, sf), LAST_N, "id", block_rows=4096))
+    return _round(MT.rolling_metrics(_results(spark, sf), LAST_N, "id", block_rows=4096), "mae_k", "rmse_k")
 
 
 def monitor_series(spark, sf):
-    return _r6(MT.monitor_series(_results(spark, sf), LAST_N))
+    return MT.monitor_series(_results(spark, sf), LAST_N)
 
 
 # --- J: streaming -----------------------------------------------------------------------
 
 def stream_score(spark, sf):
-    _, out = _run_stream(spark, sf, _stump(spark, sf), _replay(spark, sf), "stream-score")
-    return _scored_results(spark, out)
+    """Scored results and, from the same run, the rejected records."""
+    root = work_dir(spark, "stream-score")
+    RP.replay_publish(_faulty_replay(spark, sf), f"{root}/input")
+    results, rejects = _score_files(spark, sf, root)
+    ST.start_sink(results, f"{root}/output", f"{root}/ckpt").awaitTermination()
+    ST.start_sink(rejects, f"{root}/rejects", f"{root}/ckpt-rejects", fmt="parquet").awaitTermination()
+    none = F.lit(None).cast("double")
+    scored = _scored_results(spark, f"{root}/output").withColumn("reason", F.lit(None).cast("string"))
+    bad = spark.read.parquet(f"{root}/rejects").select("id", *[none.alias(c) for c in ("actual_price", *SCORES)], "reason")
+    return scored.unionByName(bad)
 
 
 def stream_resume(spark, sf):
-    _, out = _run_stream(spark, sf, _stump(spark, sf), _replay(spark, sf), "stream-resume", two_runs=True)
-    return _scored_results(spark, out)
+    """Half of the files, a failure after the sink has taken the last
+    batch and before its commit is logged, then the other half."""
+    root = work_dir(spark, "stream-resume")
+    replay = _replay(spark, sf)
+    halves = [replay.where(F.col("id") % 2 == h) for h in (0, 1)]
+    RP.replay_publish(halves[0], f"{root}/input", rows_per_file=1000)
+    results, _ = _score_files(spark, sf, root, max_per_trigger=2)
+    ST.start_sink(results, f"{root}/output", f"{root}/ckpt").awaitTermination()
+    ST.forget_commit(spark, f"{root}/ckpt")
+    RP.replay_publish(halves[1], f"{root}/input", rows_per_file=1000)
+    ST.start_sink(results, f"{root}/output", f"{root}/ckpt").awaitTermination()
+    # Same checkpoint again with nothing new: must add no rows.
+    ST.start_sink(results, f"{root}/output", f"{root}/ckpt").awaitTermination()
+    return _scored_results(spark, f"{root}/output")
 
 
 def stream_replay(spark, sf):
-    root, _ = _run_stream(spark, sf, _stump(spark, sf), _replay(spark, sf), "stream-replay")
-    # Drop the old position: a new checkpoint reprocesses everything.
-    results, _ = ST.score_stream(ST.stream_source(spark, "text", f"{root}/input"), _stump(spark, sf), FEATS)
-    ST.start_sink(results, f"{root}/output-replay", f"{root}/ckpt-replay").awaitTermination()
-    return _scored_results(spark, f"{root}/output-replay")
+    """A new checkpoint reads everything again; both outputs, by run."""
+    root = work_dir(spark, "stream-replay")
+    _published(spark, sf, root)
+    results, _ = _score_files(spark, sf, root)
+    for run in (1, 2):
+        ST.start_sink(results, f"{root}/output{run}", f"{root}/ckpt{run}").awaitTermination()
+    both = [_scored_results(spark, f"{root}/output{run}").withColumn("run", F.lit(run)) for run in (1, 2)]
+    return both[0].unionByName(both[1])
 
 
 def stream_fan_out(spark, sf):
+    """What the tap and the sink hold, by consumer."""
     root = work_dir(spark, "fan-out")
-    ST.replay_publish(_replay(spark, sf), f"{root}/input", files=4)
-    results, _ = ST.score_stream(ST.stream_source(spark, "text", f"{root}/input"), _stump(spark, sf), FEATS)
+    _published(spark, sf, root)
+    results, _ = _score_files(spark, sf, root)
     main, tap = ST.fan_out(results, f"{root}/output", root, spark, tap_path=f"{root}/tap")
     tap.awaitTermination()
-    return _r6(spark.read.parquet(f"{root}/tap"))
+    held = {"sink": SRC.read_results(spark, f"{root}/output"), "tap": spark.read.parquet(f"{root}/tap")}
+    both = [_round(df, *SCORES).withColumn("consumer", F.lit(name)) for name, df in held.items()]
+    return both[0].unionByName(both[1])
 
 
 def bounded_run(spark, sf):
+    """A paced run that its limit ends with files left, then the rest."""
     root = work_dir(spark, "bounded")
-    ST.replay_publish(_replay(spark, sf), f"{root}/input", files=4)
-    results, rejects = ST.score_stream(ST.stream_source(spark, "text", f"{root}/input"), _stump(spark, sf), FEATS)
-    q1 = ST.start_sink(results, f"{root}/output", f"{root}/ckpt-out")
-    q2 = ST.start_sink(rejects, f"{root}/rejects", f"{root}/ckpt-rej")
-    ST.bounded_run([q1, q2], timeout_s=300, poll_s=0.5)
-    return _scored_results(spark, f"{root}/output")
+    _published(spark, sf, root, rows_per_file=1000)
+    files, trigger = RP.pace(1000, 1, rows_per_file=1000)
+    results, _ = _score_files(spark, sf, root, max_per_trigger=files)
+    log = ST.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        query = ST.start_sink(results, f"{root}/output", f"{root}/ckpt", trigger=trigger)
+        ended = ST.bounded_run([query], timeout_s=300, poll_s=0.1, max_batches=1, log=log)
+    finally:
+        spark.streams.removeListener(log)
+    first = SRC.read_results(spark, f"{root}/output").count()
+    ST.start_sink(results, f"{root}/output", f"{root}/ckpt").awaitTermination()
+    whole = _scored_results(spark, f"{root}/output")
+    return whole.withColumns({"ended": F.lit(ended["ended"]), "first_run_had_rows": F.lit(first >= 1000)})
+
+
+def _faulty_replay(spark, sf):
+    """Replay records with faults keyed on id: every 97th lacks its first
+    feature, every 101st its second, every 103rd its price."""
+    gap = {FEATS[0]: 97, FEATS[1]: 101, "actual_price": 103}
+    return _replay(spark, sf).withColumns({c: F.when(F.col("id") % n != 0, F.col(c)) for c, n in gap.items()})
 
 
 def _faulty_replay_text(spark, sf):
     """Replay records as JSON with faults keyed on id: every 97th lacks its
     first feature, every 101st has text in its second, every 103rd is not
-    JSON at all."""
+    JSON at all, every 107th has no price, every 109th no id."""
     rec = C.json_encode(_replay(spark, sf), carry=("id",))
     first, second = FEATS[0], FEATS[1]
     value = F.col("value")
-    value = F.when(F.col("id") % 97 == 0,
-                   F.regexp_replace(value, f'"{first}":[^,]*,', "")).otherwise(value)
-    value = F.when(F.col("id") % 101 == 0,
-                   F.regexp_replace(value, f'"{second}":[^,]*,', f'"{second}":"n/a",')).otherwise(value)
+    for n, field, text in ((97, first, ""), (101, second, f'"{second}":"n/a",'), (109, "id", '"id":null,')):
+        value = F.when(F.col("id") % n == 0, F.regexp_replace(value, f'"{field}":[^,]*,', text)).otherwise(value)
+    value = F.when(F.col("id") % 107 == 0, F.regexp_replace(value, '"actual_price":[^}]*', '"actual_price":null')).otherwise(value)
     value = F.when(F.col("id") % 103 == 0, F.lit("not json")).otherwise(value)
     return rec.select("id", value.alias("value"))
 
 
 def stream_decode_quarantine(spark, sf):
-    raw = _faulty_replay_text(spark, sf).select("value")
-    _, bad = ST.quarantine(ST.decode_records(raw, FEATS), FEATS)
-    return bad.select("id", "reason")
+    """One streaming query, one sink parted by outcome; ``rows_read`` is
+    the query's own count of input rows."""
+    root = work_dir(spark, "quarantine")
+    _faulty_replay_text(spark, sf).select("value").write.text(f"{root}/input")
+    raw = ST.stream_source(spark, "text", f"{root}/input")
+    routed = ST.score_or_quarantine(raw, _stump(spark, sf), FEATS)
+    query = ST.start_sink(routed, f"{root}/routed", f"{root}/ckpt", fmt="parquet", partition_by=["outcome"])
+    query.awaitTermination()
+    read = sum(p.numInputRows for p in query.recentProgress)
+    out = _round(spark.read.parquet(f"{root}/routed"), *SCORES)
+    return out.drop("value").withColumn("rows_read", F.lit(read).cast("long"))
 
 
 def data_loss_tolerance(spark, sf):
+    """A file of the replay is lost between two batches; the survivors,
+    and how many records the manifest says are missing."""
     root = work_dir(spark, "data-loss")
-    ST.replay_publish(_replay(spark, sf), f"{root}/input", files=4)
-    raw = ST.stream_source(spark, "text", f"{root}/input", max_per_trigger=2)
-    ST.start_sink(raw, f"{root}/landed", f"{root}/ckpt", fmt="parquet").awaitTermination()
-    return _r6(C.json_decode(spark.read.parquet(f"{root}/landed"), C.stream_record_schema(FEATS)))
+    path = _published(spark, sf, root, rows_per_file=500)
+    raw = ST.stream_source(spark, "text", path, max_per_trigger=1, with_file=True)
+
+    def land(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{root}/landed/batch={batch_id}")
+        if batch_id == 0:
+            RP.lose_block(spark, path, 2)
+
+    raw.writeStream.foreachBatch(land).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start().awaitTermination()
+    landed = spark.read.parquet(f"{root}/landed").drop("batch")
+    lost = RP.loss_report(landed, path).agg(F.sum("lost")).first()[0]
+    return C.json_decode(landed, C.stream_record_schema(FEATS)).withColumn("lost", F.lit(lost).cast("long"))
+
+
+def live_metrics_stream(spark, sf):
+    """F7 on a running stream: the metrics after every batch, the third of
+    which runs again after a failure."""
+    root = work_dir(spark, "live")
+    RP.replay_publish(fx.ticks(spark, sf).select("id", "actual_price", "prediction"), f"{root}/input", rows_per_file=1000)
+    raw = ST.stream_source(spark, "text", f"{root}/input", max_per_trigger=1)
+    results = C.prediction_error(C.json_decode(raw, T._parse_datatype_string(_TICK)))
+    top = LiveTop(spark, f"{root}/live", LAST_N)
+    top.start(results, f"{root}/ckpt").awaitTermination()
+    ST.forget_commit(spark, f"{root}/ckpt")
+    top.start(results, f"{root}/ckpt").awaitTermination()
+    return _round(top.metrics(), "mae_k", "rmse_k")
 
 
 # --- P: jobs -----------------------------------------------------------------------------
@@ -514,19 +640,7 @@ def train_job(spark, sf):
     out = J.train_job(spark, prep, fx.CHARGE, f"{root}/warehouse",
                       [f"{root}/models/primary", f"{root}/models/fallback"], f"{root}/status",
                       clock=_clock())
-    return _r6(out["report"])
-
-
-def forest_fit_checks(spark, sf):
-    """The forest's predictions against what SQL can derive: they are means
-    of train labels, so none leaves the labels' range."""
-    rows = _train_rows(spark, sf)
-    train = rows.where("part = 'train'").drop("part")
-    model = M.fit(M.forest_estimator(FEATS, "target"), train, KEY)
-    low, high = train.agg(F.min("target"), F.max("target")).first()
-    scored = M.score(model, rows.where("part = 'test'").drop("part"), keep=["row_key", "target"])
-    inside = (F.col("prediction") >= F.lit(low) - 1e-9) & (F.col("prediction") <= F.lit(high) + 1e-9)
-    return _r6(scored.select("row_key", "target", inside.alias("in_label_range")))
+    return _round(out["report"], *REPORT)
 
 
 def train_job_single_split(spark, sf):
@@ -535,14 +649,14 @@ def train_job_single_split(spark, sf):
     prep = _exact(spark, sf).where("part = 'train'").drop("part")
     out = J.train_job(spark, prep, fx.CHARGE, f"{root}/warehouse", [f"{root}/models/primary"], f"{root}/status",
                       estimator=M.stump_estimator(fx.STUMP_FEATURES), clock=_clock())
-    return _r6(out["report"])
+    return _round(out["report"], *REPORT)
 
 
 def end_to_end_single_split(spark, sf):
     """P4 with the estimator that SQL can derive."""
     out = J.end_to_end_job(spark, fx.charge(spark, sf), fx.CHARGE, replay_n=None, clock=_clock(),
                            estimator=M.stump_estimator(fx.STUMP_FEATURES))
-    return _r6(out["monitor"])
+    return _round(out["monitor"], "predicted_k", "abs_error_k")
 
 
 def predict_job(spark, sf):
@@ -550,19 +664,19 @@ def predict_job(spark, sf):
     path = SM.save_model(_stump(spark, sf), [f"{root}/model"])
     res = J.predict_job(spark, [f"{root}/missing", path], _replay(spark, sf), fx.CHARGE,
                         f"{root}/run", f"{root}/status", n=None, clock=_clock())
-    return _r6(res)
+    return _round(res, *SCORES)
 
 
 def end_to_end_job(spark, sf):
     out = J.end_to_end_job(spark, fx.charge(spark, sf), fx.CHARGE, replay_n=None, clock=_clock())
-    return _r6(out["monitor"])
+    return _round(out["monitor"], "predicted_k", "abs_error_k")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # A sources
     "csv_scan": csv_scan, "feature_table": feature_table, "stream_source": stream_source,
     "replay_scan": replay_scan, "rows_to_frame": rows_to_frame, "results_reader": results_reader,
-    "model_load": model_load,
+    "model_load": model_load, "csv_bad_lines": csv_bad_lines,
     # B sinks
     "csv_write": csv_write, "publish_table": publish_table, "materialize_if_absent": materialize_if_absent,
     "stream_json_sink": stream_json_sink, "stream_debug_tap": stream_debug_tap, "model_save": model_save,
@@ -574,13 +688,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_progress_line": replay_progress_line, "schema_report": schema_report,
     # D rules
     "request_parse": request_parse, "request_validate": request_validate,
-    "request_form_rules": request_form_rules,
+    "request_form_rules": request_form_rules, "request_forms": request_forms,
     # S, E
     "exact_split": exact_split, "bernoulli_split": bernoulli_split, "head_n": head_n,
     "sample_rows": sample_rows, "last_n": last_n,
     # F
     "row_counts": row_counts, "describe": describe, "rmse": rmse, "mae": mae, "r2": r2,
     "regression_report": regression_report, "live_metrics": live_metrics, "dataset_report": dataset_report,
+    "live_metrics_stream": live_metrics_stream,
     # M
     "forest_fit": forest_fit, "tree_fit_exact": tree_fit_exact, "model_score": model_score,
     "predict_batch": predict_batch, "score_requests": score_requests, "evaluate_model": evaluate_model,
@@ -594,7 +709,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # P
     "prepare_job": prepare_job, "train_job": train_job, "predict_job": predict_job,
     "end_to_end_job": end_to_end_job,
-    # the forest jobs again, in a form that SQL can check by value
-    "forest_fit_checks": forest_fit_checks, "train_job_single_split": train_job_single_split,
+    # the forest jobs again, in forms that SQL can check by value
+    "forest_fit_checks": forest_fit_checks, "forest_fit_depth3": forest_fit_depth3, "tree_fit_depth3": tree_fit_depth3,
+    "train_job_single_split": train_job_single_split,
     "end_to_end_single_split": end_to_end_single_split,
 }

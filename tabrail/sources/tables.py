@@ -17,19 +17,36 @@ def read_table(
     header: bool = True,
     schema: T.StructType | str | None = None,
     fmt: str = "csv",
+    errors: str = "fail",
 ) -> DataFrame:
     """A1: CSV (or any file format) with header. Without ``schema`` the
     types are inferred, which costs one extra pass over the files; give a
-    schema at scale. A read error raises and ends the job."""
+    schema at scale. A line that does not fit the schema (text in a number,
+    too few or too many fields) ends the job (``errors="fail"``), is left out
+    (``"drop"``), or keeps its fields that do fit, the others null, with its
+    text in the column ``_corrupt_record`` (``"keep"``)."""
+    modes = {"fail": "FAILFAST", "drop": "DROPMALFORMED", "keep": "PERMISSIVE"}
+    if errors not in modes:
+        raise ValueError(f"errors must be one of {sorted(modes)}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", header)
+        reader = reader.option("header", header).option("mode", modes[errors])
+        if schema is not None and errors == "keep":
+            known = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+            schema = T.StructType([*known.fields, T.StructField("_corrupt_record", T.StringType())])
+            reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record")
         reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     elif schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
 
 
+def bad_lines(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True) -> DataFrame:
+    """A1: the lines of a CSV table that do not fit the schema."""
+    rows = read_table(spark, path, header, schema, errors="keep")
+    return rows.where("_corrupt_record is not null").select(*rows.columns[:-1], F.col("_corrupt_record").alias("line"))
+
+
 def feature_table(df: DataFrame, features: Sequence[str], label_expr, label: str = "target") -> DataFrame:
     """A2: labelled feature frame: features as double, then the label."""
     return df.select(*[F.col(c).cast("double").alias(c) for c in features],

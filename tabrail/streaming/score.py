@@ -1,4 +1,4 @@
-"""Stream scoring (J1-J7) with its source (A3) and sinks.
+"""Stream scoring (J1-J6) with its source (A3, J7) and sinks.
 
 The scoring query is stateless append: decode -> model -> error columns ->
 JSON, all in one stage per micro-batch; its only state is the source
@@ -13,9 +13,9 @@ import time
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tabrail.functions.columns import (
     json_decode,
@@ -39,14 +39,17 @@ def stream_source(
     topic: str = INPUT_TOPIC,
     servers: str | None = None,
     max_per_trigger: int | None = None,
+    with_file: bool = False,
     **options,
 ) -> DataFrame:
     """A stream of raw records in a ``value`` column.
 
     kafka: subscribe to ``topic`` from the earliest offset and carry on when
     offsets were trimmed (``failOnDataLoss=false``).
-    text:  new files of a directory, one record per line; missing files are
-    skipped (``ignoreMissingFiles``), the file-source form of the same rule.
+    text:  new files of a directory and its folders, oldest first, one record
+    per line; missing files are skipped (``ignoreMissingFiles``), the
+    file-source form of the same rule. ``with_file`` adds the path a record
+    came from as ``file``.
     """
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
@@ -55,13 +58,14 @@ def stream_source(
         if max_per_trigger:
             reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     else:
-        reader = reader.option("ignoreMissingFiles", "true")
+        reader = reader.option("ignoreMissingFiles", "true").option("recursiveFileLookup", "true")
         if max_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_per_trigger)
     for k, v in options.items():
         reader = reader.option(k, v)
     raw = reader.load(path) if path is not None and fmt != "kafka" else reader.load()
-    return raw.select(F.col("value").cast("string").alias("value"))
+    file = [F.col("_metadata.file_path").alias("file")] if with_file else []
+    return raw.select(F.col("value").cast("string").alias("value"), *file)
 
 
 def decode_records(raw: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -70,27 +74,46 @@ def decode_records(raw: DataFrame, features: Sequence[str]) -> DataFrame:
     return json_decode(raw, stream_record_schema(features), keep=("value",))
 
 
-def complete_record(features: Sequence[str]):
+def complete_record(features: Sequence[str]) -> Column:
     """Whether the model can score the record: only the features feed it."""
     return ~any_of(F.col(c).isNull() for c in features)
 
 
-def quarantine(decoded: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Split decoded records into (complete, rejected). Rejected rows
-    keep the raw text and a reason; nothing is dropped silently. A record
+def reject_reason(features: Sequence[str]) -> Column:
+    """Why the model cannot score a decoded record; null if it can. A record
     without id or known price is scored (its error columns are null)."""
-    ok = complete_record(features)
-    good = decoded.where(ok).drop("value")
-    nan_feature = any_of(F.isnan(c) for c in features)
-    reason = (
-        F.when(F.col("value").isNull() | (F.trim("value") == ""), F.lit("empty record"))
+    nan_feature = any_of(F.coalesce(F.isnan(c), F.lit(False)) for c in features)
+    return (
+        F.when(complete_record(features) & ~nan_feature, F.lit(None))
+        .when(F.col("value").isNull() | (F.trim("value") == ""), F.lit("empty record"))
         .when(F.json_object_keys("value").isNull(), F.lit("not a JSON object"))
         .otherwise(F.lit("missing or invalid field"))
     )
-    bad = decoded.where(~ok | F.coalesce(nan_feature, F.lit(False))).select(
-        "value", F.col("id"), reason.alias("reason")
-    )
-    return good.where(~F.coalesce(nan_feature, F.lit(False))), bad
+
+
+def quarantine(decoded: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """J6 on a frame: split decoded records into (complete, rejected).
+    Rejected rows keep the raw text and a reason; nothing is dropped."""
+    marked = decoded.withColumn("reason", reject_reason(features))
+    good = marked.where("reason is null").drop("value", "reason")
+    return good, marked.where("reason is not null").select("value", "id", "reason")
+
+
+def score_or_quarantine(raw: DataFrame, model: PipelineModel, features: Sequence[str]) -> DataFrame:
+    """J6 on a stream: every record once, as outcome 'scored' with its result
+    columns or 'rejected' with its raw text and a reason. The input is read
+    once: rejected rows pass the model on zeros and their results are blanked,
+    so one query with a sink partitioned by ``outcome`` holds both."""
+    marked = decode_records(raw, features).withColumn("reason", reject_reason(features))
+    ok = F.col("reason").isNull()
+    safe = marked.withColumns({c: F.when(ok, F.col(c)).otherwise(F.lit(0.0)) for c in features})
+    scored = model.transform(safe).withColumn("prediction", F.when(ok, F.col("prediction")))
+    err = F.col("prediction") - F.col("actual_price")
+    return scored.select(
+        F.when(ok, F.lit("scored")).otherwise(F.lit("rejected")).alias("outcome"),
+        "id", "actual_price", F.col("prediction").alias("predicted_price"), err.alias("error"),
+        (F.try_divide(err, F.col("actual_price")) * F.lit(100)).alias("error_percentage"),
+        F.when(~ok, F.col("value")).alias("value"), "reason")
 
 
 def score_records(records: DataFrame, model: PipelineModel) -> DataFrame:
@@ -121,6 +144,7 @@ def start_sink(
     topic: str = OUTPUT_TOPIC,
     servers: str | None = None,
     name: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Write one JSON ``value`` per row, append mode, with a checkpoint.
     The text sink is exactly-once (its metadata log), Kafka at-least-once.
@@ -139,15 +163,45 @@ def start_sink(
         w = w.option("path", path)
     if name and fmt != "memory":
         w = w.queryName(name)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
 
+class ProgressLog(StreamingQueryListener):
+    """Rows per batch of every query that ran while the log was attached."""
+
+    def __init__(self):
+        self.batches: dict[str, dict[int, int]] = {}
+        self.ended: dict[str, str | None] = {}
+
+    def onQueryStarted(self, event):
+        self.batches.setdefault(str(event.id), {})
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.batches.setdefault(str(p.id), {})[p.batchId] = p.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended[str(event.id)] = event.exception
+
+    def count(self, query: StreamingQuery) -> int:
+        """Batches of a query that had rows."""
+        return sum(1 for n in self.batches.get(str(query.id), {}).values() if n)
+
+
 def bounded_run(queries: Sequence[StreamingQuery], timeout_s: float = RUN_SECONDS,
-                poll_s: float = POLL_SECONDS) -> dict:
+                poll_s: float = POLL_SECONDS, max_batches: int | None = None,
+                log: ProgressLog | None = None) -> dict:
     """Wait up to ``timeout_s``, polling every ``poll_s``; stop early
-    when any query has died (failed) or when all have finished, and always
-    stop all of them. A query failure is re-raised after the stop."""
+    when any query has died (failed), when all have finished, or when one has
+    done ``max_batches`` batches (counted by ``log``, which the caller has
+    attached before the start), and always stop all of them. A query failure
+    is re-raised after the stop. A stopped query goes on from its checkpoint."""
     start = time.monotonic()
     error = None
     reason = "timeout"
@@ -161,6 +215,9 @@ def bounded_run(queries: Sequence[StreamingQuery], timeout_s: float = RUN_SECOND
             if len(ended) == len(queries):
                 reason = "finished"
                 break
+            if max_batches is not None and log is not None and any(log.count(q) >= max_batches for q in queries):
+                reason = "limit"
+                break
             time.sleep(max(0.0, min(poll_s, timeout_s - (time.monotonic() - start))))
     finally:
         for q in queries:
@@ -207,11 +264,15 @@ def fan_out(results: DataFrame, sink_path: str, checkpoint_root: str, spark: Spa
     return main, tap
 
 
-def replay_publish(records: DataFrame, path: str, files: int = 1, order: str = "id") -> str:
-    """Encode replay records as JSON lines into the input directory, in
-    ``order``, split into ``files`` files so that a source reading one file
-    per trigger replays them at a set pace (``maxFilesPerTrigger`` with a
-    ``processingTime`` trigger); Kafka: ``maxOffsetsPerTrigger``."""
-    out = records.repartitionByRange(max(1, int(files)), order).sortWithinPartitions(order)
-    json_encode(out).write.mode("append").text(path)
-    return path
+def forget_commit(spark: SparkSession, checkpoint: str) -> int | None:
+    """Drop the last entry of a stopped query's commit log, as if it had died
+    after its sink took the batch and before the commit: the next start runs
+    that batch again. Returns its id."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    ids = [int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()]
+    if not ids:
+        return None
+    fs.delete(jvm.org.apache.hadoop.fs.Path(p, str(max(ids))), False)
+    return max(ids)

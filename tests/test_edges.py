@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabrail.functions import columns as C
 from tabrail.operators import metrics as MT
 from tabrail.operators.split import exact_split
+from tabrail.streaming import replay as RP
 from tabrail.streaming import score as ST
 from tabrail.config import work_dir
 
@@ -60,7 +61,7 @@ def test_memory_tap_on_small_input(spark):
     root = work_dir(spark, "test-tap")
     rows = spark.createDataFrame([(i, 1.0 * i, 2.0 * i) for i in range(1, 6)],
                                  "id long, actual_price double, prediction double")
-    ST.replay_publish(rows, f"{root}/in")
+    RP.replay_publish(rows, f"{root}/in")
     dec = C.json_decode(ST.stream_source(spark, "text", f"{root}/in"),
                         "id bigint, actual_price double, prediction double")
     main, tap = ST.fan_out(C.prediction_error(dec), f"{root}/out", root, spark, tap_name="tap_small")
@@ -72,7 +73,7 @@ def test_fan_out_with_processing_time_trigger(spark):
     root = work_dir(spark, "test-fan-pt")
     rows = spark.createDataFrame([(i, 1.0 * i, 2.0 * i) for i in range(1, 4)],
                                  "id long, actual_price double, prediction double")
-    ST.replay_publish(rows, f"{root}/in")
+    RP.replay_publish(rows, f"{root}/in")
     dec = C.json_decode(ST.stream_source(spark, "text", f"{root}/in"),
                         "id bigint, actual_price double, prediction double")
     main, tap = ST.fan_out(C.prediction_error(dec), f"{root}/out", root, spark,

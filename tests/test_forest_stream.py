@@ -7,6 +7,7 @@ from tabrail.operators import forest as M
 from tabrail.operators.split import bernoulli_split
 from tabrail.plans import fixtures as fx
 from tabrail.sources.models import ModelNotFound, load_model, save_model
+from tabrail.streaming import replay as RP
 from tabrail.streaming import score as ST
 from tabrail.config import work_dir
 
@@ -76,7 +77,7 @@ def test_stream_equals_batch_resume_and_quarantine(spark, train):
     recs = C.replay_record(fx.charge(spark, SF).withColumn("id", F.monotonically_increasing_id()),
                            fx.CHARGE_FEATURES).cache()
     root = work_dir(spark, "test-stream")
-    ST.replay_publish(recs, f"{root}/in", files=3)
+    RP.replay_publish(recs, f"{root}/in")
     # A bad record in the middle of a file set.
     spark.createDataFrame([('{"id": 99999999, "l_quantity": "oops"}',), ("garbage",)], "value string") \
         .coalesce(1).write.mode("append").text(f"{root}/in")
@@ -123,7 +124,7 @@ def test_stream_results_reader_resumes(spark, train):
     recs = C.replay_record(fx.charge(spark, SF).withColumn("id", F.monotonically_increasing_id()),
                            fx.CHARGE_FEATURES)
     root = work_dir(spark, "test-reader")
-    ST.replay_publish(recs, f"{root}/in", files=2)
+    RP.replay_publish(recs, f"{root}/in")
     res, _ = ST.score_stream(ST.stream_source(spark, "text", f"{root}/in"), model, fx.CHARGE_FEATURES)
     ST.start_sink(res, f"{root}/out", f"{root}/ck").awaitTermination()
     reader = ST.stream_results(spark, f"{root}/out")

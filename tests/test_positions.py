@@ -39,38 +39,30 @@ def test_rolling_window_one_and_short_input(spark):
     assert [r.s for r in out] == [1.0, 3.0]
 
 
-def test_running_sum_matches_cumsum(spark):
-    from tabrail.operators.positions import with_running_sum
-
-    rows = [(i % 7, float(i), (i % 5) + 1) for i in range(500)]
-    df = spark.createDataFrame(rows, "g long, v double, w long")
-    got = with_running_sum(df, ["g", "v"], "w", "cum").toPandas().sort_values(["g", "v"])
-    exp = pd.DataFrame(rows, columns=["g", "v", "w"]).sort_values(["g", "v"])
-    exp["cum"] = exp.w.cumsum() - exp.w
-    assert list(got.cum) == list(exp.cum)
-
-
-def test_rows_at_ranks_matches_cumsum(spark):
-    from tabrail.operators.positions import rows_at_ranks
-
-    rows = [(i % 7, float(i), (i % 5) + 1) for i in range(500)]
-    df = spark.createDataFrame(rows, "g long, v double, w long")
-    exp = pd.DataFrame(rows, columns=["g", "v", "w"]).sort_values(["g", "v"]).reset_index(drop=True)
-    exp["cum"] = exp.w.cumsum() - exp.w
-    ranks = [0, 5, 17, 640, int(exp.w.sum()) - 1]
-    got = rows_at_ranks(df, ["g", "v"], "w", ranks, ["v"])
-    for g in ranks:
-        row = exp[(exp.cum <= g) & (g < exp.cum + exp.w)].iloc[0]
-        assert any(c == row.cum and v == row.v for c, w, v in got)
-
-
-import pytest
-
-
-@pytest.mark.parametrize("n,block", [(1, 1), (2, 3), (5, 5), (9, 4), (30, 7), (64, 1000)])
-def test_rolling_sizes_and_blocks(spark, n, block):
-    vals = [float((i * 13) % 29) for i in range(200)]
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "pos long, v double")
-    got = rolling_last_n(df, "pos", n, {"s": F.sum("v")}, block_rows=block).orderBy("pos").toPandas()
-    exp = pd.Series(vals).rolling(n, min_periods=1).sum()
-    assert len(got) == 200 and (abs(got.s - exp) < 1e-9).all()
+def test_grouped_prefix_sums_match_cumsum(spark):
+    from tabrail.operators.positions import grouped_prefix_sums
+
+    # One group holds most rows and spreads over several ranges.
+    rows = [(0 if i % 10 else i % 7, i % 3, float(i * 37 % 1009) + i / 10000, i % 5 + 1, float(i % 11)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "g long, h long, v double, n long, s double").repartition(6)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = grouped_prefix_sums(df, ["g", "h"], "v", ["n", "s"]).toPandas().sort_values(["g", "h", "v"]).reset_index(drop=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    exp = pd.DataFrame(rows, columns=["g", "h", "v", "n", "s"]).sort_values(["g", "h", "v"]).reset_index(drop=True)
+    by = exp.groupby(["g", "h"])
+    assert (got[["g", "h", "v", "n", "s"]] == exp).all().all()
+    for c in ("n", "s"):
+        assert (abs(got[f"{c}_upto"] - by[c].cumsum()) < 1e-9).all()
+        assert (abs(got[f"{c}_all"] - by[c].transform("sum")) < 1e-9).all()
+    assert got.following.fillna(-1).tolist() == by.v.shift(-1).fillna(-1).tolist()
+
+
+def test_number_rows_of_equal_rows(spark):
+    from tabrail.operators.positions import number_rows
+
+    got = number_rows(spark.range(1000).selectExpr("1 AS a", "cast(null as string) AS b").repartition(5), "i")
+    assert sorted(r.i for r in got.collect()) == list(range(1000))
+    assert number_rows(spark.range(0), "i").count() == 0

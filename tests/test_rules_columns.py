@@ -136,3 +136,37 @@ def test_json_kinds_of_fields(spark):
     assert out["0"].a == 1.0 and out["2"].a == 0.0
     assert out["3"].reason == out["4"].reason == "nested value in a numeric field"
     assert out["2"].reason == "all fields are required" and out["6"].reason == "invalid input: not a number"
+
+
+def test_text_behind_the_object_is_refused(spark):
+    good = '{"a": 1, "b": 2, "c": 3}'
+    out = _parse(spark, [good, f"  {good}\n", good + " x", good + good, good + "," + good, good + "}", good + "]", good + "],[" + good,
+                         good + ',{"_tr_z":1}', "[" + good + "]", "5", "null", '"text"', '{"a": 1, "b": 2, "c": 3'])
+    assert [out[str(i)].status for i in range(14)] == [0, 0] + [500] * 12
+    assert all(out[str(i)].a is None for i in range(2, 14))
+
+
+def test_form_bodies(spark):
+    rows = [("0", "application/x-www-form-urlencoded", "a=1&b=+2&c=%33"), ("1", "APPLICATION/X-WWW-FORM-URLENCODED; charset=utf-8", "a=1&a=x&b=2&c=3&d"),
+            ("2", "application/x-www-form-urlencoded", "a=1&b=2"), ("3", "application/x-www-form-urlencoded", "a=&b=2&c=3"),
+            ("4", "application/x-www-form-urlencoded", "%61=1&b=2&c=3"), ("5", "application/x-www-form-urlencoded", '{"a": 1, "b": 2, "c": 3}'),
+            ("6", "application/vnd.x+json", '{"a": 1, "b": 2, "c": 3}'), ("7", "text/plain", '{"a": 1, "b": 2, "c": 3}'),
+            ("8", None, "a=1&b=2&c=3"), ("9", None, '{"a": 1, "b": 2, "c": 3}'), ("10", "application/json", "a=1&b=2&c=3"),
+            ("11", "application/x-www-form-urlencoded", "a=true&b=2&c=3"), ("12", "application/x-www-form-urlencoded", "a=5%zz&b=2&c=3"),
+            ("13", "application/x-www-form-urlencoded", ""), ("14", "application/x-www-form-urlencoded", None)]
+    df = spark.createDataFrame(rows, "request_id string, content_type string, body string")
+    out = {r.request_id: r for r in R.request_validate(R.request_parse(df, FEATS, content_type="content_type"), FEATS).collect()}
+    assert [out[str(i)].status for i in range(15)] == [0, 0, 400, 400, 0, 400, 0, 400, 0, 0, 500, 400, 400, 400, 400]
+    assert (out["0"].a, out["0"].b, out["0"].c) == (1.0, 2.0, 3.0) and out["1"].a == 1.0
+    assert out["2"].reason == "all fields are required" and out["3"].reason == "invalid input: not a number"
+    # Without a type column the body tells.
+    guessed = _parse(spark, ["a=1&b=2&c=3", "junk", "a =1"])
+    assert [guessed[str(i)].status for i in range(3)] == [0, 500, 500]
+
+
+def test_one_parse_a_body(spark):
+    df = spark.createDataFrame([("0", '{"a": 1, "b": 2, "c": 3}')], "request_id string, body string")
+    plan = R.request_parse(df, FEATS)._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan.lower().replace("_", "")
+    assert plan.count("fromjson(") == 1 and plan.count("jsonobjectkeys(") <= 1
+    assert plan.count("schemaofvariant") <= 2 * len(FEATS), plan

@@ -10,7 +10,7 @@ def test_status_log_started_completed_and_failure(spark):
     with SK.run_status(spark, f"{root}/ok", "training", model_path="m", clock=lambda: next(ticks)):
         pass
     rows = sorted(tuple(r) for r in SK.read_status(spark, f"{root}/ok").collect())
-    assert rows == [("completed", "t1", "training", "m"), ("started", "t0", "training", None)]
+    assert rows == [("completed", "t1", "training", "m", None), ("started", "t0", "training", None, None)]
     with pytest.raises(ValueError):
         with SK.run_status(spark, f"{root}/bad", "prediction", clock=lambda: next(ticks)):
             raise ValueError("job failed")
