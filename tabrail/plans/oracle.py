@@ -140,11 +140,11 @@ results AS (
   FROM ticks)"""
 
 
-def r6(sql: str, doubles: Sequence[str]) -> str:
-    """Round the named columns (values of sums) to 6 decimals, as the queries do."""
+def r6(sql: str, doubles: Sequence[str], digits: int = 6) -> str:
+    """Round the named columns (values of sums), as the queries do."""
     if not doubles:
         return sql
-    rep = ", ".join(f"round({c}, 6) AS {c}" for c in doubles)
+    rep = ", ".join(f"round({c}, {digits}) AS {c}" for c in doubles)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) AS q"
 
 
@@ -214,7 +214,7 @@ def _describe() -> str:
             f"FROM charge"
         )
     return r6(with_(CHARGE) + "\nUNION ALL ".join(parts),
-              ["mean", "std", "p25", "p50", "p75"])
+              ["mean", "std", "p25", "p50", "p75"], 7)
 
 
 def _dataset_report() -> str:

@@ -39,10 +39,10 @@ KEY = ["row_key"]
 REPLAY_N = 200  # rows the reference's replay step sends in its scheduled run
 
 
-def _round(df: DataFrame, *cols: str) -> DataFrame:
-    """Round the named columns to 6 decimals: values of sums, whose last bits
-    depend on the order of addition. All other columns are returned as they are."""
-    return df.withColumns({c: F.round(c, 6) for c in cols})
+def _round(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    """Round the named columns: values of sums, whose last bits depend on the
+    order of addition. All other columns are returned as they are."""
+    return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
 REPORT = ("rmse", "mae", "r2")
@@ -371,7 +371,8 @@ def row_counts(spark, sf):
 
 
 def describe(spark, sf):
-    return _round(MT.describe(fx.charge(spark, sf), [*FEATS, "target"]), "mean", "std", "p25", "p50", "p75")
+    # One digit more: means of amounts in cents end in a five at the seventh.
+    return _round(MT.describe(fx.charge(spark, sf), [*FEATS, "target"]), "mean", "std", "p25", "p50", "p75", digits=7)
 
 
 def rmse(spark, sf):
