@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -124,12 +125,32 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/tabrail/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str):
-    """Write ``df`` once as Parquet under the shared work folder and read it
-    back: later passes read pruned columns instead of recomputing joins, and
-    the lineage is cut (a lost executor re-reads files, it does not re-run
-    the upstream plan)."""
-    spark = df.sparkSession
+_SCRATCH: list[list[str]] = []
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A folder for an intermediate table. It is deleted when the ``scratch``
+    block around the call ends, or else when the driver's file system closes."""
     path = work_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Delete the intermediate tables that are made inside the block at its
+    end. Frames that read them must have been written or collected by then."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            drop_dir(spark, path)

@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabrail.config import scratch
 from tabrail.functions.rules import any_of
 from tabrail.operators.positions import grouped_prefix_sums
 
@@ -84,7 +85,9 @@ def fit_exact_tree(df: DataFrame, features: Sequence[str], label: str = "target"
     last = {1}
     for _ in range(max_depth):
         grown = set()
-        for i, s in _best_splits(data, tree, last).items():
+        with scratch(df.sparkSession):
+            found = _best_splits(data, tree, last)
+        for i, s in found.items():
             node = tree.nodes[i]
             own = node.total * node.total / node.n
             if s["score"] - own <= LEAST_GAIN * max(own, s["score"]):

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabrail.config import work_dir
+from tabrail.config import scratch_dir
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row
 
@@ -55,7 +55,7 @@ def with_position(
     # Store each row with its (range partition, row in partition) id in the
     # shared work folder: counting and numbering then read fixed values, and
     # a lost executor cannot re-draw the range bounds under them.
-    stored = path or work_dir(spark, "positions")
+    stored = path or scratch_dir(spark, "positions")
     ranged.withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
     tagged = spark.read.parquet(stored)
     tagged = tagged.withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
@@ -80,7 +80,7 @@ def number_rows(df: DataFrame, name: str = "pos") -> DataFrame:
     """Add ``name`` = 0, 1, 2, ... in no particular order. The rows are stored
     as their tasks hold them; nothing is shuffled, whatever their values."""
     spark = df.sparkSession
-    stored = work_dir(spark, "numbered")
+    stored = scratch_dir(spark, "numbered")
     df.withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
     tagged = spark.read.parquet(stored).withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
     # One row per writing task reaches the driver.
@@ -108,7 +108,7 @@ def grouped_prefix_sums(
     the number of groups bounded. ``order`` must be unique inside a group.
     """
     spark = df.sparkSession
-    stored = work_dir(spark, "prefix-sums")
+    stored = scratch_dir(spark, "prefix-sums")
     df.orderBy(*group, order).withColumn("_tr_mid", F.monotonically_increasing_id()).write.parquet(stored)
     tagged = spark.read.parquet(stored).withColumn("_tr_part", F.shiftright("_tr_mid", _LOCAL_BITS))
     edges = tagged.groupBy("_tr_part", *group).agg(F.min(order).alias("_tr_first"), *[F.sum(c).alias(c) for c in sums]).collect()

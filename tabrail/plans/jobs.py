@@ -12,10 +12,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrail.config import LAST_N, Settings, work_dir
+from tabrail.config import LAST_N, Settings, scratch, work_dir
 from tabrail.functions.columns import replay_record
 from tabrail.operators import forest as M
-from tabrail.operators.metrics import describe, monitor_series, row_counts
+from tabrail.operators.metrics import describe, monitor_series, report_text, row_counts
 from tabrail.operators.split import exact_split, head_n
 from tabrail.sinks.tables import publish_tables, run_status, write_csv
 from tabrail.sources.models import load_model, save_model
@@ -47,16 +47,23 @@ def prepare_job(spark: SparkSession, data: DataFrame, settings: Settings, out_ro
     report (F8). Nothing is copied before the parts are written: profile and
     split read the columns they need from ``data``."""
     data = data.select(*settings.key, *settings.features, settings.label)
-    profile = describe(data, [*settings.features, settings.label])
-    split = exact_split(data, list(settings.key), settings.test_fraction, settings.seed)
-    train = split.where(F.col("part") == "train").drop("part", "id")
-    stream = split.where(F.col("part") == "test").drop("part")
-    paths = {
-        "train": write_csv(train, f"{out_root}/train_data"),
-        "stream": write_csv(stream, f"{out_root}/streaming_data"),
+    paths = {"train": f"{out_root}/train_data", "stream": f"{out_root}/streaming_data"}
+    with scratch(spark):
+        profile = describe(data, [*settings.features, settings.label])
+        split = exact_split(data, list(settings.key), settings.test_fraction, settings.seed)
+        write_csv(split.where(F.col("part") == "train").drop("part", "id"), paths["train"])
+        write_csv(split.where(F.col("part") == "test").drop("part"), paths["stream"])
+        counts = row_counts(split)
+        # One row, counted before the intermediate tables go.
+        counts = spark.createDataFrame([counts.first()], counts.schema)
+    schema = ", ".join(f"`{c}` {t}" for c, t in data.dtypes)
+    return {
+        "profile": profile,
+        "report": dataset_report(spark, settings.features, settings.label, counts),
+        "paths": paths,
+        "train": read_table(spark, paths["train"], schema=schema),
+        "stream": read_table(spark, paths["stream"], schema=schema + ", id long"),
     }
-    report = dataset_report(spark, settings.features, settings.label, row_counts(split))
-    return {"profile": profile, "report": report, "paths": paths, "train": train, "stream": stream}
 
 
 def train_job(
@@ -83,7 +90,7 @@ def train_job(
         status.model_path = saved
         # One row; with its schema, as R2 is null for a constant label.
         report = spark.createDataFrame([report.first()], report.schema)
-    return {"model": model, "report": report, "predictions": predictions, "model_path": saved}
+    return {"model": model, "report": report, "lines": report_text(report), "predictions": predictions, "model_path": saved}
 
 
 def predict_job(
@@ -127,13 +134,10 @@ def end_to_end_job(
     Training and replay read the two CSV tables that the preparation wrote."""
     root = root or work_dir(spark, "end-to-end")
     prep = prepare_job(spark, data, settings, f"{root}/data")
-    types = dict(data.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in [*settings.key, *settings.features, settings.label])
-    trained = train_job(spark, read_table(spark, prep["paths"]["train"], schema=schema), settings, f"{root}/warehouse",
+    trained = train_job(spark, prep["train"], settings, f"{root}/warehouse",
                         [f"{root}/models/primary", f"{root}/models/fallback"],
                         f"{root}/status/training", estimator, clock)
-    stream = read_table(spark, prep["paths"]["stream"], schema=schema + ", id long")
-    replay = replay_record(stream, settings.features, settings.label)
+    replay = replay_record(prep["stream"], settings.features, settings.label)
     results = predict_job(spark, [trained["model_path"]], replay, settings, f"{root}/stream",
                           f"{root}/status/prediction", n=replay_n, clock=clock)
     return {

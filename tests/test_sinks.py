@@ -34,3 +34,39 @@ def test_publish_refuses_missing_source(spark):
     root = work_dir(spark, "test-publish")
     with pytest.raises(FileNotFoundError):
         SK.publish_tables({"a": spark.range(2), "b": None}, root)
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    from tabrail.config import scratch, scratch_dir
+    from tabrail.operators.positions import with_position
+
+    with scratch(spark):
+        outer = scratch_dir(spark, "test-outer")
+        spark.range(3).write.parquet(outer)
+        with scratch(spark):
+            inner = scratch_dir(spark, "test-inner")
+            spark.range(3).write.parquet(inner)
+        assert SK.table_exists(spark, outer) and not SK.table_exists(spark, inner)
+        assert with_position(spark.range(5), ["id"]).count() == 5
+    assert not SK.table_exists(spark, outer)
+
+
+def test_prepare_leaves_only_its_parts(spark, tmp_path):
+    import os
+
+    from tabrail.config import shared_root
+    from tabrail.plans import fixtures as fx
+    from tabrail.plans import jobs as J
+
+    from conftest import SF
+
+    def folders():
+        root = f"{shared_root(spark).removeprefix('file:')}/tabrail"
+        return set(os.listdir(root)) if os.path.isdir(root) else set()
+
+    before = folders()
+    out = J.prepare_job(spark, fx.charge(spark, SF), fx.CHARGE, str(tmp_path))
+    assert folders() == before
+    n, k = out["train"].count(), out["stream"].count()
+    assert k == -(-(n + k) // 5) and out["stream"].agg({"id": "max"}).first()[0] == k - 1
+    assert {r.key: r.value for r in out["report"].where("section = 'count'").collect()} == {"total": str(n + k), "train": str(n), "stream": str(k)}

@@ -74,8 +74,8 @@ def test_hot_key_is_settled_by_row_digests(spark, monkeypatch, tmp_path):
 
     monkeypatch.setattr(S, "FEW_ROWS", 50)
     stored = []
-    keep = P.work_dir
-    monkeypatch.setattr(P, "work_dir", lambda spark, name: stored.append(name) or keep(spark, name))
+    keep = P.scratch_dir
+    monkeypatch.setattr(P, "scratch_dir", lambda spark, name: stored.append(name) or keep(spark, name))
     # One key on 4000 of 6000 rows, its rows all different.
     df = spark.range(6000).selectExpr("if(id % 3 = 0, id, -1) AS k", "id * 2 AS x", "cast(if(id % 5 = 0, null, id) as string) AS y")
     for fraction in (0.1, 0.33, 0.5, 0.7, 0.95):
