@@ -3,8 +3,9 @@
 Every DOM node gets a link-adjusted number of characters per tag (composite
 density); a node's sum is that of its children's densities. The smallest
 density on the path from the body to the node with the largest sum is the
-threshold: from the body down, subtrees at or over it are searched and the
-one with the largest sum is the content. Menus, headers, footers, sidebars,
+threshold: from the body down, every subtree at or over it gives its own
+heaviest subtree to the content, so that articles in several parts stay whole.
+Menus, headers, footers, sidebars,
 notices, adverts, forms, scripts, styles and comments are taken out of the
 tree first, by tag and by the words of class, id and role. Forms, and elements
 with such a word, stay when they hold an article or main element or most of
@@ -12,8 +13,9 @@ the page's text outside links (unless a far larger article stands beside
 them); what they hold is judged on its own.
 
 Rows: null or empty html gives an empty text; repeated rows are kept; an
-empty table gives an empty result; other columns are not read. The work is
-narrow: one pass, no shuffle, one page in memory at a time.
+empty table gives an empty result; other columns are not read, whatever their
+names; pages of any length are parsed whole, with any depth of elements. The
+work is narrow: one pass, no shuffle, one page in memory at a time.
 """
 
 from __future__ import annotations
@@ -56,6 +58,8 @@ ENDS = {"li": (frozenset(("li",)), _LIST), **dict.fromkeys(("dt", "dd"), (frozen
         **dict.fromkeys(_CELLS, (_CELLS | {"caption"}, _TABLE | _PARTS | {"tr"})), "tr": (_CELLS | {"tr", "caption"}, _TABLE | _PARTS),
         **dict.fromkeys(_PARTS, (_CELLS | _PARTS | {"tr", "caption"}, _TABLE))}
 ARTICLE = frozenset(("article", "main"))
+#: What stays beside content, however short.
+PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl blockquote pre figure table hgroup hr".split())
 
 
 def _named(attrs: str) -> bool:
@@ -208,6 +212,17 @@ def _order(root: _Node) -> list[_Node]:
     return out
 
 
+def density(chars: int, links: int, tags: int, link_tags: int, share: float) -> float:
+    """Composite density: characters per tag, less where links hold them;
+    ``share`` is the page's own part of linked characters."""
+    if not chars:
+        return 0.0
+    plain = max(1, chars - links)
+    tags, links, link_tags = max(1, tags), max(1, links), max(1, link_tags)
+    base = log(chars / plain * links + share * chars + e)
+    return max(0.0, chars / tags * log(max(1.0, chars / links * tags / link_tags) * e) / log(base * e))
+
+
 def weigh(root: _Node) -> list[_Node]:
     """Set densities and sums; returns the nodes in page order."""
     order = _order(root)
@@ -226,43 +241,123 @@ def weigh(root: _Node) -> list[_Node]:
             p.link_tags += x.link_tags + (x.tag == "a")
     share = root.links / max(1, root.chars)
     for x in order:
-        if x.chars:
-            tags, links, link_tags = max(1, x.tags), max(1, x.links), max(1, x.link_tags)
-            base = log(x.chars / max(1, x.chars - x.links) * x.links + share * x.chars + e)
-            x.density = max(0.0, x.chars / tags * log(max(1.0, x.chars / links * tags / link_tags) * e) / log(base * e))
+        x.density = density(x.chars, x.links, x.tags, x.link_tags, share)
     for x in order:
         x.total = sum(k.density for k in x.kids if isinstance(k, _Node))
     return order
 
 
-def select(root: _Node) -> _Node | None:
-    """The subtree with the largest sum of densities, over the body-path threshold."""
+def _heaviest(order: list[_Node]) -> dict[_Node, _Node]:
+    """Per node, the node of its subtree with the largest sum; the first in page order wins a tie."""
+    best = {x: x for x in order}
+    for x in reversed(order):
+        p = x.parent
+        # Later kids come first here, so an equal earlier one replaces them; the node itself comes before its kids.
+        if p is not None and best[x].total >= best[p].total and best[x].total > p.total:
+            best[p] = best[x]
+    return best
+
+
+def _runs(x: _Node, bare: dict[_Node, bool]) -> list[list]:
+    """The node's kids, with neighbouring text and inline kids as one run."""
+    out: list[list] = []
+    inline = False
+    for k in x.kids:
+        own = isinstance(k, str) or bare[k]
+        if own and inline:
+            out[-1].append(k)
+        else:
+            out.append([k])
+        inline = own
+    return out
+
+
+def select(root: _Node) -> list:
+    """The content: subtrees and runs of text, in page order.
+
+    The threshold is the least density between the body and the node with the
+    largest sum of densities. From the body down, every subtree at or over it
+    gives up its own heaviest subtree to the content, and its kids are looked
+    at in turn; a run of text between blocks is judged like a subtree. Beside
+    content, paragraphs, headings, lists and tables that are mostly not links
+    stay as well, however short. Content inside an article or main element
+    takes the whole of it, and then nothing outside such elements counts.
+    """
     order = weigh(root)
     if not root.chars:
-        return None
-    best = max(order, key=lambda x: x.total)  # the first in page order wins a tie
+        return []
+    heaviest = _heaviest(order)
+    best = heaviest[root]
     if best.total <= 0:
-        return root
+        return [root]
     threshold, up = best.density, best
     while up is not None:
         threshold = min(threshold, up.density)
         up = up.parent
-    # From the body down: subtrees at or over the threshold are searched for the largest sum.
-    found, todo = root, [root]
+    share = root.links / max(1, root.chars)
+    marked = set()
+    todo = [root]
     while todo:
         x = todo.pop()
         if x.density >= threshold:
-            if x.total > found.total:
-                found = x
+            marked.add(heaviest[x])
             todo += [k for k in x.kids if isinstance(k, _Node)]
-    up = found
-    while up is not None and up.tag not in ARTICLE:
-        up = up.parent
-    return up or found
-
-
-def blocks(node: _Node) -> list[str]:
-    """Text of the node's blocks in page order, white space as one space."""
+    home = {}
+    for x in order:
+        home[x] = x if x.tag in ARTICLE and x.chars else home.get(x.parent)
+    if home[best] is not None:
+        marked = {home[x] for x in marked if home[x] is not None}
+    bare = {}
+    for x in reversed(order):
+        bare[x] = x.tag not in BLOCKS and all(isinstance(k, str) or bare[k] for k in x.kids)
+    holds = {x: x in marked for x in order}
+    for x in reversed(order):
+        if holds[x] and x.parent is not None:
+            holds[x.parent] = True
+
+    def judged(run: list) -> bool:
+        nodes = [k for k in run if isinstance(k, _Node)]
+        chars = sum(len("".join(k.split())) for k in run if isinstance(k, str)) + sum(k.chars for k in nodes)
+        links = sum(k.links for k in nodes)
+        if any(k in marked for k in nodes):
+            return True
+        return density(chars, links, sum(k.tags + 1 for k in nodes), sum(k.link_tags + (k.tag == "a") for k in nodes), share) >= threshold
+
+    out: list = []
+    todo = [root]
+    while todo:
+        x = todo.pop()
+        if not isinstance(x, _Node) or x in marked:
+            out.append(x)
+            continue
+        keep: list = []
+        runs = _runs(x, bare)
+        plain = home[best] is None
+        texts = [plain and (isinstance(r[0], str) or bare[r[0]]) and judged(r) for r in runs]
+        beside = plain and any(t or (isinstance(r[0], _Node) and r[0] in marked and r[0].tag in PARAGRAPHS) for r, t in zip(runs, texts))
+        for r, t in zip(runs, texts):
+            k = r[0]
+            if t:
+                keep += [None, *r, None] if len(r) > 1 or isinstance(k, str) else r
+            elif isinstance(k, _Node) and holds[k]:
+                keep.append(("down", k))
+            elif beside and isinstance(k, _Node) and k.tag in PARAGRAPHS and 2 * k.links <= k.chars:
+                keep.append(k)
+        todo += [k[1] if isinstance(k, tuple) else _Taken(k) for k in reversed(keep)]
+    return [x.what if isinstance(x, _Taken) else x for x in out]
+
+
+class _Taken:
+    """Content that is not looked into again (None: a border between blocks)."""
+
+    __slots__ = ("what",)
+
+    def __init__(self, what):
+        self.what = what
+
+
+def blocks(content: list) -> list[str]:
+    """Text of the content's blocks in page order, white space as one space."""
     out: list[str] = []
     run: list[str] = []
 
@@ -272,7 +367,7 @@ def blocks(node: _Node) -> list[str]:
             out.append(text)
         run.clear()
 
-    todo: list = [node]
+    todo: list = list(reversed(content))
     while todo:
         x = todo.pop()
         if x is None:
@@ -293,9 +388,7 @@ def blocks(node: _Node) -> list[str]:
 
 def extract(html: str | None) -> str:
     """Main text of one page."""
-    root = parse(html or "")
-    node = select(root)
-    return "" if node is None else "\n\n".join(blocks(node))
+    return "\n\n".join(blocks(select(parse(html or ""))))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
