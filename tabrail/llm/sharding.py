@@ -6,7 +6,8 @@ weight only moves keys into or out of that child, so movement is confined to
 the subtrees whose weights change. DataFrame functions only.
 
 Rows: a null id is a key of its own; a null text has 16 bytes; repeated rows
-all get slots; an empty table gives an empty result.
+all get slots; texts of any length are hashed whole; other columns of the
+input are not read, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
