@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +83,34 @@ def kept_in_worker(name: str, make: Callable):
     return own[name]
 
 
+def free_memory() -> None:
+    """Give freed memory of a Python worker back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which keeps what it has
+
+
+def lean(run: Callable, keep: str | None = None) -> Callable:
+    """``run`` for mapInArrow or mapInPandas, with what earlier jobs kept in
+    the worker dropped before it (but for ``keep``), and its own memory given
+    back after it: workers outlive their jobs, and executors count them all."""
+    def wrapped(batches):
+        import __main__
+
+        own = __main__.__dict__.setdefault("_tabrail_kept", {})
+        for name in [n for n in own if n != keep]:
+            del own[name]
+        try:
+            yield from run(batches)
+        finally:
+            free_memory()
+
+    return wrapped
+
+
 def texts_of(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string or binary column (null: empty)."""
     col = batch.column(name)
@@ -120,21 +150,37 @@ def mix(x: np.ndarray) -> np.ndarray:
 SKETCH_BLOCK = 1 << 14
 
 
-def bucket_counts(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray], bits: int) -> np.ndarray:
+#: Hashes that are counted at once.
+COUNT_AT_ONCE = 1 << 18
+
+
+def bucket_counts(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], bits: int) -> np.ndarray:
     """Counts of ``hash mod 2**bits`` over all rows, a fixed-size table.
 
-    ``hashes`` gives the uint64 hashes of a batch. Each task sums its own
-    table (counts over 255 saturate: they are only compared, never reported),
-    blocks are summed by key on the executors, and 4 * 2**bits bytes reach the
-    driver whatever the input's size.
+    ``hashes`` gives the uint64 hashes of a batch, in arrays. Each task sums
+    its own table of bytes (counts over 255 saturate: they are only compared,
+    never reported), blocks are summed by key on the executors, and
+    4 * 2**bits bytes reach the driver whatever the input's size.
     """
     size, block = 1 << bits, min(SKETCH_BLOCK, 1 << bits)
 
     def count(batches):
-        own = np.zeros(size, np.int64)
+        own, held, n = np.zeros(size, np.uint8), [], 0
+
+        def add():
+            at, c = np.unique(np.concatenate(held) & U64(size - 1), return_counts=True)
+            at = at.astype(np.int64)
+            own[at] = np.minimum(own[at] + c, 255)
+
         for b in batches:
-            own += np.bincount((hashes(b) & U64(size - 1)).astype(np.int64), minlength=size)
-        own = np.minimum(own, 255).astype(np.uint8)
+            for h in hashes(b):
+                held.append(h)
+                n += len(h)
+                if n > COUNT_AT_ONCE:
+                    add()
+                    held, n = [], 0
+        if held:
+            add()
         for k in range(0, size, block):
             if own[k:k + block].any():
                 yield pa.RecordBatch.from_pydict({"block": pa.array([k // block], pa.int32()), "counts": pa.array([own[k:k + block].tobytes()], pa.binary())})
@@ -147,7 +193,7 @@ def bucket_counts(df: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray],
             s += np.frombuffer(c, np.uint8)
         return pd.DataFrame({"block": [key[0]], "counts": [np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes()]})
 
-    rows = df.mapInArrow(count, "block int, counts binary").groupBy("block").applyInPandas(total, "block int, counts binary").collect()
+    rows = df.mapInArrow(lean(count), "block int, counts binary").groupBy("block").applyInPandas(total, "block int, counts binary").collect()
     out = np.zeros(size, np.uint32)
     for r in rows:
         out[r["block"] * block:(r["block"] + 1) * block] = np.frombuffer(r["counts"], np.uint32)
@@ -179,5 +225,7 @@ def components(nodes: DataFrame, links: DataFrame, rounds: int = 60) -> DataFram
             break
         release(e)
         e = new
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     low = e.groupBy("u").agg(F.min("v").alias("m"))
     return nodes.select("id").join(low, F.col("id") == F.col("u"), "left").select("id", F.coalesce("m", "id").alias("comp"))

@@ -19,8 +19,9 @@ No link between components is lost: each such pair passes an exact filter
 or is verified.
 
 Rows: null, empty or blank texts have the empty set and link with nothing;
-null or repeated ids are put in (doc_id, text) order, nulls first; an empty
-table gives an empty result.
+null or repeated ids are put in (doc_id, text) order, nulls first; texts of
+any length give their whole sets; other columns are not read (the pipeline
+stage keeps them), whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrail.llm.common import U64, bucket_counts, components, keyed_rows, mix, release, spans_of, stage, table, texts_of
+from tabrail.llm.common import U64, bucket_counts, components, keyed_rows, lean, mix, release, spans_of, stage, table, texts_of
 
 #: Count sketch of shingles, bitmap of documents to verify (log2 of their fixed sizes).
 SKETCH_BITS, WANTED_BITS = 22, 22
@@ -135,7 +136,7 @@ def signatures(rows: DataFrame, words: int, percent: int) -> DataFrame:
     spark = rows.sparkSession
 
     def hashes(batch):
-        return np.concatenate([np.zeros(0, U64), *Shingler(words).sets(batch)])
+        return Shingler(words).sets(batch)
 
     counts = bucket_counts(rows.select("text"), hashes, SKETCH_BITS)
     # Half-octaves over the mean: chance differences of rare shingles keep them in one class.
@@ -164,7 +165,7 @@ def signatures(rows: DataFrame, words: int, percent: int) -> DataFrame:
                 [b.column("key"), pa.array(cols["n"], pa.int32()), *(pa.array(cols[k], pa.int64()) for k in ("d1", "d2", "g")), *(_list(cols[k], pa.int64()) for k in ("prefix", "few", "bits"))],
                 ["key", "n", "d1", "d2", "g", "prefix", "few", "bits"])
 
-    return rows.mapInArrow(run, "key long, n int, d1 long, d2 long, g long, prefix array<long>, few array<long>, bits array<long>")
+    return rows.mapInArrow(lean(run), "key long, n int, d1 long, d2 long, g long, prefix array<long>, few array<long>, bits array<long>")
 
 
 def _differ(a: str, b: str, words: int):
@@ -198,7 +199,7 @@ def verify(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
     spark = rows.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("k")).distinct()
     to_bucket = lambda k: mix(np.asarray(k).astype(np.int64).view(U64))
-    counts = bucket_counts(ends.repartition(4), lambda b: to_bucket(b.column("k")), WANTED_BITS)
+    counts = bucket_counts(ends.repartition(4), lambda b: [to_bucket(b.column("k"))], WANTED_BITS)
     wanted = spark.sparkContext.broadcast(np.packbits(counts > 0))
 
     def sets(batches):
@@ -210,7 +211,7 @@ def verify(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
                 b = b.take(pa.array(at))
                 yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([u.tobytes() for u in shingler.sets(b)], pa.binary())], ["key", "set"])
 
-    found = stage(rows.select("key", "text").mapInArrow(sets, "key long, set binary"), "sets")
+    found = stage(rows.select("key", "text").mapInArrow(lean(sets), "key long, set binary"), "sets")
     left = pairs.join(found.select(F.col("key").alias("a"), F.col("set").alias("x")), "a")
     both = left.join(found.select(F.col("key").alias("b"), F.col("set").alias("y")), "b")
 
@@ -224,7 +225,7 @@ def verify(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataF
                 keep.append(100 * common >= percent * (len(s) - common))
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    out = stage(both.select("a", "b", "x", "y").mapInArrow(link, "a long, b long"), "links")
+    out = stage(both.select("a", "b", "x", "y").mapInArrow(lean(link), "a long, b long"), "links")
     release(found)
     return out
 

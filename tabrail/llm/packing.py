@@ -11,7 +11,9 @@ Ids are those of the `tokenizers` library under its defaults: the vocabulary's
 added tokens are found in texts first.
 
 Rows: a null text is empty and holds the end id alone; null ids and repeated
-rows are separate documents; an empty table gives an empty result. Pieces of
+rows are separate documents; texts of any length are cut into as many pieces as
+they need; other columns are not read, whatever their names; an empty table
+gives an empty result. Pieces of
 the full length need no search and are sequences of their own.
 """
 
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabrail.llm.bpe import _RUN, WORDS, load_ranks
-from tabrail.llm.common import kept_in_worker, stage, table
+from tabrail.llm.common import kept_in_worker, lean, stage, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 CAPACITY, END_ID = 1024, 2
@@ -114,7 +116,7 @@ def pieces(docs: DataFrame, path: str = TOKENIZER, capacity: int = CAPACITY, id_
                 yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(row)), pa.array(k, pa.int32()), *(pa.array(x, pa.int64()) for x in (s, n, c))],
                                                  ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return rows.mapInArrow(run, f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(lean(run, f"count:{path}"), f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
 def best_fit(order, lengths, bins, free, capacity: int) -> None:
@@ -251,7 +253,7 @@ def pack_items(items: DataFrame, capacity: int, name: str) -> DataFrame:
         else:
             given = islands.join(found.groupBy("cell").agg(F.flatten(F.collect_list("elites")).alias("elites")), "cell")
         given = given.repartition(tasks, "cell", "island")
-        found = stage(given.mapInPandas(lambda it, e=epoch: _island(it, capacity, e), "cell int, island int, n_bins int, elites array<array<int>>"), f"{name}-elites")
+        found = stage(given.mapInPandas(lean(lambda it, e=epoch: _island(it, capacity, e)), "cell int, island int, n_bins int, elites array<array<int>>"), f"{name}-elites")
     best = found.groupBy("cell").agg(F.min_by(F.element_at("elites", 1), F.struct("n_bins", "island")).alias("bins"))
     rows = packed.join(best, "cell").select("cell", F.explode(F.arrays_zip("tags", "lengths", "bins")).alias("x"))
     return rows.select("cell", F.col("x.bins").alias("bin"), F.col("x.tags").alias("tag"), F.col("x.lengths").alias("length"))

@@ -54,3 +54,26 @@ def test_empty_table_and_run(spark, tmp_path):
     assert P.run(spark, str(tmp_path)).count() == 0
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
     assert toxicity.THRESHOLD == 0.7 and pii.KINDS[:4] == ("email", "ip", "card", "phone")
+
+
+def test_odd_rows_through_every_stage(spark, tmp_path):
+    long = " ".join(f"word{i % 5003}" for i in range(60_000))
+    rows = [(1, "a plain text of a few words", "en", "s", 27, "x"), (1, "a plain text of a few words", "en", "s", 27, "x"), (2, None, None, None, None, None),
+            (None, "mail me at a@b.co today", None, "s", 23, "y"), (None, None, "en", "s", 0, None), (3, "", "en", None, 0, "z"), (4, long, "en", "s", len(long), "w"),
+            (5, "another plain text, with other words in it than the first", "en", "s", 57, "v")]
+    kind = "doc_id long, text string, lang string, source string, n_chars long, `key` string"
+    docs = spark.createDataFrame(rows, kind)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    table(spark, "/root/testdata/sf0.001", "labels").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    frames = [docs]
+    for name, step in P.STAGES:
+        frames.append(stage(step(spark, frames[-1], str(tmp_path)), f"odd-{name}"))
+        if name != "packing":
+            assert frames[-1].columns == docs.columns, name
+    left = frames[-2].collect()
+    # Of the two equal rows one stays; rows without words have no copies.
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text is None) for r in left) == sorted(
+        [(False, 1, False), (False, 2, True), (True, 0, False), (True, 0, True), (False, 3, False), (False, 4, False), (False, 5, False)])
+    assert {r.text for r in left if r.doc_id is None} == {"mail me at [EMAIL] today", None} and {r.key for r in left if r.doc_id in (1, 5)} == {"x", "v"}
+    packed = frames[-1].collect()
+    assert len({(r.doc_id, r.piece, r.length) for r in packed}) >= 7 and sum(r.length for r in packed if r.doc_id == 2) == 1
