@@ -11,6 +11,11 @@ shared folder and reads them back as the next one's documents.
 4. pii: every span becomes its kind in brackets.
 5. packing: the rest as pieces in sequences of at most 1024 tokens.
 
+Rows: a null text passes every stage as a row without words (it is no near
+copy of anything, loses nothing and is packed as its end id); null and repeated
+ids are rows of their own; columns beside those of documents travel with their
+rows, whatever their names; an empty table gives an empty result.
+
 Toxicity scores, packings and the components of near duplicates have no SQL;
 tests/llm/test_pipeline.py compares the stages with brute-force versions.
 """
