@@ -3,15 +3,18 @@
 Merging: positions of a linked list of tokens wait in one bucket per merge
 rank; a two-level bitmap over the ranks finds the lowest non-empty bucket
 by find-first-set; entries whose pair has changed since are skipped. A
-pre-token of any length costs O(n log n), which suits very long ones.
+pre-token of any length costs O(n log n), which suits very long ones. New
+pre-tokens of many texts share one list and queue; short ones are merged a
+whole bucket at a time.
 
 Texts are split at single spaces first (a space before a non-space always
 begins a pre-token), so that recurring words and pre-tokens are merged once
-per worker; a table of them is emptied when it is full. Texts with runs of white space
+per worker, and their ids decoded once; a table of them is emptied when it is full. Texts with runs of white space
 take the pattern over the whole text.
 
 Rows: a null or empty text has no tokens; null ids and repeated rows are
-kept; an empty table gives an empty result.
+kept; texts of any length are encoded whole; other columns are not read,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,8 +37,8 @@ from tabrail.llm.common import kept_in_worker, table
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Words, and pre-tokens, kept per worker; beyond it their table starts anew.
 WORDS = 400_000
-#: Texts whose new pre-tokens are merged together.
-AT_ONCE = 200
+#: Characters of texts whose new pre-tokens are merged together; bytes up to which a pre-token is short.
+AT_ONCE, SHORT = 1 << 23, 48
 _RUN = re.compile(r"\s\s")
 
 
@@ -58,15 +61,121 @@ _BIT = [1 << i for i in range(256)]
 
 
 class RankQueue:
-    """Bitmaps over the ranks: one bit a rank in words of 256, one bit a non-empty word above them."""
+    """Bitmaps over the ranks: one bit a rank in words of 256, one bit a non-empty word above them.
+
+    With it a hash table of all pairs of tokens that make a token, for looking
+    up the ranks of many pairs at once."""
+
+    BITS = 21
 
     def __init__(self, ranks: dict[bytes, int]):
         self.words = [0] * ((max(ranks.values()) >> 8) + 1)  # all zero between merges
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)])
         self.pairs = np.full(1 << 16, -1)
+        both: dict[int, int] = {}
         for t, r in ranks.items():
             if len(t) == 2:
                 self.pairs[t[0] * 256 + t[1]] = r
+            for i in range(1, len(t)):
+                x, y = ranks.get(t[:i]), ranks.get(t[i:])
+                if x is not None and y is not None:
+                    both[x << 20 | y] = r
+        size = 1 << max(self.BITS, len(both).bit_length() + 2)
+        self.mask = size - 1
+        self.keys, self.made = np.full(size, -1), np.full(size, -1)
+        keys, made = np.array(list(both), np.int64), np.array(list(both.values()), np.int64)
+        place, step = self._hash(keys), 0
+        while len(keys):
+            at = (place + step) & self.mask
+            mine = np.zeros(len(keys), bool)
+            mine[np.unique(at, return_index=True)[1]] = True
+            mine &= self.keys[at] < 0
+            self.keys[at[mine]], self.made[at[mine]] = keys[mine], made[mine]
+            keys, made, place, step = keys[~mine], made[~mine], place[~mine], step + 1
+
+    def _hash(self, key: np.ndarray) -> np.ndarray:
+        return ((key * np.int64(-7046029254386353131)) >> np.int64(40)) & self.mask
+
+    def ranks_of(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Rank of each pair of token ids; -1: none (an id below 0 is none)."""
+        key = x << 20 | y
+        out = np.full(len(key), -1)
+        place, todo, step = self._hash(key), np.flatnonzero((x >= 0) & (y >= 0)), 0
+        while len(todo):
+            at = (place[todo] + step) & self.mask
+            held = self.keys[at]
+            hit = held == key[todo]
+            out[todo[hit]] = self.made[at[hit]]
+            todo, step = todo[~hit & (held >= 0)], step + 1
+        return out
+
+
+def merge_short(pieces: list[bytes], queue: RankQueue) -> list[list[int]]:
+    """Ids of many short pre-tokens, as ``merge_all`` gives them.
+
+    The same linked list, buckets and bitmaps; of the bucket that
+    find-first-set picks, the leftmost live entry of every pre-token is merged
+    at once, stale ones are skipped and the others wait in the bucket. Order
+    matters inside a pre-token alone, so each sees its own lowest rank first."""
+    if not pieces:
+        return []
+    buf = b"\0".join(pieces) + b"\0"
+    n, sizes = len(buf), np.array([len(p) + 1 for p in pieces])
+    ids = queue.bytes[np.frombuffer(buf, np.uint8)]
+    ids[np.cumsum(sizes) - 1] = -1  # barriers
+    piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
+    nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+    pair = np.append(queue.ranks_of(ids[:-1], ids[1:]), -1)
+    words, top = queue.words, 0
+    buckets: dict[int, list[np.ndarray]] = {}
+
+    def push(at: np.ndarray, ranks: np.ndarray) -> None:
+        nonlocal top
+        order = np.argsort(ranks, kind="stable")
+        at, ranks = at[order], ranks[order]
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+        for i, j, r in zip(cuts[:-1], cuts[1:], ranks[cuts[:-1]].tolist()):
+            if r in buckets:
+                buckets[r].append(at[i:j])
+            else:
+                buckets[r] = [at[i:j]]
+                words[r >> 8] |= _BIT[r & 255]
+                top |= 1 << (r >> 8)
+
+    first = np.flatnonzero(pair >= 0)
+    if len(first):
+        push(first, pair[first])
+    while top:
+        w = (top & -top).bit_length() - 1
+        word = words[w]
+        low = word & -word
+        rank = (w << 8) + low.bit_length() - 1
+        words[w] = word = word ^ low
+        if not word:
+            top &= top - 1
+        held = buckets.pop(rank)
+        at = np.unique(np.concatenate(held)) if len(held) > 1 else held[0]
+        at = at[pair[at] == rank]  # the others are stale
+        if not len(at):
+            continue
+        lead = np.append(True, piece[at[1:]] != piece[at[:-1]])
+        if not lead.all():
+            push(at[~lead], np.full(len(at) - int(lead.sum()), rank))
+            at = at[lead]
+        gone = nxt[at]
+        behind, before = nxt[gone], prv[at]
+        nxt[at], prv[behind], ids[at], ids[gone], pair[gone] = behind, at, rank, -1, -1
+        own, left = np.full(len(at), rank), np.where(before >= 0, ids[before], -1)
+        ranks = queue.ranks_of(np.concatenate([own, left]), np.concatenate([ids[behind], own]))
+        pair[at] = ranks[:len(at)]
+        inner = left >= 0
+        pair[before[inner]] = ranks[len(at):][inner]
+        live = ranks >= 0
+        if live.any():
+            push(np.concatenate([at, before])[live], ranks[live])
+    keep = ids >= 0
+    flat, ends = ids[keep].tolist(), np.cumsum(np.bincount(piece[keep], minlength=len(pieces))).tolist()
+    return [flat[i:j] for i, j in zip([0, *ends[:-1]], ends)]
 
 
 def merge_all(pieces: list[bytes], ranks: dict[bytes, int], queue: RankQueue) -> list[list[int]]:
@@ -178,17 +287,37 @@ class Encoder:
     def __init__(self, path: str = RANK_FILE, pattern: str = public_tokenizers.PATTERN):
         self.ranks = load_ranks(path)
         self.table = {i: t for t, i in self.ranks.items()}
+        self.decimal = {i: str(i) for i in self.table}
         self.pattern = regex.compile(pattern)
         self.queue = RankQueue(self.ranks)
-        self.known: dict[str, tuple[tuple[int, ...], str]] = {}
-        self.merged: dict[str, list[int]] = {}
+        #: Pre-tokens, and words that are several: number of ids, their decimal text, the bytes that they decode to.
+        self.merged: dict[str, tuple[int, str, bytes]] = {}
+        self.known: dict[str, tuple[int, str, bytes]] = {}
 
-    def _join(self, found: list[str]) -> tuple[tuple[int, ...], str]:
-        ids = tuple(chain.from_iterable(map(self.merged.__getitem__, found)))
-        return ids, " ".join(map(str, ids))
+    def _join(self, found: list[str]) -> tuple[int, str, bytes]:
+        counts, ids, decoded = zip(*map(self.merged.__getitem__, found))
+        return sum(counts), " ".join(ids), b"".join(decoded)
 
-    def words(self, texts: list[str]) -> list[list[tuple[tuple[int, ...], str]]]:
-        """For each text, (ids, their decimal text) of consecutive parts."""
+    def _merge(self, todo: list[str]) -> None:
+        """Encode pre-tokens, and decode their ids, once."""
+        short, long = [], []
+        get, merged = self.ranks.get, self.merged
+        for p in todo:
+            data = p.encode()
+            own = get(data)
+            if own is not None:
+                merged[p] = (1, self.decimal[own], self.table[own])
+            else:
+                (short if len(data) <= SHORT else long).append((p, data))
+        decimal, token = self.decimal.__getitem__, self.table.__getitem__
+        for group, found in ((short, merge_short([d for _, d in short], self.queue)), (long, merge_all([d for _, d in long], self.ranks, self.queue))):
+            for (p, _), ids in zip(group, found):
+                merged[p] = (len(ids), " ".join(map(decimal, ids)), b"".join(map(token, ids)))
+
+    def words(self, texts: list[str]) -> list[list[tuple[int, str, bytes]]]:
+        """For each text, of consecutive parts: the number of ids, their
+        decimal text and the bytes that they decode to. A recurring part is
+        encoded and decoded once."""
         known, merged, find = self.known, self.merged, self.pattern.findall
         if len(known) > WORDS:
             known.clear()
@@ -196,31 +325,40 @@ class Encoder:
             merged.clear()
         # Texts with runs of white space stay whole; in others a single space begins each part but the first.
         parts = [([], t) if _RUN.search(t) else (lambda first, *rest: (rest, first))(*t.split(" ")) for t in texts]
+        new = set(chain.from_iterable(rest for rest, _ in parts)).difference(known)
         # Letters alone are one pre-token, with one full stop or comma behind them two; the pattern splits the rest.
-        fresh = {w: [" " + w] if w.isalpha() else [" " + w[:-1], w[-1]] if w[-1:] in (".", ",") and w[:-1].isalpha() else find(" " + w)
-                 for w in set(chain.from_iterable(rest for rest, _ in parts)) if w not in known}
+        single = [w for w in new if w.isalpha()]
+        several = {w: [" " + w[:-1], w[-1]] if w[-1:] in (".", ",") and w[:-1].isalpha() else find(" " + w) for w in new.difference(single)}
         heads = [find(first) for _, first in parts]
-        todo = list({p for found in chain(fresh.values(), heads) for p in found if p not in merged})
-        done = []
-        for p in todo:
-            own = self.ranks.get(p.encode())
-            if own is not None:
-                merged[p] = [own]
-            else:
-                done.append(p)
-        for p, ids in zip(done, merge_all([p.encode() for p in done], self.ranks, self.queue)):
-            merged[p] = ids
-        for w, found in fresh.items():
+        wanted = {" " + w for w in single}
+        wanted.update(chain.from_iterable(several.values()), chain.from_iterable(heads))
+        self._merge(list(wanted.difference(merged)))
+        for w in single:
+            known[w] = merged[" " + w]
+        for w, found in several.items():
             known[w] = self._join(found)
         return [[self._join(head), *map(known.__getitem__, rest)] if head else list(map(known.__getitem__, rest)) for head, (rest, _) in zip(heads, parts)]
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(x[0] for x in self.words([text])[0]))
+        return [int(i) for _, ids, _ in self.words([text])[0] for i in ids.split(" ")]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
 
 
+def _groups(texts: list[str]):
+    """Runs of texts of about ``AT_ONCE`` characters (a longer text comes alone)."""
+    own, size = [], 0
+    for t in texts:
+        if own and size + len(t) > AT_ONCE:
+            yield own
+            own, size = [], 0
+        own.append(t)
+        size += len(t)
+    if own:
+        yield own
+
+
 def encode_documents(docs: DataFrame, path: str = RANK_FILE, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids) of every row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -232,13 +370,14 @@ def encode_documents(docs: DataFrame, path: str = RANK_FILE, id_col: str = "doc_
         for b in batches:
             n, a, d, all_ids = [], [], [], []
             texts = b.column("text").to_pylist()
-            for parts in chain.from_iterable(enc.words([t or "" for t in texts[i:i + AT_ONCE]]) for i in range(0, len(texts), AT_ONCE)):
-                ids = list(chain.from_iterable(x[0] for x in parts))
-                n.append(len(ids))
-                a.append(hashlib.sha256(" ".join([x[1] for x in parts if x[1]]).encode()).hexdigest())
-                d.append(hashlib.sha256(enc.decode(ids)).hexdigest())
+            for parts in chain.from_iterable(map(enc.words, _groups([t or "" for t in texts]))):
+                counts, ids, decoded = zip(*parts) if parts else ((), (), ())
+                ids = " ".join(ids)
+                n.append(sum(counts))
+                a.append(hashlib.sha256(ids.encode()).hexdigest())
+                d.append(hashlib.sha256(b"".join(decoded)).hexdigest())
                 if with_ids:
-                    all_ids.append(ids)
+                    all_ids.append([int(i) for i in ids.split(" ")] if ids else [])
             cols = [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(d, pa.string())]
             yield pa.RecordBatch.from_arrays(cols + [pa.array(all_ids, pa.list_(pa.int32()))] * with_ids, names)
 
