@@ -27,8 +27,8 @@ MISSING = 400
 
 #: Internal code of an array or object in a numeric field; its status is 500.
 NESTED = -500
-#: Texts of fields that may be no JSON strings.
-DOUBTFUL = r"^\s*(true|false|\[|\{)"
+#: Beginnings of texts that may be no JSON strings (the parser gives other kinds without leading space).
+DOUBTFUL = ("true", "false", "[", "{")
 #: A body that is form fields when nothing else says what it is.
 FORM = r"^[^\s={}\[\]\"]+="
 
@@ -101,7 +101,7 @@ def request_parse(df: DataFrame, features: Sequence[str], body: str = "body",
     # A null text is an absent field or a JSON null: the keys tell. As text,
     # true and "true" are alike, as are [] and "[]": the kinds tell.
     some_null = any_of(raw[c].isNull() for c in features)
-    doubtful = any_of(F.coalesce(raw[c].rlike(DOUBTFUL), F.lit(False)) for c in features)
+    doubtful = any_of(F.coalesce(any_of(raw[c].startswith(d) for d in DOUBTFUL), F.lit(False)) for c in features)
     rows = rows.select(*keep, "_tr_how", "_tr_form", "_tr_raw",
                        F.when(raw.isNotNull() & some_null, F.json_object_keys(text)).alias("_tr_keys"),
                        F.when(raw.isNotNull() & doubtful, F.try_parse_json(text)).alias("_tr_typed"))
