@@ -11,8 +11,9 @@ also sent to the range before it, so that each row meets its successor in
 one shuffle; a task streams over sorted rows and holds two at a time.
 
 Rows: null texts are empty; null or repeated ids are put in (doc_id, text)
-order, nulls first; a single row is its own successor; an empty table gives
-an empty result.
+order, nulls first; a single row is its own successor; texts of any length
+are read whole; other columns are not read, whatever their names; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations

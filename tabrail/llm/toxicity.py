@@ -13,8 +13,10 @@ Learning uses only labelled rows whose crc32(doc_id) mod 3 is not 1, at most
 counts cover every text. lang, source and doc_id are never inputs of a score.
 
 Rows: null and empty texts get the score of a text without evidence; null ids
-are held in (their remainder is null); repeated rows score alike; without
-labels of both kinds every score is 0.
+are held in (their remainder is null); repeated rows score alike; texts of
+any length are scored whole; other columns are not read (the pipeline stage
+keeps them), whatever their names; an empty table gives an empty result;
+without labels of both kinds every score is 0.
 """
 
 from __future__ import annotations
@@ -29,13 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabrail.llm.common import stage, table, texts_of
+from tabrail.llm.common import lean, spans_of, stage, table, texts_of
 
 TRAIN_ROWS = 8192
 THRESHOLD = 0.7
+#: Clean rows of the training folds that may reach the threshold; beyond it scores are lowered.
+CLEAN_SHARE = 0.001
 #: Buckets of hashed word features; texts of each label that must hold a feature.
 BUCKETS, LEAST = 1 << 22, 3
 WORDS = 200_000
+#: Standard deviations that a word's log-odds are lowered by: of very many words some are lopsided by chance.
+SURE = 1.64
+#: Letters that may follow a word's first ones in an inflected form.
+ENDING = 3
 #: What a character may stand for (fixed values).
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "¢": "c"}
@@ -76,8 +84,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
         t, own = _class_table(), np.zeros(CLASSES ** 3, np.int64)
         for b in batches:
             data, off = texts_of(b, "text")
-            for i in range(0, len(off) - 1, 256):
-                j = min(i + 256, len(off) - 1)
+            for i, j in spans_of(off, 1 << 20):
                 # Texts apart by an edge; two edges before the first letter of a word.
                 s = " ".join([data[off[r]:off[r + 1]].tobytes().decode("utf-8", "replace") for r in range(i, j)])
                 c = t[np.frombuffer(f"  {s}  ".encode("utf-32-le"), np.uint32)].astype(np.int32)
@@ -87,7 +94,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
         at = np.nonzero(own)[0]
         yield pa.RecordBatch.from_pydict({"gram": pa.array(at, pa.int32()), "n": pa.array(own[at], pa.int64())})
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(lean(count), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     return {r["gram"]: r["n"] for r in rows}
 
 
@@ -116,7 +123,9 @@ class Restorer:
                     options.append(("", COST_REPEAT))
             elif c in LEET:
                 options += [(x, COST_LEET) for x in LEET[c]]
-                options.append(("", COST_SIGN if 0 < i < n - 1 else COST_SEPARATOR))
+                # A digit always stands for a letter: dropped, it would save one.
+                if not c.isdigit():
+                    options.append(("", COST_SIGN if 0 < i < n - 1 else COST_SEPARATOR))
             else:
                 options.append(("", COST_SEPARATOR if c in SEPARATORS else COST_SIGN))
             out.append(options)
@@ -158,20 +167,20 @@ class Words:
 
     def spellings(self, word: str) -> tuple[str, ...]:
         w = word.lower().strip(EDGE)
-        if w.endswith("$$$"):
-            w = w.rstrip("$")
         if not w:
             return ()
         if not looks_hidden(w):
             return (w,)
-        r = self.restore(w)
-        return (w, r) if r and r != w else (w,)
+        # Digits at an edge may be a number of its own beside the word.
+        own = w.strip("0123456789")
+        found = [self.restore(w), *([] if own == w or not own else [self.restore(own) if looks_hidden(own) else own])]
+        return tuple(dict.fromkeys([w, *(r for r in found if r)]))
 
     def features(self, word: str) -> set[int]:
         out = set()
         for s in self.spellings(word):
             out.add(zlib.crc32(s.encode()) % BUCKETS)
-            out.update(zlib.crc32(b"^" + s[:n].encode()) % BUCKETS for n in (4, 5, 6) if len(s) >= n)
+            out.update(zlib.crc32(b"^" + s[:n].encode()) % BUCKETS for n in (4, 5, 6) if n <= len(s) <= n + ENDING)
         return out
 
 
@@ -185,9 +194,15 @@ def words_of(text: str) -> list[str]:
     return list(dict.fromkeys(words + spelled))
 
 
-def evidence(strengths: list[float]) -> tuple[float, float, float]:
-    """Strongest, second strongest, and (log) number of strong words."""
-    s = sorted((x for x in strengths if x > 0), reverse=True)
+def strongest(features, get) -> tuple[float, int]:
+    """A word's strongest feature: (strength, feature)."""
+    return max(((get(f, 0.0), f) for f in features), default=(0.0, 0))
+
+
+def evidence(found) -> tuple[float, float, float]:
+    """Strongest, second strongest, and (log) number of strong features; words
+    that owe their strength to one feature (forms of a word) count once."""
+    s = sorted({f: z for z, f in found if z > 0}.values(), reverse=True)
     return (s[0] if s else 0.0, s[1] if len(s) > 1 else 0.0, log1p(sum(1 for x in s if x > 2)))
 
 
@@ -197,7 +212,7 @@ def strengths_of(counts: np.ndarray, totals: tuple[int, int]) -> dict[int, float
     n0, n1 = totals
     for bucket, d0, d1 in counts.tolist():
         if d1 >= LEAST:
-            s = log((d1 + 0.5) / (n1 + 1)) - log((d0 + 0.5) / (n0 + 1)) - 1.64 * sqrt(1 / (d1 + 0.5) + 1 / (d0 + 0.5))
+            s = log((d1 + 0.5) / (n1 + 1)) - log((d0 + 0.5) / (n0 + 1)) - SURE * sqrt(1 / (d1 + 0.5) + 1 / (d0 + 0.5))
             if s > 0:
                 out[int(bucket)] = s
     return out
@@ -218,6 +233,16 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
     return w
 
 
+def at_threshold(w: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lower the intercept until at most ``CLEAN_SHARE`` of the clean rows score ``THRESHOLD`` or more."""
+    clean = np.sort(x[y == 0] @ w[:3] + w[3])
+    spare = int(CLEAN_SHARE * len(clean))
+    highest = clean[len(clean) - 1 - spare]
+    w = w.copy()
+    w[3] -= max(0.0, highest - log(THRESHOLD / (1 - THRESHOLD)) + 1e-9)
+    return w
+
+
 def _remainder(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 3
 
@@ -239,8 +264,7 @@ class Model:
                     known.clear()
                 for i, z in enumerate(zs):
                     if z is None:
-                        z = max((get(f, 0.0) for f in words.features(found[i])), default=0.0)
-                        zs[i] = known[found[i]] = z
+                        zs[i] = known[found[i]] = strongest(words.features(found[i]), get)
             s = w[3] + sum(a * b for a, b in zip(w, evidence(zs)))
             return 1 / (1 + exp(-max(-30.0, min(30.0, s))))
 
@@ -303,7 +327,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
                 rows.append((key, y, fold, *(int((crcs * np.uint64(m) & np.uint64(0xFFFFFFFF)).min()) for m in MARKS), crcs.astype(np.int64), feats))
             yield pd.DataFrame(rows, columns=["id", "y", "fold", "m0", "m1", "m2", "triples", "feats"])
 
-    texts = train.repartition(8).mapInPandas(features, "id long, y int, fold long, m0 long, m1 long, m2 long, triples array<long>, feats array<array<int>>")
+    texts = train.repartition(8).mapInPandas(lean(features), "id long, y int, fold long, m0 long, m1 long, m2 long, triples array<long>, feats array<array<int>>")
     texts = stage(texts, "train")
     texts = stage(texts.join(near_copies(texts.drop("fold", "feats")), "id", "left_anti").drop("triples"), "train")
     size = {(r["y"], r["fold"]): r["n"] for r in texts.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -320,11 +344,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     def weigh(batches):
         for b in batches:
-            ev = [evidence([max((shared.value[k].get(f, 0.0) for f in w), default=0.0) for w in feats]) for k, feats in zip(b["fold"], b["feats"])]
+            ev = [evidence([strongest(w, shared.value[k].get) for w in feats]) for k, feats in zip(b["fold"], b["feats"])]
             yield pd.DataFrame({"y": b["y"], **{f"e{i}": [e[i] for e in ev] for i in range(3)}})
 
-    fit = texts.mapInPandas(weigh, "y int, e0 double, e1 double, e2 double").toPandas()
+    fit = texts.mapInPandas(lean(weigh), "y int, e0 double, e1 double, e2 double").toPandas()
     weights = fit_logistic(fit[["e0", "e1", "e2"]].to_numpy(), fit["y"].to_numpy(float))
+    weights = at_threshold(weights, fit[["e0", "e1", "e2"]].to_numpy(), fit["y"].to_numpy())
     whole = strengths_of(np.stack([c[:, 0], c[:, 1] + c[:, 2], c[:, 3] + c[:, 4]], axis=1), (n[0, 0] + n[0, 2], n[1, 0] + n[1, 2]))
     return Model(restorer, whole, weights.tolist())
 
@@ -341,7 +366,7 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             s = np.array([score(t.as_py()) for t in b.column("text")], float)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(s), pa.array((s >= THRESHOLD).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int").withColumn("held_out", F.coalesce("held_out", F.lit(False)))
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, held_out boolean, score double, predicted int").withColumn("held_out", F.coalesce("held_out", F.lit(False)))
 
 
 def op5_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -358,4 +383,4 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         for b in batches:
             yield b.filter(pa.array([score(t.as_py() or "") < THRESHOLD for t in b.column("text")], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
