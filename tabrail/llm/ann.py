@@ -5,11 +5,13 @@ cosine) and projected by a Gaussian, that is 2-stable, matrix to ``DIMS``
 dimensions: projected squared distance over true squared distance follows a
 chi-square law with ``DIMS`` degrees of freedom. The top of a kd-tree over
 the projections, split at medians of a bounded sample, deals every row into
-cells; each cell holds a kd-tree of its own. A query walks leaves by growing
-projected distance and verifies what they hold on the original vectors, until
-the chi-square test says that what is left holds a nearer vector with
-probability ``MISS`` at most. Its first bound comes from the sample, so only
-cells that may still pass the test are visited.
+cells; each cell holds a kd-tree of its own. A query is answered in its own
+cell first, which bounds the distance of its k-th neighbour; then it visits
+the other cells that may pass the test under that bound. Inside a cell it
+walks leaves by growing projected distance and verifies points one chunk after
+the other in the order of their own projected distances, until the chi-square
+test says that what is left holds a nearer vector with probability ``MISS`` at
+most; every chunk lowers the bound.
 
 Equal vectors are one point of the index; of each the ``k + 1`` smallest ids
 are kept, which is all that any answer can hold (ties go to smaller ids, and
@@ -19,8 +21,8 @@ share costs one point.
 Rows: vectors that are null, zero, of another length than most, or that hold
 null or non-finite parts take no part; rows equal in id and vector count once,
 as queries and as neighbours; an id with several vectors is a row, and a query
-with neighbours of its own, for each of them; an empty table gives an empty
-result.
+with neighbours of its own, for each of them; other columns are not read,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,9 +36,11 @@ from tabrail.llm.common import stage, table
 
 K, EVERY = 5, 50
 #: Projected dimensions; chance of a miss per neighbour that ends a walk.
-DIMS, MISS = 8, 0.02
+DIMS, MISS = 16, 0.08
+#: Points verified before the first test; each further chunk is twice as long.
+CHUNK = 64
 #: Rows drawn for splits and first bounds (a documented, fixed bound); rows a cell should hold; leaf size.
-SAMPLE, CELL_ROWS, MOST_CELLS, LEAF = 8192, 16384, 1024, 128
+SAMPLE, CELL_ROWS, MOST_CELLS, LEAF = 8192, 2048, 2048, 64
 SEED = 20240607
 
 
@@ -134,38 +138,59 @@ def leaves_of(p: np.ndarray) -> tuple[np.ndarray, list[slice], np.ndarray, np.nd
     return order, slices, lo, hi
 
 
-def search_cell(points, qvecs, bounds, limit, k: int, own=None):
-    """For each query the nearest points of one cell: lists of (point, cosine).
+def search_cell(points, qvecs, bounds, limit, k: int, own=None, seen: list | None = None):
+    """For each query the nearest points of one cell: lists of points.
 
     ``bounds``: squared distance known to be reached by k neighbours; ``own``:
-    for each query the points that it leaves out."""
+    for each query the points that it leaves out; ``seen`` takes the number of
+    points that each query verified."""
     proj = projection(points.shape[1])
     p, q = points @ proj, qvecs @ proj
     order, slices, lo, hi = leaves_of(p)
+    start = np.array([s.start for s in slices])
+    size = np.array([s.stop - s.start for s in slices])
+    p, x = p[order], points[order]
     gaps = box_gaps(q, lo, hi)
     found = []
     for i in range(len(q)):
-        best = np.empty(0, np.int64)
-        dist = np.empty(0)
-        bound = bounds[i]
-        for leaf in np.argsort(gaps[i], kind="stable"):
-            if gaps[i, leaf] > limit * bound:
-                break
-            rows = order[slices[leaf]]
-            if own is not None and len(own[i]):
-                rows = rows[~np.isin(rows, own[i])]
-            d = np.maximum(2 - 2 * (points[rows] @ qvecs[i]), 0)
-            best, dist = np.concatenate([best, rows]), np.concatenate([dist, d])
+        bound, verified = bounds[i], 0
+        near = np.flatnonzero(gaps[i] <= limit * bound)
+        if not len(near):
+            found.append(np.empty(0, np.int64))
+            if seen is not None:
+                seen.append(0)
+            continue
+        # Projected neighbours in order: those of the leaves that may hold any.
+        at = np.repeat(start[near] - np.concatenate([[0], np.cumsum(size[near])[:-1]]), size[near]) + np.arange(size[near].sum())
+        gap = ((p[at] - q[i]) ** 2).sum(axis=1)
+        keep = gap <= limit * bound
+        at, gap = at[keep], gap[keep]
+        turn = np.argsort(gap, kind="stable")
+        at, gap = at[turn], gap[turn]
+        if own is not None and len(own[i]):
+            free = ~np.isin(order[at], own[i])
+            at, gap = at[free], gap[free]
+        best, dist, chunk = np.empty(0, np.int64), np.empty(0), CHUNK
+        while verified < len(at) and gap[verified] <= limit * bound:
+            # What the bound has closed since is not verified.
+            part = at[verified:min(verified + chunk, int(np.searchsorted(gap, limit * bound, "right")))]
+            verified, chunk = verified + len(part), 2 * chunk
+            best, dist = np.concatenate([best, part]), np.concatenate([dist, np.maximum(2 - 2 * (x[part] @ qvecs[i]), 0)])
             if len(best) > k:
                 # Ties at the edge stay: their ids decide later.
                 edge = np.partition(dist, k - 1)[k - 1]
                 keep = dist <= edge + 1e-9
                 best, dist = best[keep], dist[keep]
                 bound = min(bound, max(edge, 1e-12))
-        found.append(best)
+        found.append(order[best])
+        if seen is not None:
+            seen.append(verified)
     return found
 
 
+_ASKED = "cell int, query_id long, query long, bound double, v array<double>"
+
+
 def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) for every row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
@@ -199,8 +224,9 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "v
             x = np.array(b["v"].tolist(), float)
             yield pd.DataFrame({"cell": tree.cell_of(unit(x) @ proj), "point": b["point"], "ids": b["ids"], "v": b["v"]})
 
-    def route(batches):
-        tree, sample, ids, limit = shared.value
+    def ask(batches):
+        """Queries at their own cell, with a first bound from the sample."""
+        tree, sample, ids, _ = shared.value
         proj = projection(d)
         for b in batches:
             for at in range(0, len(b), 256):
@@ -213,9 +239,20 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "v
                     bound = np.maximum(np.partition(dist, k - 1, axis=1)[:, k - 1], 1e-12)
                 else:
                     bound = np.full(len(q), np.inf)
-                gaps = tree.gaps(q @ proj)
-                row, cell = np.nonzero(gaps <= limit * bound[:, None])
-                yield pd.DataFrame({"cell": cell.astype(np.int32), "query_id": part["id"].to_numpy()[row], "query": part["h1"].to_numpy()[row], "bound": bound[row], "v": part["v"].to_numpy()[row]})
+                yield pd.DataFrame({"cell": tree.cell_of(q @ proj), "query_id": part["id"], "query": part["h1"], "bound": bound, "v": part["v"]})
+
+    def route(batches):
+        """Queries at the other cells that may hold a nearer vector."""
+        tree, _, _, limit = shared.value
+        proj = projection(d)
+        for b in batches:
+            for at in range(0, len(b), 256):
+                part = b.iloc[at:at + 256]
+                p = unit(np.array(part["v"].tolist(), float)) @ proj
+                open_ = tree.gaps(p) <= limit * part["bound"].to_numpy()[:, None]
+                open_[np.arange(len(p)), part["cell"].to_numpy()] = False
+                row, cell = np.nonzero(open_)
+                yield pd.DataFrame({"cell": cell.astype(np.int32), **{c: part[c].to_numpy()[row] for c in ("query_id", "query", "bound", "v")}})
 
     def verify(key, pts, qs):
         if not len(pts) or not len(qs):
@@ -242,15 +279,26 @@ def nearest(vectors: DataFrame, k: int = K, every: int = EVERY, id_col: str = "v
         return pd.DataFrame({"query_id": np.array(out_q, np.int64), "query": np.array(out_r, np.int64), "vec_id": np.array(out_v, np.int64), "score": np.array(out_s, float)})
 
     dealt = points.mapInPandas(deal, "cell int, point long, ids array<long>, v array<double>")
-    asked = rows.where(F.pmod("id", F.lit(every)) == 0).mapInPandas(route, "cell int, query_id long, query long, bound double, v array<double>")
+    asked = rows.where(F.pmod("id", F.lit(every)) == 0).mapInPandas(ask, _ASKED)
     # Past MOST_CELLS cells their points go in chunks, and queries in blocks, so that neither side of a group grows without bound.
     chunks = max(1, -(-total // (cells * CELL_ROWS)))
     blocks = max(1, min(64, total // every // 4096))
     every_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("chunk", every_of(chunks))
     dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("point"), F.lit(chunks)).cast("int")).withColumn("block", every_of(blocks))
     group = ["cell", "chunk", "block"]
-    hits = dealt.groupBy(*group).cogroup(asked.groupBy(*group)).applyInPandas(verify, "query_id long, query long, vec_id long, score double")
+
+    def answers(asked):
+        asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).withColumn("chunk", every_of(chunks))
+        return dealt.groupBy(*group).cogroup(asked.groupBy(*group)).applyInPandas(verify, "query_id long, query long, vec_id long, score double")
+
+    asked = stage(asked, "asked")
+    home = stage(answers(asked), "home")
+    # What the own cell has found bounds the k-th distance.
+    row = Window.partitionBy("query_id", "query").orderBy(F.desc("score"))
+    reached = home.withColumn("i", F.row_number().over(row)).where(F.col("i") == k).select("query_id", "query", F.greatest(F.lit(1e-12), 2 - 2 * F.col("score") + 1e-9).alias("reached"))
+    again = (asked.join(reached, ["query_id", "query"], "left").withColumn("bound", F.least("bound", F.coalesce("reached", "bound")))
+             .select("cell", "query_id", "query", "bound", "v").mapInPandas(route, _ASKED))
+    hits = home.unionByName(answers(again))
     # A row is in one cell and chunk, and a query in one block, so no pair comes twice.
     rank = F.row_number().over(Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -90,3 +90,41 @@ def test_chunks_of_full_cells(spark, monkeypatch):
 
 def test_chi_square():
     assert ann.chi2_quantile(0.95, 8) == pytest.approx(15.507, abs=1e-3)
+
+
+def _clustered(n, seed=3):
+    """Points around n / 50 centres: near neighbours are much nearer than the rest."""
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((n // 50, 32))
+    return ann.unit(centres[np.arange(n) % len(centres)] + 0.15 * rng.standard_normal((n, 32)))
+
+
+def test_verified_points_do_not_grow_with_the_rows():
+    """Over 10 and 100 times the rows a query verifies about as many points, at the same recall."""
+    limit, seen_of = ann.chi2_quantile(1 - ann.MISS, ann.DIMS), {}
+    for n in (2_000, 20_000, 200_000):
+        x = _clustered(n)
+        q = np.arange(0, n, n // 40)
+        seen: list[int] = []
+        found = ann.search_cell(x, x[q], np.full(len(q), 0.5), limit, ann.K + 1, None, seen)
+        s = x[q] @ x.T
+        top = np.argsort(-s, axis=1)[:, :ann.K + 1]
+        assert np.mean([len(set(f) & set(t)) / len(t) for f, t in zip(found, top)]) >= 0.9
+        seen_of[n] = np.mean(seen)
+    assert seen_of[200_000] < 8 * seen_of[2_000] and seen_of[200_000] < 0.01 * 200_000, seen_of
+
+
+def test_other_cells_are_pruned(spark, monkeypatch):
+    """A query's own cell bounds it so well that few others are visited."""
+    monkeypatch.setattr(ann, "CELL_ROWS", 256)
+    x = _clustered(10_000)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    tree = ann.TopTree(x[:ann.SAMPLE] @ ann.projection(32), 40)
+    q, limit = x[::50], ann.chi2_quantile(1 - ann.MISS, ann.DIMS)
+    near = -np.sort(-(q @ x.T), axis=1)[:, ann.K]
+    open_ = tree.gaps(q @ ann.projection(32)) <= limit * (2 - 2 * near)[:, None]
+    assert open_.sum(axis=1).mean() < 0.5 * 40
+    want, got = brute(range(10_000), x, 50, 5), {}
+    for r in ann.nearest(df).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert np.mean([len(got[i] & {j for _, j in want[i]}) / 5 for i in want]) >= 0.9
