@@ -21,8 +21,9 @@ An anchor with more than ``HOT`` different segments is split instead: its
 windows are grouped by hash, where the earliest of each is a partial minimum.
 
 Rows: null texts are empty and lose nothing, as do texts under ``LENGTH``
-bytes; null or repeated ids are put in (doc_id, text) order, nulls first; an
-empty table gives an empty result.
+bytes; null or repeated ids are put in (doc_id, text) order, nulls first; texts
+of any length are cut into segments; other columns are not read (the pipeline
+stage keeps them), whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabrail.llm.common import U64, keyed_rows, mix, spans_of, stage, table, texts_of
+from tabrail.llm.common import keyed_rows, lean, mix, spans_of, stage, table, texts_of, U64
 
 LENGTH, GRAM = 100, 32
 #: Bytes of text hashed at once; bytes of segments in one index; segments under one anchor for an index.
-CHUNK, BLOCK, HOT = 1 << 19, 1 << 20, 4096
+CHUNK, BLOCK, HOT = 1 << 19, 1 << 18, 4096
 _ODD = [U64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3)]
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _ODD[0])
 
@@ -121,7 +122,7 @@ def occurrences(rows: DataFrame) -> DataFrame:
                     at = ((s + (lo - off[i] if j - i == 1 else 0)) << 16) | (n << 8) | a
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(keys[i:j][r]), pa.array(at)], ["h", "c", "key", "at"])
 
-    return rows.select("key", "text").mapInArrow(run, "h long, c long, key long, at long")
+    return rows.select("key", "text").mapInArrow(lean(run), "h long, c long, key long, at long")
 
 
 def cut_segments(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -141,7 +142,7 @@ def cut_segments(rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 h, m, k, p, s, d = zip(*out)
                 yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (h, m, k, p, s)), pa.array(d, pa.binary())], ["h", "m", "key", "place", "start", "bytes"])
 
-    return joined.mapInArrow(run, "h long, m long, key long, place long, start long, bytes binary")
+    return joined.mapInArrow(lean(run), "h long, m long, key long, place long, start long, bytes binary")
 
 
 class RunLengthIndex:
@@ -294,8 +295,8 @@ def repeated_ranges(rows: DataFrame) -> DataFrame:
     wanted = kind.join(several, "h").select("h", "m", F.col("first.key").alias("key"), F.col("first.at").alias("at"))
     cuts = stage(cut_segments(rows, wanted), "cuts")
     dealt = cuts.where(F.col("m") <= HOT).select("h", "key", "place", "start", "bytes").repartition("h").sortWithinPartitions("h", "key", "place")
-    indexed = dealt.mapInArrow(index_blocks, _RANGE)
-    hot = cuts.where(F.col("m") > HOT).select("key", "start", "bytes").mapInArrow(hot_windows, "w1 long, w2 long, key long, lo long")
+    indexed = dealt.mapInArrow(lean(index_blocks), _RANGE)
+    hot = cuts.where(F.col("m") > HOT).select("key", "start", "bytes").mapInArrow(lean(hot_windows), "w1 long, w2 long, key long, lo long")
     head = hot.groupBy("w1", "w2").agg(F.min(F.struct("key", "lo")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2", "first")
     split = hot.join(head, ["w1", "w2"]).where((F.col("key") != F.col("first.key")) | (F.col("lo") != F.col("first.lo"))).select("key", "lo", (F.col("lo") + LENGTH).alias("hi"))
     return whole.unionByName(indexed).unionByName(split)
@@ -339,7 +340,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 n, m, s, d = zip(*out)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(x, pa.int64()) for x in (n, m, s)), pa.array(d, pa.string())], names)
 
-    return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(lean(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op10_run_length_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -372,7 +373,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), b.column("row")], ["new_text", "row"])
 
     row_type = joined.schema["row"].dataType.simpleString()
-    done = joined.select("text", "row", "ranges").mapInArrow(run, f"new_text string, row {row_type}")
+    done = joined.select("text", "row", "ranges").mapInArrow(lean(run), f"new_text string, row {row_type}")
     return done.select(*[
         F.col("new_text").alias(c) if c == "text" else
         F.length("new_text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" and n_chars else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
