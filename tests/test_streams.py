@@ -166,3 +166,33 @@ def test_inferred_schema_report(spark, tmp_path):
     got = C.schema_report(spark, read_table(spark, str(tmp_path / "c")), counts=True).collect()
     assert [tuple(r) for r in got] == [(0, "i", "int", 2), (1, "s", "string", 2), (2, "x", "double", 1)]
     assert C.schema_report(spark, spark.range(1)).columns == ["position", "column", "type"]
+
+
+def test_batches_do_not_follow_the_number_of_files(spark):
+    root = work_dir(spark, "test-files")
+    RP.replay_publish(spark.range(450).selectExpr("id"), f"{root}/in", rows_per_file=10, dense=True)
+    files = RP.files_per_batch(spark, f"{root}/in")
+    assert files == 5 and RP.files_per_batch(spark, f"{root}/none", least=2) == 2
+    query = ST.start_sink(ST.stream_source(spark, "text", f"{root}/in", max_per_trigger=files), f"{root}/out", f"{root}/ck")
+    query.awaitTermination()
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [50] * 9
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_live_metrics_after_every_block_of_a_batch(spark, turned, monkeypatch):
+    from tabrail.streaming import monitor
+
+    monkeypatch.setattr(monitor, "CHUNK", 3)
+    root, n = work_dir(spark, "test-blocks"), 25
+    # Blocks of 10 hold fewer rows than n; turned, newer results come first.
+    blocks = _results(spark, 237).withColumn("block", F.expr("23 - id div 10" if turned else "id div 10"))
+    top = LiveTop(spark, f"{root}/live", n, block="block")
+    for i, (low, high) in enumerate([(0, 9), (9, 10), (10, 24), (10, 24)]):
+        top.merge(blocks.where(f"block >= {low} AND block < {high}"), min(i, 2))
+    got = {r.batch: r for r in top.metrics().collect()}
+    assert sorted(got) == list(range(24))
+    for b, r in got.items():
+        want = MT.live_metrics(blocks.where(f"block <= {b}"), n).first()
+        assert r.samples == want.samples
+        assert r.mae_k == pytest.approx(want.mae_k) and r.rmse_k == pytest.approx(want.rmse_k)
+    assert sorted(r.id for r in top.newest().collect()) == list(range(212, 237))
