@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -170,3 +171,19 @@ def test_one_parse_a_body(spark):
     plan = plan.lower().replace("_", "")
     assert plan.count("fromjson(") == 1 and plan.count("jsonobjectkeys(") <= 1
     assert plan.count("schemaofvariant") <= 2 * len(FEATS), plan
+
+
+def test_request_code_is_small_enough_to_be_compiled(spark, capsys):
+    # The JVM leaves methods of more than 8000 bytes to its interpreter.
+    names = [f"f{i}" for i in range(8)]
+    body = ",".join(f'"{n}":{i + 1}.5' for i, n in enumerate(names))
+    df = spark.createDataFrame([("1", "{" + body + "}")], "request_id string, body string")
+    checked = R.request_validate(R.request_parse(df, names), names)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        checked.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000, sizes
+    assert [checked.first()[n] for n in names] == [i + 1.5 for i in range(8)]
