@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabrail.functions import columns as C
 from tabrail.functions import rules as R
+from tabrail.streaming import score as ST
 
 FEATS = ["a", "b", "c"]
 
@@ -173,6 +174,16 @@ def test_one_parse_a_body(spark):
     assert plan.count("schemaofvariant") <= 2 * len(FEATS), plan
 
 
+def test_a_record_is_parsed_once_below_a_filter(spark, capsys):
+    raw = spark.createDataFrame([('{"id":1,"a":2.0,"b":1.0,"actual_price":3}',), ("not json",), (None,), ('{"id":4,"a":"x","b":1}',)], "value string")
+    good, bad = ST.quarantine(ST.decode_records(raw, ["a", "b"]), ["a", "b"])
+    assert [tuple(r) for r in good.collect()] == [(1, 2.0, 1.0, 3.0)]
+    assert sorted((r.id or 0, r.reason) for r in bad.collect()) == [(0, "empty record"), (0, "not a JSON object"), (4, "missing or invalid field")]
+    for df in (good, bad):
+        df.explain()
+        assert capsys.readouterr().out.count("from_json") == 1
+
+
 def test_request_code_is_small_enough_to_be_compiled(spark, capsys):
     # The JVM leaves methods of more than 8000 bytes to its interpreter.
     names = [f"f{i}" for i in range(8)]
