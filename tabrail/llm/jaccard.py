@@ -37,6 +37,8 @@ from tabrail.llm.common import U64, bucket_counts, components, keyed_rows, lean,
 SKETCH_BITS, WANTED_BITS = 22, 22
 #: Parity bitmaps: words of 64 bits of the first test and, at least, of the whole one (up to 2 ** MOST_BITS bits).
 SHORT, WORDS, MOST_BITS = 4, 16, 24
+#: Words, at most, of the bitmaps that the join of strays compares.
+LONG = 64
 #: Size classes of a block's band; the last one of a band is in the next band as well.
 BAND = 6
 CHUNK = 1 << 20
@@ -184,6 +186,13 @@ def _differ_whole(a: str, b: str):
     return F.when(F.greatest(F.size(a), F.size(b)) <= 2 * words, differ).otherwise(F.lit(0))
 
 
+def _folded(c: str, words: int):
+    """A parity bitmap of at most ``words`` words: longer ones are folded to that many."""
+    step = F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.aggregate(
+        F.sequence(i, F.size(c), F.lit(words)), F.lit(0).cast("long"), lambda x, k: x.bitwiseXOR(F.element_at(c, k))))
+    return F.when(F.size(c) > words, step).otherwise(F.col(c))
+
+
 def _may_link(n1: str, n2: str, percent: int):
     """Size filter: the smaller set is at least ``percent`` of the larger."""
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
@@ -194,6 +203,18 @@ def _few_bits(differ, n1: str, n2: str, percent: int):
     return differ * (100 + percent) <= (F.col(n1) + F.col(n2)) * (100 - percent)
 
 
+def pairs_across(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across the components of a block that both bitmaps leave, one side outside the block's main one.
+
+    ``mixed`` has tok, cid, comp, n, few, long and main. The short bitmaps of sets of more than some 600
+    shingles all differ by less than such sets may, so the longer ones are compared in the join as well."""
+    stray = mixed.where("comp != main").select("tok", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("few").alias("fa"), F.col("long").alias("la"))
+    other = mixed.select("tok", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("few").alias("fb"), F.col("long").alias("lb"), (F.col("comp") == F.col("main")).alias("is_main"))
+    return stray.join(other, (stray["tok"] == other["tok"]) & (F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
+                      & _may_link("na", "nb", percent) & _few_bits(_differ("fa", "fb", SHORT), "na", "nb", percent)
+                      & _few_bits(_differ_whole("la", "lb"), "na", "nb", percent)).select("a", "b")
+
+
 def verify(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of keys whose whole sets link; b may be common to many pairs."""
     spark = rows.sparkSession
@@ -277,16 +298,12 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
         mixed = large.join(few.join(comp, F.col("cid") == F.col("id")).select("gid", "cid", "comp", "n", "few"), "gid")
         sizes = mixed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"))
         main = sizes.groupBy("tok").agg(F.max_by("comp", F.struct("c", F.col("comp"))).alias("main"), F.count(F.lit(1)).alias("k")).where("k > 1").select("tok", "main")
-        mixed = stage(mixed.drop("gid").join(main, "tok"), "mixed")
-        stray = mixed.where("comp != main").select("tok", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("few").alias("fa"))
-        return mixed, stray
+        long = bits.select("cid", _folded("bits", LONG).alias("long"))
+        return stage(mixed.drop("gid").join(main, "tok").join(long, "cid"), "mixed")
 
     # What is left: every pair across components of a block, one side of it a stray.
-    mixed, stray = mixed_blocks(links)
-    other = mixed.select("tok", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("few").alias("fb"), (F.col("comp") == F.col("main")).alias("is_main"))
-    left = stray.join(other, (stray["tok"] == other["tok"]) & (F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
-                      & _may_link("na", "nb", percent) & _few_bits(_differ("fa", "fb", SHORT), "na", "nb", percent))
-    links = links.unionByName(verify(rows, stage(close(left.select("a", "b")), "left"), words, percent))
+    left = pairs_across(mixed_blocks(links), percent)
+    links = links.unionByName(verify(rows, stage(close(left), "left"), words, percent))
     comp = components(nodes, links)
     whole = sig.select("key", "n").join(copies, "key", "left").withColumn("cid", F.coalesce("cid", "key"))
     out = whole.join(comp.withColumnRenamed("id", "cid"), "cid", "left").select("key", "n", F.coalesce("comp", "key").alias("comp"))

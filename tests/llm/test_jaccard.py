@@ -105,3 +105,15 @@ def test_stage_keeps_the_first_of_each_component(spark):
     assert sorted(r.doc_id for r in J.jaccard_stage(spark, df, "").collect()) == want
     assert J.jaccard_stage(spark, df, "").schema == df.schema
     assert df.filter(F.col("doc_id") < 0).count() == 0
+
+
+def test_unlike_long_texts_of_a_block_make_no_pairs(spark):
+    # Forty texts of some 1500 words and of over 5000, nothing in common but their block, and one near copy.
+    r = random.Random(3)
+    texts = [[f"w{r.randrange(10**9)}" for _ in range(n)] for n in [*range(1500, 1540), *range(5000, 5010)]]
+    texts.append([*texts[0][:1490], *(f"x{i}" for i in range(10))])
+    rows = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "key long, text string")
+    sig = J.signatures(rows, 5, 80)
+    mixed = sig.select(F.lit(1).alias("tok"), F.col("key").alias("cid"), F.col("key").alias("comp"), "n", "few", J._folded("bits", J.LONG).alias("long"), F.lit(0).cast("long").alias("main"))
+    assert [sorted(p) for p in J.pairs_across(mixed, 80).collect()] == [[0, 50]]
+    assert {r.w for r in mixed.select(F.size("long").alias("w")).collect()} == {32, 64}
