@@ -154,3 +154,16 @@ def test_score_requests_responses(spark, train):
     assert (out["zero"].status, out["text"].status, out["nan"].status, out["junk"].status) == (400, 400, 500, 500)
     assert not any(out[k].success for k in ("zero", "text", "nan", "junk"))
     assert all(out[k].predicted_price is None for k in ("zero", "text", "nan", "junk"))
+
+
+def test_fit_keeps_no_node_ids_and_no_key(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("concat('k', id) AS row_key", "double(id % 17) AS a", "double(id % 23) AS b", "double((id * 7) % 31) AS target")
+    est = M.forest_estimator(["a", "b"], num_trees=5, max_depth=4)
+    assert not est.getStages()[-1].getCacheNodeIds()
+    cached = M.forest_estimator(["a", "b"], num_trees=5, max_depth=4, cacheNodeIds=True)
+    one, other = (M.fit(e, rows, ["row_key"]).stages[-1] for e in (est, cached))
+    assert one.toDebugString.split("\n")[1:] == other.toDebugString.split("\n")[1:]
+    seen = []
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, data: seen.append(sorted(data.columns)))
+    M.fit(est, rows, ["row_key"])
+    assert seen == [["a", "b", "target"]]
