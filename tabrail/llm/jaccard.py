@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabrail.llm.common import U64, bucket_counts, components, keyed_rows, lean, mix, release, spans_of, stage, table, texts_of
@@ -203,6 +203,16 @@ def _few_bits(differ, n1: str, n2: str, percent: int):
     return differ * (100 + percent) <= (F.col(n1) + F.col(n2)) * (100 - percent)
 
 
+def in_blocks(token: DataFrame) -> DataFrame:
+    """The prefix rows (tok, gid, n, members) whose block pairs something, with the block's classes ``c``.
+
+    Block and rows come of one exchange: most rows are alone in their block, so counting the blocks
+    apart and joining them to the rows would move all of them a second time."""
+    block = Window.partitionBy("tok")
+    counted = token.withColumns({"groups": F.count(F.lit(1)).over(block), "c": F.sum("members").over(block)})
+    return counted.where("groups > 1 or c > 2").drop("groups", "members")
+
+
 def pairs_across(mixed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across the components of a block that both bitmaps leave, one side outside the block's main one.
 
@@ -268,11 +278,10 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
     first = first.select("prefix", F.col("cid").alias("gid"), "n", "members", size_class)
     band = F.floor(F.col("nb") / BAND)
     first = first.withColumn("band", F.explode(F.when(F.pmod("nb", F.lit(BAND)) == BAND - 1, F.array(band, band + 1)).otherwise(F.array(band))))
-    token = first.select(F.explode("prefix").alias("tok"), "band", "gid", "n", "members", "nb")
-    token = token.select(F.xxhash64("tok", "band").alias("tok"), "gid", "n", "members", "nb")
-    block = token.groupBy("tok").agg(F.count(F.lit(1)).alias("groups"), F.sum("members").alias("c")).where("groups > 1 or c > 2").select("tok", "c")
+    token = first.select(F.explode("prefix").alias("tok"), "band", "gid", "n", "members")
+    token = token.select(F.xxhash64("tok", "band").alias("tok"), "gid", "n", "members")
     few = member.select("cid", "gid", "n", "few")
-    shared = token.select("tok", "gid", "n", "nb").join(block, "tok").join(few.where("cid = gid").select("gid", "few"), "gid")
+    shared = in_blocks(token).select("tok", "gid", "n", size_class, "c").join(few.where("cid = gid").select("gid", "few"), "gid")
     shared = stage(shared, "blocks")
     bits = member.select("cid", "n", "bits")
     end = lambda k: bits.select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))

@@ -117,3 +117,13 @@ def test_unlike_long_texts_of_a_block_make_no_pairs(spark):
     mixed = sig.select(F.lit(1).alias("tok"), F.col("key").alias("cid"), F.col("key").alias("comp"), "n", "few", J._folded("bits", J.LONG).alias("long"), F.lit(0).cast("long").alias("main"))
     assert [sorted(p) for p in J.pairs_across(mixed, 80).collect()] == [[0, 50]]
     assert {r.w for r in mixed.select(F.size("long").alias("w")).collect()} == {32, 64}
+
+
+def test_prefix_rows_are_moved_once(spark, capsys):
+    rows = [(1, 10, 5, 1), (1, 11, 5, 1), (2, 12, 6, 1), (3, 13, 7, 2), (4, 14, 8, 3), (5, 15, 9, 2), (5, 16, 9, 1)]
+    token = spark.createDataFrame(rows, "tok long, gid long, n int, members long")
+    found = J.in_blocks(token)
+    assert sorted(tuple(r) for r in found.select("tok", "gid", "n", "c").collect()) == [
+        (1, 10, 5, 2), (1, 11, 5, 2), (4, 14, 8, 3), (5, 15, 9, 3), (5, 16, 9, 3)]
+    found.explain()
+    assert capsys.readouterr().out.count("Exchange ") == 1
