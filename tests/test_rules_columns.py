@@ -198,3 +198,16 @@ def test_request_code_is_small_enough_to_be_compiled(spark, capsys):
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000, sizes
     assert [checked.first()[n] for n in names] == [i + 1.5 for i in range(8)]
+
+
+def test_plain_numbers_are_cast_at_once(spark):
+    bodies = ['{"a": 1, "b": 2.5, "c": "007"}', '{"a": "", "b": 2, "c": 3}', '{"a": "1.2.3", "b": ".", "c": 3}',
+              '{"a": ".5", "b": "2.", "c": 3}', '{"a": -1, "b": 2, "c": 3}', '{"a": 1e3, "b": "1_0", "c": " 3 "}', '{"a": 1, "b": 2}']
+    df = spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "request_id string, body string")
+    parsed = R.request_parse(df, FEATS)
+    got = {r.request_id: (r.a, r.b, r.c, r.status) for r in parsed.collect()}
+    assert [got[str(i)] for i in range(len(bodies))] == [
+        (1.0, 2.5, 7.0, 0), (None, 2.0, 3.0, 400), (None, None, 3.0, 400), (0.5, 2.0, 3.0, 0),
+        (-1.0, 2.0, 3.0, 0), (1000.0, 10.0, 3.0, 0), (1.0, 2.0, 0.0, 0)]
+    # One cast of all fields; the rules a field are for the other bodies.
+    assert "as array<double>)" in parsed._jdf.queryExecution().optimizedPlan().toString()
