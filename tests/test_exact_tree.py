@@ -77,3 +77,24 @@ def test_hot_value_ties_and_odd_rows(spark):
             X.fit_exact_tree(spark.createDataFrame([(bad, 1.0), (1.0, 2.0)], "a double, target double"), ["a"])
     with pytest.raises(ValueError):
         X.fit_exact_tree(df.limit(0), ["a"])
+
+
+def test_levels_read_rows_that_are_split_already(spark, monkeypatch, capsys):
+    from tabrail.plans import queries as Q
+
+    rows = spark.range(300).selectExpr("concat('k', id) AS row_key", *[f"double((id * {i + 3}) % 19) AS {c}" for i, c in enumerate(Q.FEATS)],
+                                       "double((id * 11) % 29) AS target").cache()
+    monkeypatch.setattr(Q.fx, "charge", lambda spark, sf: rows)
+    seen = []
+
+    def fit(df, *args):
+        seen.append(df)
+        return X.fit_exact_tree(df, *args)
+
+    monkeypatch.setattr(Q, "fit_exact_tree", fit)
+    got = Q.tree_fit_depth3(spark, "none").collect()
+    seen[0].explain()
+    assert "md5" not in capsys.readouterr().out
+    prep = Q._Prepared(spark, "none")
+    assert sorted((r.row_key, r.target) for r in got) == sorted((r.row_key, r.target) for r in prep.test_rows().collect())
+    assert seen[0].count() == prep.train_rows().where("part = 'train'").count()
