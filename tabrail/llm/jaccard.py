@@ -39,6 +39,8 @@ SKETCH_BITS, WANTED_BITS = 22, 22
 SHORT, WORDS, MOST_BITS = 4, 16, 24
 #: Words, at most, of the bitmaps that the join of strays compares.
 LONG = 64
+#: A bitmap of m bits tells sets of n shingles apart if FIT * m >= n * (100 - percent): unlike ones differ in over twice the bits that linked ones may.
+FIT = 20
 #: Size classes of a block's band; the last one of a band is in the next band as well.
 BAND = 6
 CHUNK = 1 << 20
@@ -186,13 +188,27 @@ def _differ_whole(a: str, b: str):
     return F.when(F.greatest(F.size(a), F.size(b)) <= 2 * words, differ).otherwise(F.lit(0))
 
 
-def _folded(c: str, words: int):
-    """A parity bitmap of at most ``words`` words: longer ones are folded to that many."""
-    step = F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.aggregate(
-        F.sequence(i, F.size(c), F.lit(words)), F.lit(0).cast("long"), lambda x, k: x.bitwiseXOR(F.element_at(c, k))))
+def _differ_fitted(a: str, b: str):
+    """As ``_differ_whole``; bitmaps of SHORT words, which are the most, are compared without lambdas."""
+    short = (F.size(a) == SHORT) & (F.size(b) == SHORT)
+    return F.when(short, _differ(a, b, SHORT)).otherwise(_differ_whole(a, b))
+
+
+def _folded(c: str, words):
+    """A parity bitmap of at most ``words`` words (a number or a column): longer ones are folded to that many."""
+    words = F.lit(words)
+    step = F.transform(F.sequence(F.lit(1), words), lambda i: F.aggregate(
+        F.sequence(i, F.size(c), words), F.lit(0).cast("long"), lambda x, k: x.bitwiseXOR(F.element_at(c, k))))
     return F.when(F.size(c) > words, step).otherwise(F.col(c))
 
 
+def fitting(percent: int):
+    """The parity bitmap ``bits`` of a set of ``n``, folded to the fewest words (LONG at most) that tell such sets apart: ``few`` for most."""
+    need = F.col("n") * (100 - percent) / float(64 * FIT)
+    words = F.least(F.lit(LONG), F.pow(F.lit(2), F.ceil(F.log2(need))).cast("int"))
+    return F.when(need > SHORT, _folded("bits", words)).otherwise(F.col("few"))
+
+
 def _may_link(n1: str, n2: str, percent: int):
     """Size filter: the smaller set is at least ``percent`` of the larger."""
     return F.least(n1, n2) * 100 >= F.greatest(n1, n2) * percent
@@ -204,25 +220,45 @@ def _few_bits(differ, n1: str, n2: str, percent: int):
 
 
 def in_blocks(token: DataFrame) -> DataFrame:
-    """The prefix rows (tok, gid, n, members) whose block pairs something, with the block's classes ``c``.
+    """The prefix rows (tok, gid, n, members) whose block pairs something, with the block's ``groups`` and classes ``c``.
 
     Block and rows come of one exchange: most rows are alone in their block, so counting the blocks
     apart and joining them to the rows would move all of them a second time."""
     block = Window.partitionBy("tok")
     counted = token.withColumns({"groups": F.count(F.lit(1)).over(block), "c": F.sum("members").over(block)})
-    return counted.where("groups > 1 or c > 2").drop("groups", "members")
+    return counted.where("groups > 1 or c > 2").drop("members")
+
+
+def star(blocks: DataFrame, percent: int) -> DataFrame:
+    """``blocks`` (tok, gid, n, nb, groups, c) with ``own`` and ``next``, the first group of the block's same size
+    class and of the next one, where the sizes may link (else null), and ``more``: whether the row may link to
+    a row of the block that is not among these pairs.
+
+    It needs no exchange beyond that of ``in_blocks``. A block has at most BAND + 1 size classes, all
+    neighbours, so their remainders tell them apart."""
+    block = Window.partitionBy("tok")
+    slot = lambda nb: F.pmod(nb, F.lit(BAND + 1)).cast("int")
+    each = [F.when(slot(F.col("nb")) == i, F.struct("gid", "n")) for i in range(BAND + 1)]
+    rows = blocks.withColumns({"firsts": F.array(*[F.min(x).over(block) for x in each]), "sizes": F.array(*[F.count(x).over(block) for x in each])})
+    rows = rows.withColumns({f"{what}{k}": F.get(what, slot(F.col("nb") + k - 1)) for what in ("firsts", "sizes") for k in range(3)})
+    end = lambda r: F.when((F.col("gid") != F.col(f"{r}.gid")) & _may_link("n", f"{r}.n", percent), F.col(f"{r}.gid"))
+    # Unsettled are pairs of one size class without its first group, and pairs of neighbouring
+    # classes without the first one of the upper; of a group of several classes, only one is in the star.
+    later = F.col("gid") != F.col("firsts1.gid")
+    unsettled = (later & (F.col("sizes1") > 2)) | (F.col("sizes2") > 1) | (later & (F.col("sizes0") > 0))
+    more = F.when(F.col("groups") == F.col("c"), unsettled).otherwise(F.col("c") > 2)
+    return rows.select("tok", "gid", end("firsts1").alias("own"), end("firsts2").alias("next"), more.alias("more"))
 
 
 def pairs_across(mixed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across the components of a block that both bitmaps leave, one side outside the block's main one.
 
-    ``mixed`` has tok, cid, comp, n, few, long and main. The short bitmaps of sets of more than some 600
-    shingles all differ by less than such sets may, so the longer ones are compared in the join as well."""
-    stray = mixed.where("comp != main").select("tok", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("few").alias("fa"), F.col("long").alias("la"))
-    other = mixed.select("tok", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("few").alias("fb"), F.col("long").alias("lb"), (F.col("comp") == F.col("main")).alias("is_main"))
+    ``mixed`` has tok, cid, comp, n, long and main. The short bitmaps of sets of more than some 600 shingles
+    all differ by less than such sets may, so ``long`` is as long as its set asks for (see ``fitting``)."""
+    stray = mixed.where("comp != main").select("tok", F.col("cid").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"), F.col("long").alias("la"))
+    other = mixed.select("tok", F.col("cid").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"), F.col("long").alias("lb"), (F.col("comp") == F.col("main")).alias("is_main"))
     return stray.join(other, (stray["tok"] == other["tok"]) & (F.col("ca") != F.col("cb")) & (F.col("is_main") | (F.col("a") < F.col("b")))
-                      & _may_link("na", "nb", percent) & _few_bits(_differ("fa", "fb", SHORT), "na", "nb", percent)
-                      & _few_bits(_differ_whole("la", "lb"), "na", "nb", percent)).select("a", "b")
+                      & _may_link("na", "nb", percent) & _few_bits(_differ_fitted("la", "lb"), "na", "nb", percent)).select("a", "b")
 
 
 def verify(rows: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -272,6 +308,7 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
     size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent) if percent < 100 else 1e-6)).alias("nb")
     group = node.groupBy("g", "n").agg(F.min("cid").alias("gid"), F.count(F.lit(1)).alias("members"))
     member = stage(node.select("cid", "n", "g", "few", "bits").join(group, ["g", "n"]).select("cid", "gid", "n", "few", "bits"), "members")
+    whole = stage(sig.select("key", "n").join(copies, "key", "left").withColumn("cid", F.coalesce("cid", "key")), "whole")
     # Prefix rows of groups. A shingle that one class alone has pairs nothing; that of one group of two is settled by `own` below.
     first = node.join(group.select(F.col("gid").alias("cid"), "members"), "cid")
     # Sets that link are of one size class or of neighbouring ones, so some band holds both.
@@ -280,9 +317,10 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
     first = first.withColumn("band", F.explode(F.when(F.pmod("nb", F.lit(BAND)) == BAND - 1, F.array(band, band + 1)).otherwise(F.array(band))))
     token = first.select(F.explode("prefix").alias("tok"), "band", "gid", "n", "members")
     token = token.select(F.xxhash64("tok", "band").alias("tok"), "gid", "n", "members")
-    few = member.select("cid", "gid", "n", "few")
-    shared = in_blocks(token).select("tok", "gid", "n", size_class, "c").join(few.where("cid = gid").select("gid", "few"), "gid")
-    shared = stage(shared, "blocks")
+    shared = stage(star(in_blocks(token).select("tok", "gid", "n", size_class, "groups", "c"), percent), "blocks")
+    # All that is read of the signatures from here on is in `member` and `whole`.
+    release(sig)
+    release(copies)
     bits = member.select("cid", "n", "bits")
     end = lambda k: bits.select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
 
@@ -291,30 +329,31 @@ def classes(docs: DataFrame, words: int = 3, percent: int = 90, id_col: str = "d
         return pairs.distinct().join(end("a"), "a").join(end("b"), "b").where(_few_bits(_differ_whole("bitsa", "bitsb"), "na", "nb", percent)).select("a", "b")
 
     # Star: every group with the first group of its block's size class and of the next one.
-    rep = shared.groupBy("tok", "nb").agg(F.min(F.struct("gid", "n", "few")).alias("r"))
-    rep = rep.select("tok", "nb", F.col("r.gid").alias("b"), F.col("r.n").alias("bn"), F.col("r.few").alias("bfew"))
-    near = shared.withColumn("nb", F.explode(F.array("nb", F.col("nb") + 1))).join(rep, ["tok", "nb"]).where(
-        (F.col("gid") != F.col("b")) & _may_link("n", "bn", percent) & _few_bits(_differ("few", "bfew", SHORT), "n", "bn", percent))
+    short = lambda k: member.where("cid = gid").select(F.col("cid").alias(k), F.col("n").alias(f"n{k}"), F.col("few").alias(f"few{k}"))
+    near = shared.select(F.col("gid").alias("a"), F.explode(F.array("own", "next")).alias("b")).where("b is not null").distinct()
+    near = near.join(short("a"), "a").join(short("b"), "b").where(_few_bits(_differ("fewa", "fewb", SHORT), "na", "nb", percent)).select("a", "b")
     own = member.where("cid != gid").select(F.col("cid").alias("a"), F.col("gid").alias("b"))
-    links = verify(rows, stage(close(near.select(F.col("gid").alias("a"), "b")).unionByName(own).distinct(), "star"), words, percent)
-    # The star has settled every pair of blocks of two classes. In larger blocks that
-    # hold several components so far, those outside the largest are strays.
-    large = shared.where("c > 2").select("tok", "gid")
+    links = verify(rows, stage(close(near).unionByName(own).distinct(), "star"), words, percent)
+    # The star has settled all pairs of most rows. Where the others of a block are of
+    # several components so far, those outside the largest are strays.
+    large = shared.where("more").select("tok", "gid")
     nodes = member.select(F.col("cid").alias("id"))
+    sign = member.select("cid", "gid", "n", fitting(percent).alias("long"))
 
     def mixed_blocks(links):
         comp = stage(components(nodes, links), "comp")
-        mixed = large.join(few.join(comp, F.col("cid") == F.col("id")).select("gid", "cid", "comp", "n", "few"), "gid")
+        mixed = large.join(sign.join(comp, F.col("cid") == F.col("id")).select("gid", "cid", "comp", "n", "long"), "gid")
         sizes = mixed.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("c"))
         main = sizes.groupBy("tok").agg(F.max_by("comp", F.struct("c", F.col("comp"))).alias("main"), F.count(F.lit(1)).alias("k")).where("k > 1").select("tok", "main")
-        long = bits.select("cid", _folded("bits", LONG).alias("long"))
-        return stage(mixed.drop("gid").join(main, "tok").join(long, "cid"), "mixed")
+        return stage(mixed.drop("gid").join(main, "tok"), "mixed")
 
     # What is left: every pair across components of a block, one side of it a stray.
-    left = pairs_across(mixed_blocks(links), percent)
-    links = links.unionByName(verify(rows, stage(close(left), "left"), words, percent))
+    mixed = mixed_blocks(links)
+    release(shared)
+    left = stage(close(pairs_across(mixed, percent)), "left")
+    release(mixed)
+    links = links.unionByName(verify(rows, left, words, percent))
     comp = components(nodes, links)
-    whole = sig.select("key", "n").join(copies, "key", "left").withColumn("cid", F.coalesce("cid", "key"))
     out = whole.join(comp.withColumnRenamed("id", "cid"), "cid", "left").select("key", "n", F.coalesce("comp", "key").alias("comp"))
     return out
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tabrail.llm import jaccard as J
@@ -127,3 +128,56 @@ def test_prefix_rows_are_moved_once(spark, capsys):
         (1, 10, 5, 2), (1, 11, 5, 2), (4, 14, 8, 3), (5, 15, 9, 3), (5, 16, 9, 3)]
     found.explain()
     assert capsys.readouterr().out.count("Exchange ") == 1
+
+
+def test_star_needs_no_exchange_of_its_own(spark):
+    # Size classes at 90 percent: 94 to 102 are of one, 90 of the class below, 140 links with none of them.
+    rows = [(1, 10, 100, 1), (1, 11, 101, 1), (2, 10, 100, 1), (2, 12, 90, 1), (2, 11, 101, 1), (3, 10, 100, 1), (3, 11, 101, 1), (3, 13, 102, 1),
+            (4, 14, 140, 1), (4, 12, 90, 1), (4, 10, 100, 1), (5, 15, 100, 3), (6, 15, 100, 3), (6, 10, 100, 1), (7, 16, 50, 1)]
+    token = spark.createDataFrame(rows, "tok long, gid long, n int, members long")
+    nb = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / 90))).alias("nb")
+    found = J.star(J.in_blocks(token).select("tok", "gid", "n", nb, "groups", "c"), 90)
+    got = {(r.tok, r.gid): (r.own, r.next, r.more) for r in found.collect()}
+    assert got == {
+        (1, 10): (None, None, False), (1, 11): (10, None, False),
+        (2, 10): (None, None, False), (2, 12): (None, 10, True), (2, 11): (10, None, True),
+        (3, 10): (None, None, False), (3, 11): (10, None, True), (3, 13): (10, None, True),
+        (4, 14): (None, None, False), (4, 12): (None, 10, False), (4, 10): (None, None, False),
+        (5, 15): (None, None, True), (6, 10): (None, None, True), (6, 15): (10, None, True)}
+    plan = found.where("tok > 0")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1, plan
+
+
+def test_every_pair_of_a_block_is_in_the_star_or_left_for_more(spark):
+    rng = np.random.default_rng(5)
+    sizes = {g: int(rng.integers(60, 125)) for g in range(400)}
+    rows = [(t, int(g), sizes[int(g)], 1) for t in range(300) for g in rng.choice(400, rng.integers(2, 9), replace=False)]
+    cls = lambda n: int(np.floor(np.log(n) / float(np.log(100 / 90))))
+    rows = [r for r in rows if 41 <= cls(r[2]) <= 47]  # one band
+    token = spark.createDataFrame(rows, "tok long, gid long, n int, members long")
+    nb = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / 90))).alias("nb")
+    got = {(r.tok, r.gid): r for r in J.star(J.in_blocks(token).select("tok", "gid", "n", nb, "groups", "c"), 90).collect()}
+    blocks = {}
+    for t, g, _, _ in rows:
+        blocks.setdefault(t, []).append(g)
+    pairs = starred = 0
+    for t, gs in blocks.items():
+        for a in gs:
+            for b in gs:
+                if a < b and min(sizes[a], sizes[b]) * 100 >= max(sizes[a], sizes[b]) * 90:
+                    pairs += 1
+                    x, y = got[t, a], got[t, b]
+                    in_star = b in (x["own"], x["next"]) or a in (y["own"], y["next"])
+                    starred += in_star
+                    assert in_star or (x.more and y.more)
+    assert pairs > starred > 200
+    assert sum(not r.more for r in got.values()) > 200
+
+
+def test_strays_carry_no_longer_bitmaps_than_their_sizes_ask_for(spark):
+    texts = [" ".join(f"w{i}x{j}" for j in range(n)) for i, n in enumerate((40, 400, 700, 3000, 30_000))]
+    rows = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    sig = J.signatures(rows, 3, 90)
+    got = {r.key: (r.w, r.same) for r in sig.select("key", F.size(J.fitting(90)).alias("w"), (J.fitting(90) == F.col("few")).alias("same")).collect()}
+    assert got == {0: (4, True), 1: (4, True), 2: (8, False), 3: (32, False), 4: (64, False)}
+    assert {r.key: r.w for r in sig.select("key", F.size(J.fitting(80)).alias("w")).collect()} == {0: 4, 1: 8, 2: 16, 3: 64, 4: 64}
