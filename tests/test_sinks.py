@@ -21,6 +21,17 @@ def test_status_write_failure_does_not_raise(spark):
     assert SK.log_status(spark, "unreachablefs://nowhere/status", SK.status_event("started", "training")) is False
 
 
+@pytest.mark.parametrize("lost", ["started", "completed"])
+def test_a_run_whose_status_is_not_written_fails(spark, lost):
+    path, nowhere = f"{work_dir(spark, 'test-no-status')}/log", "unreachablefs://nowhere/status"
+    worked = []
+    with pytest.raises(Exception, match="unreachablefs"):
+        with SK.run_status(spark, nowhere if lost == "started" else path, "training", clock=lambda: "t") as status:
+            worked.append(1)
+            status.path = nowhere
+    assert worked == ([] if lost == "started" else [1])
+
+
 def test_materialize_if_absent_keeps_first(spark):
     path = f"{work_dir(spark, 'test-ignore')}/t"
     calls = []
