@@ -196,3 +196,47 @@ def test_live_metrics_after_every_block_of_a_batch(spark, turned, monkeypatch):
         assert r.samples == want.samples
         assert r.mae_k == pytest.approx(want.mae_k) and r.rmse_k == pytest.approx(want.rmse_k)
     assert sorted(r.id for r in top.newest().collect()) == list(range(212, 237))
+
+
+def _predict(spark, model, root, recs, **kw):
+    from tabrail.config import Settings
+    from tabrail.plans import jobs as J
+    from tabrail.sources.models import save_model
+
+    settings = Settings(features=("a", "b"), key=("id",))
+    path = save_model(model, [f"{root}/model"])
+    return J.predict_job(spark, [path], recs, settings, f"{root}/run", f"{root}/status", rows_per_file=100, **kw)
+
+
+def test_a_run_that_its_limit_ends_is_no_result(spark, model):
+    from tabrail.sinks.tables import read_status
+
+    recs = spark.range(300).selectExpr("id", "cast(id as double) AS a", "if(id = 7, null, 1.0D) AS b", "2.0D AS actual_price")
+    root = work_dir(spark, "test-cut")
+    with pytest.raises(TimeoutError):
+        _predict(spark, model, root, recs, timeout_s=0.0)
+    assert [r.status for r in read_status(spark, f"{root}/status").collect()] == ["started"]
+    root = work_dir(spark, "test-whole")
+    assert _predict(spark, model, root, recs).count() == 299
+    assert sorted(r.status for r in read_status(spark, f"{root}/status").collect()) == ["completed", "started"]
+
+
+def test_a_replay_that_is_not_read_whole_fails(spark, model, monkeypatch):
+    from tabrail.plans import jobs as J
+    from tabrail.sinks.tables import read_status
+
+    def lossy(records, path, *args, **kw):
+        RP.replay_publish(records, path, *args, **kw)
+        RP.lose_block(spark, path, 1)
+
+    monkeypatch.setattr(J, "replay_publish", lossy)
+    root = work_dir(spark, "test-lost")
+    recs = spark.range(300).selectExpr("id", "cast(id as double) AS a", "1.0D AS b", "2.0D AS actual_price")
+    with pytest.raises(RuntimeError, match="100 of 300"):
+        _predict(spark, model, root, recs)
+    assert [r.status for r in read_status(spark, f"{root}/status").collect()] == ["started"]
+
+
+def test_an_empty_replay_has_an_empty_result(spark, model):
+    recs = spark.range(0).selectExpr("id", "cast(id as double) AS a", "1.0D AS b", "2.0D AS actual_price")
+    assert _predict(spark, model, work_dir(spark, "test-empty"), recs).count() == 0
