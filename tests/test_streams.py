@@ -178,6 +178,19 @@ def test_batches_do_not_follow_the_number_of_files(spark):
     assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == [50] * 9
 
 
+def test_files_are_not_asked_for_one_by_one(spark, monkeypatch):
+    root, client, calls = work_dir(spark, "test-listing"), spark.sparkContext._gateway._gateway_client, []
+    RP.replay_publish(spark.range(400).selectExpr("id"), f"{root}/in", rows_per_file=5, dense=True)
+    spark.range(3).selectExpr("cast(id as string) AS value").coalesce(1).write.mode("append").text(f"{root}/in")
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda *a, **k: calls.append(1) or send(*a, **k))
+    assert RP.files_per_batch(spark, f"{root}/in", batches=1) == 81
+    assert RP.lose_block(spark, f"{root}/in", 2) == 1
+    # Each of the 80 files took six calls, and a process on a local disk.
+    assert len(calls) < 80
+    assert RP.files_per_batch(spark, f"{root}/in", batches=1) == 80
+
+
 @pytest.mark.parametrize("turned", [False, True])
 def test_live_metrics_after_every_block_of_a_batch(spark, turned, monkeypatch):
     from tabrail.streaming import monitor
